@@ -114,8 +114,8 @@ def orders(spark: SparkSession, sf_dir: str, keyed: bool = False, stores: bool =
     if stores:
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "concat('LOJA ', n_name) as base")
-        homes = customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"])
-        moments = moments.join(homes, moments["o_custkey"] == homes["c_custkey"], "left")
+        moments = moments.join(customers, moments["o_custkey"] == customers["c_custkey"], "left")
+        moments = moments.join(nations, moments["c_nationkey"] == nations["n_nationkey"], "left")
         texts |= {name: F.expr(text) for name, text in _STORE_TEXT.items()}
     headers = {old: new for old, new in ORDER_HEADERS.items() if old in texts}
     raw = moments.select(

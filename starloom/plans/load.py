@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,13 +136,21 @@ def load_star(spark: SparkSession, staging: Staging, folder: str | None = None)
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, folder, name, STAR.get(name, df.schema))
 
-    profile = write(order_profile(staging.orders), "perfil_pedido")
-    dim_tempo = write(with_unknown(calendar_of(profile), "dim_tempo"), "dim_tempo")
-    dim_loja = write(with_unknown(staging.stores, "dim_loja"), "dim_loja")
-    dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
-    dim_praca = write(with_unknown(territory_dim(staging.territories), "dim_praca"), "dim_praca")
-    bridge = write(build_bridge(staging.territories, dim_praca), "bridge_loja_praca")
-    loja_chave = write(store_lookup(dim_loja, staging.aliases), "loja_chave")
+    # Small tables that do not need each other are written side by side.
+    with ThreadPoolExecutor() as pool:
+        profile_job = pool.submit(write, order_profile(staging.orders), "perfil_pedido")
+        store_job = pool.submit(write, with_unknown(staging.stores, "dim_loja"), "dim_loja")
+        praca = with_unknown(territory_dim(staging.territories), "dim_praca")
+        praca_job = pool.submit(write, praca, "dim_praca")
+        dim_loja = store_job.result()
+        key_job = pool.submit(write, store_lookup(dim_loja, staging.aliases), "loja_chave")
+        dim_praca = praca_job.result()
+        bridge = build_bridge(staging.territories, dim_praca)
+        bridge_job = pool.submit(write, bridge, "bridge_loja_praca")
+        profile = profile_job.result()
+        tempo_job = pool.submit(write, with_unknown(calendar_of(profile), "dim_tempo"), "dim_tempo")
+        dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
+        dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
     fact = build_fact(staging.orders, dim_categoria, loja_chave)
     if "sk_pedido" not in fact.columns:
         fact = positional_keys(write(fact, "fato_pedido_sem_chave"), "sk_pedido")

@@ -12,7 +12,10 @@ def get_spark(master: str | None = None, app_name: str = "starloom", **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # HotSpot leaves larger methods interpreted; past this size Spark runs the parts one by one.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)
