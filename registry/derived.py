@@ -94,9 +94,9 @@ _STORE_TEXT = {
     "Cod Loja": "if(k % 5 < 2, '', concat('LJ-', lpad(n_nationkey + 1, 3, '0')))",
 }
 _SPELLED = {
-    "CategoriaProduto": _spelling(CATEGORIES, "k % 37"),
-    "HouveDesconto": _spelling(DISCOUNTS, "(k div 7) % 17"),
-    "CanalPedido": _spelling(CHANNELS, "(k div 37) % 20"),
+    "CategoriaProduto": (CATEGORIES, "k % 37"),
+    "HouveDesconto": (DISCOUNTS, "(k div 7) % 17"),
+    "CanalPedido": (CHANNELS, "(k div 37) % 20"),
 }
 
 
@@ -110,7 +110,8 @@ def orders(spark: SparkSession, sf_dir: str, keyed: bool = False, stores: bool =
     if keyed:
         source = positional_keys(source, "sk_pedido")
     moments = _order_moments(source)
-    texts = {name: F.expr(text) for name, text in _ORDER_TEXT.items()} | _SPELLED
+    texts = {name: F.expr(text) for name, text in _ORDER_TEXT.items()}
+    texts |= {name: _spelling(*choice) for name, choice in _SPELLED.items()}
     if stores:
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "concat('LOJA ', n_name) as base")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,12 +82,12 @@ def _per_spelling(column: str, name: str, label: Callable) -> Query:
     return query
 
 
-def _per_order(**columns) -> Query:
-    """Cleaned columns per order."""
+def _per_order(**columns: Callable[[], Column]) -> Query:
+    """Cleaned columns per order; built on call, as column expressions need a session."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         texts = _order_text(spark, sf_dir)
-        return texts.select("numero_pedido", *[column.alias(name) for name, column in columns.items()])
+        return texts.select("numero_pedido", *[column().alias(name) for name, column in columns.items()])
 
     return query
 
@@ -266,38 +266,26 @@ def _on_staging(function: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: function(staging(spark, sf_dir), *args)
 
 
-_PER_ORDER_OR_SPELLING = {
-    "std_category": _per_spelling(
-        "categoria_produto", "nome_categoria", lambda c: standard_category(category_key(c), UNKNOWN_LABEL)
-    ),
-    "std_category_group": _per_spelling(
-        "categoria_produto", "grupo_categoria", lambda c: category_group(category_key(c), UNKNOWN_LABEL)
-    ),
-}
-
-
 def _cleaners() -> dict[str, Query]:
-    """Built on call: column expressions need a running session."""
-
-    def on_call(build: Callable[[], Query]) -> Query:
-        return lambda spark, sf_dir: build()(spark, sf_dir)
-
     return {
-        **_PER_ORDER_OR_SPELLING,
+        "std_category": _per_spelling(
+            "categoria_produto", "nome_categoria", lambda c: standard_category(category_key(c), UNKNOWN_LABEL)
+        ),
+        "std_category_group": _per_spelling(
+            "categoria_produto", "grupo_categoria", lambda c: category_group(category_key(c), UNKNOWN_LABEL)
+        ),
         "std_channel": _per_spelling(
             "canal_pedido", "canal", lambda c: classify(upper_trimmed(c), CHANNEL_RULES, UNKNOWN_LABEL)
         ),
         "std_discount": _per_spelling(
             "houve_desconto", "desconto", lambda c: map_values(upper_trimmed(c), DISCOUNT_VALUES, UNKNOWN_LABEL)
         ),
-        "parse_money": on_call(lambda: _per_order(vl_liquido=parse_money_br(F.col("valor_liquido_pedido")))),
-        "parse_quantity": on_call(lambda: _per_order(qt_itens=parse_int(F.col("qtd_itens")))),
-        "parse_timestamp": on_call(lambda: _per_order(dt_pedido=parse_us_timestamp(F.col("dt_hora_pedido")))),
-        "date_keys": on_call(
-            lambda: _per_order(
-                sk_tempo_pedido=date_key(F.to_date(parse_us_timestamp(F.col("dt_hora_pedido")))),
-                sk_tempo_entrega=date_key(parse_date(F.col("dt_entrega_cliente"))),
-            )
+        "parse_money": _per_order(vl_liquido=lambda: parse_money_br(F.col("valor_liquido_pedido"))),
+        "parse_quantity": _per_order(qt_itens=lambda: parse_int(F.col("qtd_itens"))),
+        "parse_timestamp": _per_order(dt_pedido=lambda: parse_us_timestamp(F.col("dt_hora_pedido"))),
+        "date_keys": _per_order(
+            sk_tempo_pedido=lambda: date_key(F.to_date(parse_us_timestamp(F.col("dt_hora_pedido")))),
+            sk_tempo_entrega=lambda: date_key(parse_date(F.col("dt_entrega_cliente"))),
         ),
     }
 

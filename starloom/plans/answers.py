@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.numbers import rounded_ratio
 from starloom.operators.bridge import allocate
 from starloom.operators.metrics import (
     cells,
@@ -24,7 +25,6 @@ from starloom.operators.metrics import (
     total_of,
     total_within,
 )
-from starloom.functions.numbers import rounded_ratio
 from starloom.plans.load import Star
 from starloom.schema import LAGS, STEP_LAGS, TOTAL_LAG, UNKNOWN_KEY
 
@@ -38,12 +38,18 @@ STEP_LABELS = [
 # Column names of the means.
 MEAN_NAMES = {lag: lag.replace("dias_", "media_", 1) for lag in LAGS}
 
-ORDERS = F.count("*")
-REVENUE = F.sum("vl_liquido")
 # Allocated money carries the places of money and of the factor together.
 ALLOCATED_SCALE = 6
 
 
+def _orders() -> Column:
+    return F.count("*")
+
+
+def _revenue() -> Column:
+    return F.sum("vl_liquido")
+
+
 def _money(name: str) -> Column:
     return F.round(name, 2)
 
@@ -67,7 +73,7 @@ def step_ranking(star: Star) -> DataFrame:
 
 
 def _lags_by_store_attribute(star: Star, lags: list[str], by: str) -> DataFrame:
-    measures = {"qtd_pedidos": ORDERS, **lag_measures(lags)}
+    measures = {"qtd_pedidos": _orders(), **lag_measures(lags)}
     per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], measures)
     return roll_up(per_store.join(star.dim_loja, "sk_loja"), [by], list(measures))
 
@@ -99,7 +105,7 @@ def bottleneck_by_size(star: Star, by: str = "porte") -> DataFrame:
 
 def revenue_by_category(star: Star, by: str = "nome_categoria") -> DataFrame:
     """P2.1: revenue per standard category and its share of all revenue, unknown stores included."""
-    per_key = cells(star.fato_pedido, ["sk_categoria"], {"faturamento_categoria": REVENUE})
+    per_key = cells(star.fato_pedido, ["sk_categoria"], {"faturamento_categoria": _revenue()})
     total = total_of(per_key, "faturamento_categoria")
     groups = roll_up(per_key.join(star.dim_categoria, "sk_categoria"), [by], ["faturamento_categoria"])
     return groups.select(
@@ -115,7 +121,7 @@ def _category_within_store_attribute(star: Star, by: str, within: str) -> DataFr
     Category-less cells count in the band total only, as it is taken before that join.
     """
     per_key = cells(
-        known(star.fato_pedido, "sk_loja"), ["sk_loja", "sk_categoria"], {"faturamento_categoria": REVENUE}
+        known(star.fato_pedido, "sk_loja"), ["sk_loja", "sk_categoria"], {"faturamento_categoria": _revenue()}
     )
     named = per_key.join(star.dim_loja.select("sk_loja", within), "sk_loja").join(
         star.dim_categoria.select("sk_categoria", by, F.lit(True).alias("__achada")), "sk_categoria", "left"
@@ -160,8 +166,8 @@ def _without_discount(column: Column) -> Column:
 def _ticket_cells(star: Star, by: str) -> DataFrame:
     value = F.col("vl_liquido")
     measures = {
-        "qtd_pedidos": ORDERS,
-        "faturamento_canal": REVENUE,
+        "qtd_pedidos": _orders(),
+        "faturamento_canal": _revenue(),
         "sum_com": F.sum(_with_discount(value)),
         "n_com": F.count(_with_discount(value)),
         "sum_sem": F.sum(_without_discount(value)),
@@ -231,7 +237,7 @@ def ticket_gap(star: Star, by: str = "canal_pedido") -> DataFrame:
 
 def channel_share(star: Star, by: str = "canal_pedido") -> DataFrame:
     """P3.3: orders, revenue and share of all revenue per channel, all orders."""
-    groups = cells(star.fato_pedido, [by], {"qtd_pedidos": ORDERS, "faturamento_canal": REVENUE})
+    groups = cells(star.fato_pedido, [by], {"qtd_pedidos": _orders(), "faturamento_canal": _revenue()})
     total = total_of(groups, "faturamento_canal")
     return groups.select(
         by,
@@ -260,7 +266,7 @@ def channel_summary(star: Star, by: str = "canal_pedido") -> DataFrame:
 
 
 def _revenue_per_store_code(star: Star) -> DataFrame:
-    per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], {"faturamento_loja": REVENUE})
+    per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], {"faturamento_loja": _revenue()})
     codes = star.dim_loja.select("sk_loja", "cod_loja")
     return roll_up(per_store.join(codes, "sk_loja"), ["cod_loja"], ["faturamento_loja"])
 
@@ -274,7 +280,7 @@ def _allocated(star: Star) -> DataFrame:
 
 def store_revenue(star: Star) -> DataFrame:
     """P4.1: revenue per known store."""
-    per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], {"faturamento_loja": REVENUE})
+    per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], {"faturamento_loja": _revenue()})
     return (
         per_store.join(star.dim_loja, "sk_loja")
         .select("nome_loja", _money("faturamento_loja").alias("faturamento_loja"))
@@ -297,7 +303,7 @@ def reconciliation(star: Star) -> DataFrame:
     One pass: each store's revenue times the sum of its factors is what its territories
     get. As a sum over no rows is missing, so is the difference if no order lacks its store.
     """
-    per_store = cells(star.fato_pedido, ["sk_loja"], {"faturamento": REVENUE})
+    per_store = cells(star.fato_pedido, ["sk_loja"], {"faturamento": _revenue()})
     weights = star.bridge_loja_praca.groupBy("cod_loja").agg(F.sum("fator_publico").alias("peso"))
     store_weights = star.dim_loja.join(weights, "cod_loja").select("sk_loja", "peso")
     spread = F.when(F.col("sk_loja") != UNKNOWN_KEY, F.col("faturamento") * F.col("peso"))
@@ -366,7 +372,7 @@ def tier_share(star: Star, by: str = "faixa_franquia") -> DataFrame:
     The share is of all revenue, so the shares add up to less than 100. A store carries
     only its present tier; the figures say nothing on the tier at the time of the order.
     """
-    measures = {"qtd_pedidos": ORDERS, "faturamento": REVENUE}
+    measures = {"qtd_pedidos": _orders(), "faturamento": _revenue()}
     per_store = cells(star.fato_pedido, ["sk_loja"], measures)
     total = total_of(per_store, "faturamento")
     groups = roll_up(known(per_store, "sk_loja").join(star.dim_loja, "sk_loja"), [by], list(measures))
@@ -378,24 +384,25 @@ def tier_share(star: Star, by: str = "faixa_franquia") -> DataFrame:
     ).orderBy(F.desc_nulls_first("faturamento"))
 
 
-QUALITY = {
-    "pedidos_sem_loja": F.col("sk_loja") == UNKNOWN_KEY,
-    "entregas_nao_concluidas": F.col("sk_tempo_entrega") == UNKNOWN_KEY,
-    "pedidos_com_itens_em_branco": F.col("qt_itens").isNull(),
-    "pedidos_com_valor_em_branco": F.col("vl_liquido").isNull(),
-}
+def _problems() -> dict[str, Column]:
+    return {
+        "pedidos_sem_loja": F.col("sk_loja") == UNKNOWN_KEY,
+        "entregas_nao_concluidas": F.col("sk_tempo_entrega") == UNKNOWN_KEY,
+        "pedidos_com_itens_em_branco": F.col("qt_itens").isNull(),
+        "pedidos_com_valor_em_branco": F.col("vl_liquido").isNull(),
+    }
 
 
 def quality_impact(star: Star) -> DataFrame:
     """P5.3: orders, and how many of them lack a store, a delivery, a quantity or a value."""
-    measures = {name: count_if(condition) for name, condition in QUALITY.items()}
-    return cells(star.fato_pedido, [], {"total_pedidos": ORDERS, **measures})
+    measures = {name: count_if(condition) for name, condition in _problems().items()}
+    return cells(star.fato_pedido, [], {"total_pedidos": _orders(), **measures})
 
 
 def quality_percentages(star: Star) -> DataFrame:
     """The counts of P5.3 as percentages of all orders, one row per problem."""
     counts = quality_impact(star)
-    long = counts.unpivot(["total_pedidos"], list(QUALITY), "problema", "quantidade")
+    long = counts.unpivot(["total_pedidos"], list(_problems()), "problema", "quantidade")
     return long.select(
         "problema",
         "quantidade",
