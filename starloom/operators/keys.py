@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many files the per-file offsets are broadcast, at most some 60 MB.
-MAX_BROADCAST_FILES = 250_000
+from starloom.sources.warehouse import settle
 
 
 def _running_offset(counts: DataFrame, order: str) -> DataFrame:
@@ -40,12 +39,12 @@ def positional_keys(scan: DataFrame, name: str) -> DataFrame:
 
     A row's key is its position in its file plus the rows of the files before it. The
     counting pass reads no column, and a lost task gives the same keys when it is rerun.
+    The offsets are written first, one row per file, so the planner joins them by their
+    true size.
     """
     path = F.col("_metadata.file_path")
     counts = scan.groupBy(path.alias("__file")).agg(F.count("*").alias("__rows"))
-    offsets = _running_offset(counts, "__file")
-    if len(scan.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
+    offsets = settle(_running_offset(counts, "__file"), "file_offsets")
     placed = scan.withColumns({"__file": path, "__position": F.col("_metadata.row_index")})
     return placed.join(offsets, "__file").select(
         (F.col("__offset") + F.col("__position") + 1).alias(name), *scan.columns

@@ -56,14 +56,25 @@ def share(part: Column, whole: Column) -> Column:
     return rounded_ratio(part, whole, bottom_scale=2, times=100)
 
 
-def total_of(parts: DataFrame, name: str) -> Column:
-    """Grand total of one cell column, as a scalar subquery on the cells."""
-    return parts.agg(F.sum(name)).scalar()
+def total(name: str, within: Sequence[str] = ()) -> Column:
+    """Total over all groups, or over those of one parent, beside every group.
 
+    Use on rolled-up rows only, one per label: they meet in one task.
+    """
+    return F.sum(name).over(Window.partitionBy(*within))
 
-def total_within(name: str, parent: Sequence[str]) -> Column:
-    """Total of the parent group; use on group rows only."""
-    return F.sum(name).over(Window.partitionBy(*parent))
+
+def under_label(
+    parts: DataFrame, dim: DataFrame, sk: str, by: str, names: Sequence[str], unknown: bool, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Roll cells up to the label ``by`` of a dimension, with ``__listed`` telling which rows to show.
+
+    Cells of no dimension row, and without ``unknown`` those of the -1 row, are kept as
+    unlisted rows: totals taken over the result then cover the whole fact in its one pass.
+    """
+    listed = F.lit(True) if unknown else F.col(sk) != UNKNOWN_KEY
+    labels = dim.select(sk, by, listed.alias("__listed"))
+    return roll_up(parts.join(labels, sk, "left"), [*keep, by, "__listed"], names)
 
 
 def champions(groups: DataFrame, within: Sequence[str], measure: str) -> DataFrame:

@@ -22,8 +22,8 @@ from starloom.operators.metrics import (
     per_unit,
     roll_up,
     share,
-    total_of,
-    total_within,
+    total,
+    under_label,
 )
 from starloom.plans.load import Star
 from starloom.schema import LAGS, STEP_LAGS, TOTAL_LAG, UNKNOWN_KEY
@@ -105,29 +105,33 @@ def bottleneck_by_size(star: Star, by: str = "porte") -> DataFrame:
 
 def revenue_by_category(star: Star, by: str = "nome_categoria") -> DataFrame:
     """P2.1: revenue per standard category and its share of all revenue, unknown stores included."""
-    per_key = cells(star.fato_pedido, ["sk_categoria"], {"faturamento_categoria": _revenue()})
-    total = total_of(per_key, "faturamento_categoria")
-    groups = roll_up(per_key.join(star.dim_categoria, "sk_categoria"), [by], ["faturamento_categoria"])
-    return groups.select(
-        by,
-        _money("faturamento_categoria").alias("faturamento_categoria"),
-        share(F.col("faturamento_categoria"), total).alias("percentual_faturamento"),
-    ).orderBy(F.desc_nulls_first("faturamento_categoria"))
+    measure = "faturamento_categoria"
+    per_key = cells(star.fato_pedido, ["sk_categoria"], {measure: _revenue()})
+    groups = under_label(per_key, star.dim_categoria, "sk_categoria", by, [measure], unknown=True)
+    return (
+        groups.withColumn("__total", total(measure))
+        .where("__listed")
+        .select(
+            by,
+            _money(measure).alias(measure),
+            share(F.col(measure), F.col("__total")).alias("percentual_faturamento"),
+        )
+        .orderBy(F.desc_nulls_first(measure))
+    )
 
 
 def _category_within_store_attribute(star: Star, by: str, within: str) -> DataFrame:
     """Revenue per band and category of known stores, with the band's total.
 
-    Category-less cells count in the band total only, as it is taken before that join.
+    The total also covers cells without a category, which get no row of their own.
     """
-    per_key = cells(
-        known(star.fato_pedido, "sk_loja"), ["sk_loja", "sk_categoria"], {"faturamento_categoria": _revenue()}
-    )
-    named = per_key.join(star.dim_loja.select("sk_loja", within), "sk_loja").join(
-        star.dim_categoria.select("sk_categoria", by, F.lit(True).alias("__achada")), "sk_categoria", "left"
+    measure = "faturamento_categoria"
+    per_key = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja", "sk_categoria"], {measure: _revenue()})
+    banded = per_key.join(star.dim_loja.select("sk_loja", within), "sk_loja")
+    groups = under_label(
+        banded, star.dim_categoria, "sk_categoria", by, [measure], unknown=True, keep=[within]
     )
-    groups = roll_up(named, [within, by, "__achada"], ["faturamento_categoria"])
-    return groups.withColumn("__total", total_within("faturamento_categoria", [within])).where("__achada")
+    return groups.withColumn("__total", total(measure, [within])).where("__listed")
 
 
 def category_by_size(star: Star, by: str = "nome_categoria", within: str = "porte") -> DataFrame:
@@ -238,19 +242,17 @@ def ticket_gap(star: Star, by: str = "canal_pedido") -> DataFrame:
 def channel_share(star: Star, by: str = "canal_pedido") -> DataFrame:
     """P3.3: orders, revenue and share of all revenue per channel, all orders."""
     groups = cells(star.fato_pedido, [by], {"qtd_pedidos": _orders(), "faturamento_canal": _revenue()})
-    total = total_of(groups, "faturamento_canal")
     return groups.select(
         by,
         "qtd_pedidos",
         _money("faturamento_canal").alias("faturamento_canal"),
-        share(F.col("faturamento_canal"), total).alias("percentual_faturamento"),
+        share(F.col("faturamento_canal"), total("faturamento_canal")).alias("percentual_faturamento"),
     ).orderBy(F.desc_nulls_first("faturamento_canal"))
 
 
 def channel_summary(star: Star, by: str = "canal_pedido") -> DataFrame:
     """P3.4: tickets, gap, orders, revenue and share per channel in one pass, all orders."""
     groups = _ticket_cells(star, by)
-    total = total_of(groups, "faturamento_canal")
     return groups.select(
         by,
         "qtd_pedidos",
@@ -258,7 +260,7 @@ def channel_summary(star: Star, by: str = "canal_pedido") -> DataFrame:
         _mean_ticket("sem").alias("ticket_sem_desconto"),
         _ticket_gap().alias("diferenca_ticket"),
         _money("faturamento_canal").alias("faturamento_canal"),
-        share(F.col("faturamento_canal"), total).alias("percentual_faturamento"),
+        share(F.col("faturamento_canal"), total("faturamento_canal")).alias("percentual_faturamento"),
     ).orderBy(F.desc_nulls_first("faturamento_canal"))
 
 
@@ -374,14 +376,18 @@ def tier_share(star: Star, by: str = "faixa_franquia") -> DataFrame:
     """
     measures = {"qtd_pedidos": _orders(), "faturamento": _revenue()}
     per_store = cells(star.fato_pedido, ["sk_loja"], measures)
-    total = total_of(per_store, "faturamento")
-    groups = roll_up(known(per_store, "sk_loja").join(star.dim_loja, "sk_loja"), [by], list(measures))
-    return groups.select(
-        by,
-        "qtd_pedidos",
-        _money("faturamento").alias("faturamento"),
-        share(F.col("faturamento"), total).alias("percentual_faturamento"),
-    ).orderBy(F.desc_nulls_first("faturamento"))
+    groups = under_label(per_store, star.dim_loja, "sk_loja", by, list(measures), unknown=False)
+    return (
+        groups.withColumn("__total", total("faturamento"))
+        .where("__listed")
+        .select(
+            by,
+            "qtd_pedidos",
+            _money("faturamento").alias("faturamento"),
+            share(F.col("faturamento"), F.col("__total")).alias("percentual_faturamento"),
+        )
+        .orderBy(F.desc_nulls_first("faturamento"))
+    )
 
 
 def _problems() -> dict[str, Column]:

@@ -9,16 +9,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, is_us_timestamp
 from starloom.functions.numbers import money_text, parse_money_br
 from starloom.functions.text import CATEGORY_RULES, is_blank
 from starloom.operators.keys import repeated_keys
-from starloom.operators.metrics import cells, count_if, known
+from starloom.operators.metrics import cells, count_if, known, roll_up
 from starloom.plans.load import Staging, Star
 from starloom.schema import LAGS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
+from starloom.sources.warehouse import settle
 
 Expected = Mapping[str, int]
 
@@ -276,15 +277,23 @@ def _date_range() -> dict[str, Column]:
     return {"primeiro pedido": F.min(F.to_date("dt_pedido")), "ultimo pedido": F.max(F.to_date("dt_pedido"))}
 
 
-def _orphans(star: Star) -> DataFrame:
-    """Orders per foreign key value first, so the anti-join meets one row per value."""
-    parts = []
+def _key_cells(star: Star, keys: list[str]) -> DataFrame:
+    """Orders and revenue per combination of foreign keys."""
+    return cells(star.fato_pedido, keys, {"linhas": F.count("*"), "valor": F.sum("vl_liquido")})
+
+
+def _orphans(star: Star, parts: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Orders per foreign key value first, so the anti-join meets few rows per value.
+
+    ``parts`` may hold ready-made cells by foreign key.
+    """
+    found = []
     for name, (fk, dim, sk) in FOREIGN_KEYS.items():
-        used = cells(star.fato_pedido, [fk], {"linhas": F.count("*")})
+        used = parts[fk] if parts else _key_cells(star, [fk])
         keys = getattr(star, dim).select(F.col(sk).alias("__sk"))
         lost = used.join(keys, F.col(fk) == F.col("__sk"), "left_anti")
-        parts.append(_long(lost.agg(F.coalesce(F.sum("linhas"), F.lit(0)).alias(name))))
-    return _union(parts)
+        found.append(_long(lost.agg(F.coalesce(F.sum("linhas"), F.lit(0)).alias(name))))
+    return _union(found)
 
 
 def fk_integrity(star: Star) -> DataFrame:
@@ -314,29 +323,34 @@ def negative_lags(star: Star) -> DataFrame:
     return expect(_long(cells(star.fato_pedido, [], _negative_lags())))
 
 
-def join_preserves_total(star: Star) -> DataFrame:
+def join_preserves_total(star: Star, parts: DataFrame | None = None) -> DataFrame:
     """Q20: revenue in the fact, and as reached through the category join; in whole units."""
-    per_key = cells(star.fato_pedido, ["sk_categoria"], {"valor": F.sum("vl_liquido")})
-    keys = star.dim_categoria.select("sk_categoria", F.lit(True).alias("__achada"))
+    per_key = parts if parts is not None else _key_cells(star, ["sk_categoria"])
+    keys = star.dim_categoria.select("sk_categoria", F.lit(True).alias("__found"))
     return per_key.join(keys, "sk_categoria", "left").agg(
         F.round(F.sum("valor")).alias("total_na_fato"),
-        F.round(F.sum(F.when(F.col("__achada"), F.col("valor")))).alias("total_pela_p2"),
+        F.round(F.sum(F.when(F.col("__found"), F.col("valor")))).alias("total_pela_p2"),
     )
 
 
-def allocation(star: Star) -> DataFrame:
+def allocation(star: Star, parts: DataFrame | None = None) -> DataFrame:
     """Q21: total, allocated and unknown-store revenue in whole units; their difference rounded once.
 
-    Here every store and territory pair is weighted by itself, where P4.3 uses a store's summed weights.
+    Here each pair of store and territory is weighted by itself, where P4.3 uses a store's
+    summed weights. A store's whole revenue is carried by the first of its pairs only, so one
+    pass gives both sums.
     """
-    per_store = cells(star.fato_pedido, ["sk_loja"], {"valor": F.sum("vl_liquido")})
+    per_store = roll_up(parts if parts is not None else _key_cells(star, ["sk_loja"]), ["sk_loja"], ["valor"])
     codes = star.dim_loja.select("sk_loja", "cod_loja")
-    weighted = per_store.join(codes, "sk_loja").join(star.bridge_loja_praca, "cod_loja")
-    spread = weighted.agg(F.sum(F.col("valor") * F.col("fator_publico"))).scalar()
-    sums = per_store.agg(
-        F.sum("valor").alias("total"),
-        F.sum(F.when(F.col("sk_loja") == UNKNOWN_KEY, F.col("valor"))).alias("sem_loja"),
-    ).withColumn("rateado", spread)
+    first = F.row_number().over(Window.partitionBy("cod_loja").orderBy("sk_praca")) == 1
+    bridge = star.bridge_loja_praca.withColumn("__first", first)
+    pairs = per_store.join(codes, "sk_loja", "left").join(bridge, "cod_loja", "left")
+    once = F.when(F.coalesce("__first", F.lit(True)), F.col("valor"))
+    sums = pairs.agg(
+        F.sum(once).alias("total"),
+        F.sum(F.col("valor") * F.col("fator_publico")).alias("rateado"),
+        F.sum(F.when(F.col("sk_loja") == UNKNOWN_KEY, once)).alias("sem_loja"),
+    )
     return sums.select(
         F.round("total").alias("total_da_rede"),
         F.round("rateado").alias("soma_rateada"),
@@ -351,8 +365,12 @@ def allocation(star: Star) -> DataFrame:
 def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataFrame:
     """Every check that comes down to a number, with the must-be-empty ones counted.
 
-    Staging and fact are each profiled in one pass over the columns their checks need.
+    The staging is read once. The fact is read once for its profile, once per settled set
+    of cells, and once for each uniqueness check.
     """
+    places = settle(_key_cells(star, ["sk_loja", "sk_categoria"]), "place_cells")
+    days = settle(_key_cells(star, ["sk_tempo_pedido", "sk_tempo_entrega"]), "day_cells")
+    parts_by_key = {fk: days if "tempo" in fk else places for fk in _FK_COLUMNS}
     staging_profile = _long(
         cells(
             staging.orders,
@@ -379,8 +397,9 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         "stg_loja_praca": staging.territories,
         **{name: getattr(star, name) for name in KEYS if name != "fato_pedido"},
     }
-    total = join_preserves_total(star)
-    shares = allocation(star)
+    total = join_preserves_total(star, places)
+    shares = allocation(star, places)
+    lost = F.col("valor") - F.col("esperado")
     misplaced = rule_order(star).where(F.col("nome_categoria") != F.col("esperado"))
     parts = [
         staging_profile,
@@ -392,9 +411,9 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         _one(bridge_weights(star), "lojas com fator diferente de 1"),
         bridge_coverage(star).select("teste", "valor"),
         unknown_rows(star).select("teste", "valor"),
-        _orphans(star),
+        _orphans(star, parts_by_key),
         fact_grain(staging, star).select(
-            F.lit("pedidos perdidos ou repetidos").alias("teste"), (F.col("valor") - F.col("esperado")).alias("valor")
+            F.lit("pedidos perdidos ou repetidos").alias("teste"), lost.alias("valor")
         ),
         _long(total.select((F.col("total_na_fato") - F.col("total_pela_p2")).alias("total perdido na juncao de categoria"))),
         _long(shares.select(F.col("diferenca").alias("rateio sem fechar"))),

@@ -54,3 +54,13 @@ def write_table(df: DataFrame, folder: str, name: str, schema: T.StructType) ->
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/{name}")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    Cuts the lineage, lets several uses share one computation, and gives the planner a
+    true size. Unlike a cached table it outlives its executors.
+    """
+    folder = new_folder(df.sparkSession, label)
+    return write_table(df, folder, label, df.schema)
