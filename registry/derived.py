@@ -2,7 +2,10 @@
 
 The given tables are clean, so text as it would come from a shop system is made from
 them by fixed rules, row by row and over all rows: ``k`` is the order key and picks
-format, spelling and gaps. Comparison queries work from the clean columns instead.
+format, spelling and gaps. The store is the nation numbered ``o_custkey % 25``, so that
+an order row carries its store, as a shop's export does, and no join of orders with
+customers stands before the work to be measured. Comparison queries work from the clean
+columns instead.
 """
 
 from __future__ import annotations
@@ -11,10 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import size_band
-from starloom.operators.keys import positional_keys
 from starloom.plans.load import Staging
-from starloom.schema import ORDER_HEADERS, TERRITORY_HEADERS
-from starloom.sources.staging import rename
+from starloom.schema import ORDER_HEADERS
+from starloom.sources.staging import read_orders, read_territories
 
 # Invented spellings, by position; the labels they stand for are in registry/oracles.py.
 CATEGORIES = (
@@ -51,10 +53,8 @@ _MONEY_TEXT = "translate(format_number(a, 2), ',.', '.,')"
 
 
 def _order_moments(orders: DataFrame) -> DataFrame:
-    k = "o_orderkey as k"
     moments = orders.selectExpr(
-        *[c for c in orders.columns if c == "sk_pedido"],
-        k,
+        "o_orderkey as k",
         "o_custkey",
         "cast(o_totalprice as decimal(15,2)) as a",
         "cast(o_orderdate as timestamp_ntz) + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)) as t",
@@ -83,8 +83,6 @@ _ORDER_TEXT = {
         " when 4 then cast(floor(a) as string)"
         " else if(k % 12 = 5, '', '-') end"
     ),
-}
-_STORE_TEXT = {
     "Loja-Nome": (
         "case when k % 1000 = 7 then '' else case k % 7"
         " when 0 then base when 1 then lower(base) when 2 then concat(base, '/SC')"
@@ -100,36 +98,18 @@ _SPELLED = {
 }
 
 
-def orders(spark: SparkSession, sf_dir: str, keyed: bool = False, stores: bool = True) -> DataFrame:
-    """Order staging as read: text columns under the library's names.
-
-    ``keyed`` numbers the orders by their place in the files. Without ``stores`` the two
-    store columns are left out, and with them the join that finds an order's store.
-    """
-    source = table(spark, sf_dir, "orders")
-    if keyed:
-        source = positional_keys(source, "sk_pedido")
-    moments = _order_moments(source)
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw order staging: text under the shop system's own headers."""
+    moments = _order_moments(table(spark, sf_dir, "orders"))
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "concat('LOJA ', n_name) as base")
+    placed = moments.join(nations, F.expr("o_custkey % 25") == nations["n_nationkey"], "left")
     texts = {name: F.expr(text) for name, text in _ORDER_TEXT.items()}
     texts |= {name: _spelling(*choice) for name, choice in _SPELLED.items()}
-    if stores:
-        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "concat('LOJA ', n_name) as base")
-        moments = moments.join(customers, moments["o_custkey"] == customers["c_custkey"], "left")
-        moments = moments.join(nations, moments["c_nationkey"] == nations["n_nationkey"], "left")
-        texts |= {name: F.expr(text) for name, text in _STORE_TEXT.items()}
-    headers = {old: new for old, new in ORDER_HEADERS.items() if old in texts}
-    raw = moments.select(
-        *[F.col(c) for c in moments.columns if c == "sk_pedido"],
-        *[texts[header].alias(header) for header in headers],
-    )
-    if keyed:
-        headers = {"sk_pedido": "sk_pedido", **headers}
-    return rename(raw, headers)
+    return placed.select(*[texts[header].alias(header) for header in ORDER_HEADERS])
 
 
 def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store-by-territory staging: stores with an even key serve two regions, others one."""
+    """Raw store-by-territory staging: stores with an even key serve two regions, others one."""
     regions = table(spark, sf_dir, "region")
     shares = table(spark, sf_dir, "nation").selectExpr(
         "n_nationkey",
@@ -137,7 +117,7 @@ def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
         " array(struct(n_regionkey as r, '0,85' as p), struct((n_regionkey + 1) % 5 as r, '0,15' as p)),"
         " array(struct(n_regionkey as r, '1,00' as p))))",
     )
-    raw = shares.join(regions, shares["r"] == regions["r_regionkey"]).selectExpr(
+    return shares.join(regions, shares["r"] == regions["r_regionkey"]).selectExpr(
         "concat('LJ-', lpad(n_nationkey + 1, 3, '0')) as CodLoja",
         "concat('PR-', r) as CodPraca",
         "concat('Praca ', r_name) as NomePraca",
@@ -145,7 +125,6 @@ def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
         "translate(format_number((r + 1) * 37000, 0), ',', '.') as DomiciliosComPet",
         "p as PercentualPublico",
     )
-    return rename(raw, TERRITORY_HEADERS)
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,11 +155,17 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staging(spark: SparkSession, sf_dir: str) -> Staging:
-    """All that a load needs, orders numbered."""
+def write_staging(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write the two text tables."""
+    orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_pedido")
+    territories(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_loja_praca")
+
+
+def read_staging(spark: SparkSession, sf_dir: str, folder: str, keyed: bool = False) -> Staging:
+    """All that a load needs; ``keyed`` numbers the orders."""
     return Staging(
-        orders(spark, sf_dir, keyed=True),
-        territories(spark, sf_dir),
+        read_orders(spark, f"{folder}/stg_pedido", keyed=keyed),
+        read_territories(spark, f"{folder}/stg_loja_praca"),
         stores(spark, sf_dir),
         aliases(spark, sf_dir),
     )

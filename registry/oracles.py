@@ -66,7 +66,7 @@ f AS (
          CAST(CASE WHEN k % 10 >= 5 THEN (k // 135) % 4 END AS INTEGER) AS l4,
          CAST(CASE WHEN k % 10 >= 5 THEN k % 5 + (k // 5) % 3 + (k // 15) % 9 + (k // 135) % 4 END
               AS INTEGER) AS lt
-  FROM o LEFT JOIN customer ON c_custkey = c LEFT JOIN nation ON n_nationkey = c_nationkey
+  FROM o LEFT JOIN nation ON n_nationkey = c % 25
 )"""
 
 _STORES = """

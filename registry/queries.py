@@ -31,30 +31,37 @@ from starloom.operators.metrics import known
 from starloom.plans import answers, checks
 from starloom.plans.load import Staging, Star, calendar_of, load_star, order_profile, read_star
 from starloom.schema import LAGS, UNKNOWN_LABEL
+from starloom.session import tune
 from starloom.sources.warehouse import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_star_folders: dict[tuple[str, str], str] = {}
-_loading = threading.Lock()
+_folders: dict[tuple[str, str, str], str] = {}
+_loading = threading.RLock()
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over ``sf_dir``, loaded at its first use in an application and then read."""
-    place = (spark.sparkContext.applicationId, sf_dir)
+def _written(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]) -> str:
+    """The folder ``write`` filled at its first use for ``sf_dir`` in this application."""
+    place = (spark.sparkContext.applicationId, sf_dir, label)
     with _loading:
-        if place not in _star_folders:
-            folder = new_folder(spark, "star")
-            load_star(spark, derived.staging(spark, sf_dir), folder)
-            _star_folders[place] = folder
-    return read_star(spark, _star_folders[place])
+        if place not in _folders:
+            tune(spark)
+            folder = new_folder(spark, label)
+            write(folder)
+            _folders[place] = folder
+        return _folders[place]
 
 
-def staging(spark: SparkSession, sf_dir: str) -> Staging:
-    """What the checks on raw text need; orders are not numbered."""
-    return Staging(
-        derived.orders(spark, sf_dir), derived.territories(spark, sf_dir), derived.stores(spark, sf_dir)
-    )
+def staging(spark: SparkSession, sf_dir: str, keyed: bool = False) -> Staging:
+    """The text tables made from ``sf_dir``, written once and then read as any staging."""
+    folder = _written(spark, sf_dir, "staging", lambda f: derived.write_staging(spark, sf_dir, f))
+    return derived.read_staging(spark, sf_dir, folder, keyed)
+
+
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star over ``sf_dir``, loaded once and then read."""
+    folder = _written(spark, sf_dir, "star", lambda f: load_star(spark, staging(spark, sf_dir, True), f))
+    return read_star(spark, folder)
 
 
 def plain_types(df: DataFrame) -> DataFrame:
@@ -68,8 +75,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def _order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order staging without its store columns, which most cleaners do not need."""
-    return derived.orders(spark, sf_dir, stores=False)
+    return staging(spark, sf_dir).orders
 
 
 def _per_spelling(column: str, name: str, label: Callable) -> Query:
@@ -101,7 +107,7 @@ def dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_unknown(territory_dim(derived.territories(spark, sf_dir)), "dim_praca").drop("sk_praca")
+    return with_unknown(territory_dim(staging(spark, sf_dir).territories), "dim_praca").drop("sk_praca")
 
 
 def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +115,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bridge_store_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    territories = derived.territories(spark, sf_dir)
+    territories = staging(spark, sf_dir).territories
     dim = territory_dim(territories)
     codes = dim.select("sk_praca", "cod_praca")
     return build_bridge(territories, dim).join(codes, "sk_praca").drop("sk_praca")
@@ -164,7 +170,7 @@ def known_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.orders(spark, sf_dir).select(
+    return _order_text(spark, sf_dir).select(
         "numero_pedido", name_key(F.col("loja_nome")).alias("chave_loja")
     )
 
@@ -244,7 +250,7 @@ def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = staging(spark, sf_dir)
     return checks.row_counts(
         {
-            "stg_pedido": _order_text(spark, sf_dir),
+            "stg_pedido": raw.orders,
             "stg_loja": raw.stores,
             "stg_loja_praca": raw.territories,
             "dim_tempo": loaded.dim_tempo,
@@ -292,8 +298,8 @@ def _cleaners() -> dict[str, Query]:
 
 def registered() -> dict[str, Query]:
     found: dict[str, Query] = {
-        "stg_orders_scan": derived.orders,
-        "stg_territories_scan": derived.territories,
+        "stg_orders_scan": _order_text,
+        "stg_territories_scan": lambda spark, sf_dir: staging(spark, sf_dir).territories,
         **_cleaners(),
         "milestone_lags": milestone_lags_query,
         "store_name_key": store_name_key,
@@ -333,12 +339,8 @@ def registered() -> dict[str, Query]:
         "p5_quality_pct": _on_star(answers.quality_percentages),
         "check_row_counts": check_row_counts,
         "check_spellings": _on_staging(checks.spellings, EXPECTED),
-        "check_blank_milestones": lambda spark, sf_dir: checks.blank_milestones(
-            Staging(_order_text(spark, sf_dir), None, None)
-        ),
-        "check_date_mask": lambda spark, sf_dir: checks.date_mask(
-            Staging(_order_text(spark, sf_dir), None, None)
-        ),
+        "check_blank_milestones": _on_staging(checks.blank_milestones),
+        "check_date_mask": _on_staging(checks.date_mask),
         "check_category_domain": _on_star(checks.category_domain, EXPECTED),
         "check_unclassified": _on_star(checks.unclassified),
         "check_rule_order": _on_star(checks.rule_order),
@@ -347,7 +349,7 @@ def registered() -> dict[str, Query]:
         "check_unknown_rows": _on_star(checks.unknown_rows),
         "check_unique_keys": _on_star(checks.unique_keys),
         "check_fact_grain": lambda spark, sf_dir: checks.fact_grain(
-            Staging(_order_text(spark, sf_dir), None, None), star(spark, sf_dir)
+            staging(spark, sf_dir), star(spark, sf_dir)
         ),
         "check_fk_integrity": _on_star(checks.fk_integrity),
         "check_unresolved": _on_star(checks.unresolved),

@@ -46,9 +46,8 @@ def positional_keys(scan: DataFrame, name: str) -> DataFrame:
     counts = scan.groupBy(path.alias("__file")).agg(F.count("*").alias("__rows"))
     offsets = settle(_running_offset(counts, "__file"), "file_offsets")
     placed = scan.withColumns({"__file": path, "__position": F.col("_metadata.row_index")})
-    return placed.join(offsets, "__file").select(
-        (F.col("__offset") + F.col("__position") + 1).alias(name), *scan.columns
-    )
+    key = F.col("__offset") + F.col("__position") + 1
+    return placed.join(offsets, "__file").withColumn(name, key).drop("__file", "__position", "__offset")
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -159,27 +159,27 @@ def champion_by_size(star: Star, by: str = "nome_categoria", within: str = "port
 # P3: does a discount work alike in every channel?
 
 
-def _with_discount(column: Column) -> Column:
-    return F.when(F.col("houve_desconto") == "Sim", column)
-
-
-def _without_discount(column: Column) -> Column:
-    return F.when(F.col("houve_desconto") == "Nao", column)
-
-
 def _ticket_cells(star: Star, by: str) -> DataFrame:
-    value = F.col("vl_liquido")
-    measures = {
-        "qtd_pedidos": _orders(),
-        "faturamento_canal": _revenue(),
-        "sum_com": F.sum(_with_discount(value)),
-        "n_com": F.count(_with_discount(value)),
-        "sum_sem": F.sum(_without_discount(value)),
-        "n_sem": F.count(_without_discount(value)),
-        "pedidos_com_desconto": count_if(F.col("houve_desconto") == "Sim"),
-        "pedidos_sem_desconto": count_if(F.col("houve_desconto") == "Nao"),
-    }
-    return cells(star.fato_pedido, [by], measures)
+    """Orders, revenue and valued orders per ``by``, in all and by discount flag.
+
+    The fact is added up by ``by`` and flag; the conditions then look at those few cells.
+    """
+    measures = {"pedidos": _orders(), "receita": _revenue(), "valores": F.count("vl_liquido")}
+    flagged = cells(star.fato_pedido, [by, "houve_desconto"], measures)
+
+    def where(flag: str, name: str) -> Column:
+        return F.when(F.col("houve_desconto") == flag, F.col(name))
+
+    return flagged.groupBy(by).agg(
+        F.sum("pedidos").alias("qtd_pedidos"),
+        F.sum("receita").alias("faturamento_canal"),
+        F.sum(where("Sim", "receita")).alias("sum_com"),
+        F.sum(where("Sim", "valores")).alias("n_com"),
+        F.sum(where("Sim", "pedidos").otherwise(0)).alias("pedidos_com_desconto"),
+        F.sum(where("Nao", "receita")).alias("sum_sem"),
+        F.sum(where("Nao", "valores")).alias("n_sem"),
+        F.sum(where("Nao", "pedidos").otherwise(0)).alias("pedidos_sem_desconto"),
+    )
 
 
 def _mean_ticket(kind: str) -> Column:

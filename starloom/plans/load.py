@@ -60,14 +60,14 @@ def order_profile(orders: DataFrame) -> DataFrame:
 
     The one pass over the orders that all dimensions built from them share.
     """
-    return orders.groupBy("categoria_produto").agg(
-        F.min(F.to_date(parse_us_timestamp(F.col("dt_hora_pedido")))).alias("inicio"),
-        F.max(
-            F.greatest(
-                F.to_date(parse_us_timestamp(F.col("dt_hora_pedido"))),
-                parse_date(F.col("dt_entrega_cliente")),
-            )
-        ).alias("fim"),
+    days = orders.select(
+        "categoria_produto",
+        F.to_date(parse_us_timestamp(F.col("dt_hora_pedido"))).alias("__pedido"),
+        parse_date(F.col("dt_entrega_cliente")).alias("__entrega"),
+    )
+    return days.groupBy("categoria_produto").agg(
+        F.min("__pedido").alias("inicio"),
+        F.greatest(F.max("__pedido"), F.max("__entrega")).alias("fim"),
     )
 
 

@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# HotSpot leaves larger methods interpreted; past this size Spark runs the parts one by one.
+RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark: SparkSession) -> None:
+    """Apply the settings a running session may still change."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+
+
 def get_spark(master: str | None = None, app_name: str = "starloom", **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; on a cluster leave ``master`` to spark-submit."""
     builder = (
@@ -12,13 +22,11 @@ def get_spark(master: str | None = None, app_name: str = "starloom", **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # HotSpot leaves larger methods interpreted; past this size Spark runs the parts one by one.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.keys import positional_keys
 from starloom.schema import ORDER_HEADERS, TERRITORY_HEADERS
 
 
@@ -22,14 +23,17 @@ def _scan(spark: SparkSession, path: str, kind: str, headers: Mapping[str, str])
     if kind == "csv":
         # Blank fields are empty text in these tables, not NULL.
         reader = reader.option("header", True).option("nullValue", "\0").option("emptyValue", "")
-    return rename(reader.format(kind).load(path), headers)
+    return reader.format(kind).load(path)
 
 
-def read_orders(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
-    """Order staging, all text."""
-    return _scan(spark, path, kind, ORDER_HEADERS)
+def read_orders(spark: SparkSession, path: str, kind: str = "parquet", keyed: bool = False) -> DataFrame:
+    """Order staging, all text. ``keyed`` adds ``sk_pedido`` by place in the files (Parquet only)."""
+    raw = _scan(spark, path, kind, ORDER_HEADERS)
+    if not keyed:
+        return rename(raw, ORDER_HEADERS)
+    return rename(positional_keys(raw, "sk_pedido"), {"sk_pedido": "sk_pedido", **ORDER_HEADERS})
 
 
 def read_territories(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
     """Store-by-territory staging, all text."""
-    return _scan(spark, path, kind, TERRITORY_HEADERS)
+    return rename(_scan(spark, path, kind, TERRITORY_HEADERS), TERRITORY_HEADERS)
