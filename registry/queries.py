@@ -29,39 +29,52 @@ from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk
 from starloom.operators.metrics import known
 from starloom.plans import answers, checks
-from starloom.plans.load import Staging, Star, calendar_of, load_star, order_profile, read_star
+from starloom.plans.load import Staging, Star, calendar_of, load_star, order_profile
 from starloom.schema import LAGS, UNKNOWN_LABEL
 from starloom.session import tune
 from starloom.sources.warehouse import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_folders: dict[tuple[str, str, str], str] = {}
-_loading = threading.RLock()
+_made: dict[tuple, object] = {}
+_making = threading.RLock()
 
 
-def _written(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]) -> str:
-    """The folder ``write`` filled at its first use for ``sf_dir`` in this application."""
+def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], object]):
+    """What ``make`` gave at its first call for this application, folder and session."""
     place = (spark.sparkContext.applicationId, sf_dir, label)
-    with _loading:
-        if place not in _folders:
-            tune(spark)
-            folder = new_folder(spark, label)
-            write(folder)
-            _folders[place] = folder
-        return _folders[place]
+    with _making:
+        owner, value = _made.get(place, (None, None))
+        if owner is not spark:
+            value = make()
+            _made[place] = (spark, value)
+        return value
 
 
-def staging(spark: SparkSession, sf_dir: str, keyed: bool = False) -> Staging:
+def _staging_folder(spark: SparkSession, sf_dir: str) -> str:
+    def write() -> str:
+        tune(spark)
+        folder = new_folder(spark, "staging")
+        derived.write_staging(spark, sf_dir, folder)
+        return folder
+
+    return _once(spark, sf_dir, "staging folder", write)
+
+
+def keyed_staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """The text tables with numbered orders, as a load takes them."""
+    return derived.read_staging(spark, sf_dir, _staging_folder(spark, sf_dir), keyed=True)
+
+
+def staging(spark: SparkSession, sf_dir: str) -> Staging:
     """The text tables made from ``sf_dir``, written once and then read as any staging."""
-    folder = _written(spark, sf_dir, "staging", lambda f: derived.write_staging(spark, sf_dir, f))
-    return derived.read_staging(spark, sf_dir, folder, keyed)
+    folder = _staging_folder(spark, sf_dir)
+    return _once(spark, sf_dir, "staging", lambda: derived.read_staging(spark, sf_dir, folder))
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star over ``sf_dir``, loaded once and then read."""
-    folder = _written(spark, sf_dir, "star", lambda f: load_star(spark, staging(spark, sf_dir, True), f))
-    return read_star(spark, folder)
+    return _once(spark, sf_dir, "star", lambda: load_star(spark, keyed_staging(spark, sf_dir)))
 
 
 def plain_types(df: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,22 +78,21 @@ def size_band(
     )
 
 
-def _whole(col: Column, scale: int) -> Column:
-    """A decimal of ``scale`` digits as a whole number of its last digit."""
-    return (col.cast(T.DecimalType(38, scale)) * 10**scale).cast(T.DecimalType(38, 0))
-
-
 def rounded_ratio(
-    top: Column, bottom: Column, digits: int = 2, scale: int = 2, bottom_scale: int = 0, times: int = 1
+    top: str, bottom: str, digits: int = 2, scale: int = 2, bottom_scale: int = 0, times: int = 1
 ) -> Column:
     """``times * top / bottom`` rounded once, half away from zero; NULL for a zero bottom.
 
-    ``scale`` and ``bottom_scale`` are the decimal places the two sides carry. The
-    quotient is formed on whole numbers, so no intermediate rounding can tip a tie.
+    ``top`` and ``bottom`` are SQL expressions that carry ``scale`` and ``bottom_scale``
+    decimal places. The quotient is formed on whole numbers, so no intermediate rounding
+    can tip a tie.
     """
-    upper = F.abs(_whole(top, scale)) * (times * 10**bottom_scale)
-    lower = F.nullif(F.abs(_whole(bottom, bottom_scale)) * 10**scale, F.lit(0))
-    units = F.call_function("div", upper * (2 * 10**digits) + lower, lower * 2)
-    negative = (top < 0) != (bottom < 0)
-    size = units.cast(T.DecimalType(20, 0)) * F.lit(Decimal(1).scaleb(-digits))
-    return F.when(negative, -size).otherwise(size).cast(T.DecimalType(20, digits))
+
+    def whole(value: str, places: int) -> str:
+        return f"abs(cast(({value}) * {10**places} as decimal(38,0)))"
+
+    upper = f"{whole(top, scale)} * {times * 10**bottom_scale}"
+    lower = f"nullif({whole(bottom, bottom_scale)} * {10**scale}, 0)"
+    units = f"({upper} * {2 * 10**digits} + {lower}) div ({lower} * 2)"
+    signed = f"if((({top}) < 0) <> (({bottom}) < 0), -1, 1) * ({units})"
+    return F.expr(f"cast(cast({signed} as decimal(20,0)) / {10**digits} as decimal(20,{digits}))")

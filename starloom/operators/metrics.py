@@ -48,10 +48,10 @@ def lag_measures(lags: Sequence[str] = LAGS) -> dict[str, Column]:
 
 def lag_mean(lag: str) -> Column:
     """Mean of a lag from its cells, to two places."""
-    return rounded_ratio(F.col(f"sum_{lag}"), F.col(f"n_{lag}"), scale=0)
+    return rounded_ratio(f"sum_{lag}", f"n_{lag}", scale=0)
 
 
-def share(part: Column, whole: Column) -> Column:
+def share(part: str, whole: str) -> Column:
     """Money as a percentage of other money, to two places."""
     return rounded_ratio(part, whole, bottom_scale=2, times=100)
 
@@ -84,6 +84,6 @@ def champions(groups: DataFrame, within: Sequence[str], measure: str) -> DataFra
     return ranked.where((F.col("__place") == 1) & F.col(measure).isNotNull()).drop("__place")
 
 
-def per_unit(top: Column, unit: Column, scale: int, times: int = 1) -> Column:
+def per_unit(top: str, unit: str, scale: int, times: int = 1) -> Column:
     """``times * top / unit`` to two places; NULL for a unit of zero or NULL."""
     return rounded_ratio(top, unit, scale=scale, times=times)

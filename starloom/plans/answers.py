@@ -114,7 +114,7 @@ def revenue_by_category(star: Star, by: str = "nome_categoria") -> DataFrame:
         .select(
             by,
             _money(measure).alias(measure),
-            share(F.col(measure), F.col("__total")).alias("percentual_faturamento"),
+            share(measure, "__total").alias("percentual_faturamento"),
         )
         .orderBy(F.desc_nulls_first(measure))
     )
@@ -141,7 +141,7 @@ def category_by_size(star: Star, by: str = "nome_categoria", within: str = "port
         within,
         by,
         _money("faturamento_categoria").alias("faturamento_categoria"),
-        share(F.col("faturamento_categoria"), F.col("__total")).alias(f"percentual_no_{within}"),
+        share("faturamento_categoria", "__total").alias(f"percentual_no_{within}"),
     ).orderBy(within, F.desc_nulls_first("faturamento_categoria"))
 
 
@@ -183,30 +183,22 @@ def _ticket_cells(star: Star, by: str) -> DataFrame:
 
 
 def _mean_ticket(kind: str) -> Column:
-    return rounded_ratio(F.col(f"sum_{kind}"), F.col(f"n_{kind}"))
+    return rounded_ratio(f"sum_{kind}", f"n_{kind}")
 
 
-def _whole(name: str, places: int = 0) -> Column:
-    """A sum or count as a whole number; money in cents."""
-    return (F.col(name) * 10**places).cast("decimal(38,0)")
-
-
-def _cross(first: str, second: str) -> Column:
-    """``sum_first * n_second`` in cents."""
-    return (_whole(f"sum_{first}", 2) * _whole(f"n_{second}")).cast("decimal(38,0)")
+# The two means brought to one denominator, in cents: each sum times the other count.
+_CROSS_WITH = "cast(sum_com * 100 as decimal(38,0)) * n_sem"
+_CROSS_WITHOUT = "cast(sum_sem * 100 as decimal(38,0)) * n_com"
 
 
 def _ticket_gap() -> Column:
-    """Mean with minus mean without discount, as one fraction and rounded once."""
-    both = (_whole("n_com") * _whole("n_sem")).cast("decimal(36,0)") * 100
-    return rounded_ratio(_cross("com", "sem") - _cross("sem", "com"), both, scale=0)
+    """Mean with minus mean without discount, rounded once and not mean by mean."""
+    return rounded_ratio(f"{_CROSS_WITH} - {_CROSS_WITHOUT}", "cast(n_com as decimal(38,0)) * n_sem * 100", scale=0)
 
 
 def _ticket_change() -> Column:
     """The gap as a percentage of the mean without discount; NULL where that mean is zero."""
-    return rounded_ratio(
-        _cross("com", "sem") - _cross("sem", "com"), _cross("sem", "com"), scale=0, times=100
-    )
+    return rounded_ratio(f"{_CROSS_WITH} - {_CROSS_WITHOUT}", _CROSS_WITHOUT, scale=0, times=100)
 
 
 def ticket_by_channel(star: Star, by: str = "canal_pedido") -> DataFrame:
@@ -242,17 +234,17 @@ def ticket_gap(star: Star, by: str = "canal_pedido") -> DataFrame:
 def channel_share(star: Star, by: str = "canal_pedido") -> DataFrame:
     """P3.3: orders, revenue and share of all revenue per channel, all orders."""
     groups = cells(star.fato_pedido, [by], {"qtd_pedidos": _orders(), "faturamento_canal": _revenue()})
-    return groups.select(
+    return groups.withColumn("__total", total("faturamento_canal")).select(
         by,
         "qtd_pedidos",
         _money("faturamento_canal").alias("faturamento_canal"),
-        share(F.col("faturamento_canal"), total("faturamento_canal")).alias("percentual_faturamento"),
+        share("faturamento_canal", "__total").alias("percentual_faturamento"),
     ).orderBy(F.desc_nulls_first("faturamento_canal"))
 
 
 def channel_summary(star: Star, by: str = "canal_pedido") -> DataFrame:
     """P3.4: tickets, gap, orders, revenue and share per channel in one pass, all orders."""
-    groups = _ticket_cells(star, by)
+    groups = _ticket_cells(star, by).withColumn("__total", total("faturamento_canal"))
     return groups.select(
         by,
         "qtd_pedidos",
@@ -260,7 +252,7 @@ def channel_summary(star: Star, by: str = "canal_pedido") -> DataFrame:
         _mean_ticket("sem").alias("ticket_sem_desconto"),
         _ticket_gap().alias("diferenca_ticket"),
         _money("faturamento_canal").alias("faturamento_canal"),
-        share(F.col("faturamento_canal"), total("faturamento_canal")).alias("percentual_faturamento"),
+        share("faturamento_canal", "__total").alias("percentual_faturamento"),
     ).orderBy(F.desc_nulls_first("faturamento_canal"))
 
 
@@ -330,7 +322,7 @@ def revenue_per_household(star: Star) -> DataFrame:
             "nome_praca",
             "domicilios_com_pet",
             _money("faturamento_rateado").alias("faturamento_rateado"),
-            per_unit(F.col("faturamento_rateado"), F.col("domicilios_com_pet"), ALLOCATED_SCALE).alias(
+            per_unit("faturamento_rateado", "domicilios_com_pet", ALLOCATED_SCALE).alias(
                 "faturamento_por_domicilio_com_pet"
             ),
         )
@@ -353,7 +345,7 @@ def items_per_thousand(star: Star) -> DataFrame:
             "porte",
             "populacao_cidade",
             "total_itens_vendidos",
-            per_unit(F.col("total_itens_vendidos"), F.col("populacao_cidade"), 0, times=1000).alias(
+            per_unit("total_itens_vendidos", "populacao_cidade", 0, times=1000).alias(
                 "itens_por_mil_habitantes"
             ),
             lag_mean(TOTAL_LAG).alias("tempo_medio_entrega"),
@@ -384,7 +376,7 @@ def tier_share(star: Star, by: str = "faixa_franquia") -> DataFrame:
             by,
             "qtd_pedidos",
             _money("faturamento").alias("faturamento"),
-            share(F.col("faturamento"), F.col("__total")).alias("percentual_faturamento"),
+            share("faturamento", "__total").alias("percentual_faturamento"),
         )
         .orderBy(F.desc_nulls_first("faturamento"))
     )
@@ -412,5 +404,5 @@ def quality_percentages(star: Star) -> DataFrame:
     return long.select(
         "problema",
         "quantidade",
-        rounded_ratio(F.col("quantidade"), F.col("total_pedidos"), scale=0, times=100).alias("percentual"),
+        rounded_ratio("quantidade", "total_pedidos", scale=0, times=100).alias("percentual"),
     )
