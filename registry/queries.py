@@ -211,6 +211,19 @@ def lookup_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(dim, "sk_categoria").select("numero_pedido", "categoria_origem", "nome_categoria")
 
 
+def date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _order_text(spark, sf_dir).select(
+        "numero_pedido",
+        F.to_date(parse_us_timestamp(F.col("dt_hora_pedido"))).alias("pedido"),
+        parse_date(F.col("dt_entrega_cliente")).alias("entrega"),
+    )
+    return days.select(
+        "numero_pedido",
+        date_key(F.col("pedido")).alias("sk_tempo_pedido"),
+        date_key(F.col("entrega")).alias("sk_tempo_entrega"),
+    )
+
+
 def milestone_lags_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _order_text(spark, sf_dir)
     dates = texts.select(
@@ -302,10 +315,6 @@ def _cleaners() -> dict[str, Query]:
         "parse_money": _per_order(vl_liquido=lambda: parse_money_br(F.col("valor_liquido_pedido"))),
         "parse_quantity": _per_order(qt_itens=lambda: parse_int(F.col("qtd_itens"))),
         "parse_timestamp": _per_order(dt_pedido=lambda: parse_us_timestamp(F.col("dt_hora_pedido"))),
-        "date_keys": _per_order(
-            sk_tempo_pedido=lambda: date_key(F.to_date(parse_us_timestamp(F.col("dt_hora_pedido")))),
-            sk_tempo_entrega=lambda: date_key(parse_date(F.col("dt_entrega_cliente"))),
-        ),
     }
 
 
@@ -314,6 +323,7 @@ def registered() -> dict[str, Query]:
         "stg_orders_scan": _order_text,
         "stg_territories_scan": lambda spark, sf_dir: staging(spark, sf_dir).territories,
         **_cleaners(),
+        "date_keys": date_keys,
         "milestone_lags": milestone_lags_query,
         "store_name_key": store_name_key,
         "store_alias": store_alias,
