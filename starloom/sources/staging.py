@@ -19,21 +19,23 @@ def rename(raw: DataFrame, headers: Mapping[str, str]) -> DataFrame:
 
 def _scan(spark: SparkSession, path: str, kind: str, headers: Mapping[str, str]) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in headers])
-    reader = spark.read.schema(schema)
-    if kind == "csv":
-        # Blank fields are empty text in these tables, not NULL.
-        reader = reader.option("header", True).option("nullValue", "\0").option("emptyValue", "")
-    return reader.format(kind).load(path)
+    return spark.read.schema(schema).option("header", True).format(kind).load(path)
+
+
+def _named(raw: DataFrame, kind: str, headers: Mapping[str, str]) -> DataFrame:
+    named = rename(raw, headers)
+    # Blank fields are empty text in these tables, where the CSV reader gives NULL.
+    return named.fillna("") if kind == "csv" else named
 
 
 def read_orders(spark: SparkSession, path: str, kind: str = "parquet", keyed: bool = False) -> DataFrame:
     """Order staging, all text. ``keyed`` adds ``sk_pedido`` by place in the files (Parquet only)."""
     raw = _scan(spark, path, kind, ORDER_HEADERS)
     if not keyed:
-        return rename(raw, ORDER_HEADERS)
+        return _named(raw, kind, ORDER_HEADERS)
     return rename(positional_keys(raw, "sk_pedido"), {"sk_pedido": "sk_pedido", **ORDER_HEADERS})
 
 
 def read_territories(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
     """Store-by-territory staging, all text."""
-    return rename(_scan(spark, path, kind, TERRITORY_HEADERS), TERRITORY_HEADERS)
+    return _named(_scan(spark, path, kind, TERRITORY_HEADERS), kind, TERRITORY_HEADERS)
