@@ -157,7 +157,15 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_staging(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Write the two text tables."""
-    orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_pedido")
+    # The many text expressions make one method that HotSpot would leave interpreted; past
+    # this size Spark runs the operators one by one instead.
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "8000")
+    try:
+        orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_pedido")
+    finally:
+        spark.conf.set(limit, before)
     territories(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_loja_praca")
 
 

@@ -363,7 +363,11 @@ def _dimension_oracles() -> dict[str, str]:
             " FROM ponte JOIN praca USING (r)",
             _BRIDGE,
         ),
-        "size_band": _sql("SELECT cod_loja, area_venda_m2, porte FROM loja", _STORES),
+        "size_band": (
+            "SELECT s_suppkey, CAST(CASE WHEN n = 2 THEN 150 ELSE 100 + 20 * n END AS INTEGER) AS area_venda_m2,"
+            " CASE WHEN n IN (0, 1) THEN 'Pequena' WHEN n < 16 THEN 'Media' ELSE 'Grande' END AS porte"
+            " FROM (SELECT s_suppkey, s_suppkey % 25 AS n FROM supplier)"
+        ),
         "dim_calendar": _sql(
             "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_tempo, d AS data, CAST(year(d) AS INTEGER) AS ano,"
             " CAST(month(d) AS INTEGER) AS mes, CAST(day(d) AS INTEGER) AS dia, strftime(d, '%Y-%m') AS ano_mes,"

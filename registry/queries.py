@@ -31,7 +31,6 @@ from starloom.operators.metrics import known
 from starloom.plans import answers, checks
 from starloom.plans.load import Staging, Star, calendar_of, load_star, order_profile
 from starloom.schema import LAGS, UNKNOWN_LABEL
-from starloom.session import tune
 from starloom.sources.warehouse import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +52,6 @@ def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], objec
 
 def _staging_folder(spark: SparkSession, sf_dir: str) -> str:
     def write() -> str:
-        tune(spark)
         folder = new_folder(spark, "staging")
         derived.write_staging(spark, sf_dir, folder)
         return folder
@@ -135,9 +133,11 @@ def bridge_store_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def size_band_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.stores(spark, sf_dir).select(
-        "cod_loja", "area_venda_m2", size_band(F.col("area_venda_m2")).alias("porte")
+    """Bands of sales areas, one per supplier, that cover both bounds."""
+    areas = derived.table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey", "cast(if(s_suppkey % 25 = 2, 150, 100 + 20 * (s_suppkey % 25)) as int) as area_venda_m2"
     )
+    return areas.withColumn("porte", size_band(F.col("area_venda_m2")))
 
 
 def dim_unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,19 +12,27 @@ from starloom.schema import UNKNOWN_KEY
 US_TIMESTAMP = "M/d/yyyy h:mm a"
 
 
-def parse_us_timestamp(col: Column) -> Column:
-    """``09/01/2023 10:07 AM`` as TIMESTAMP_NTZ; blank is NULL, other text raises (ANSI mode)."""
-    return F.to_timestamp_ntz(blank_to_null(col), F.lit(US_TIMESTAMP))
-
-
 def is_us_timestamp(col: Column) -> Column:
     """Whether the text fits the mask; never raises."""
     return F.try_to_timestamp(blank_to_null(col), F.lit(US_TIMESTAMP)).isNotNull()
 
 
-def parse_date(col: Column) -> Column:
-    """ISO date text as DATE; blank is NULL, other text raises (ANSI mode)."""
-    return blank_to_null(col).cast("date")
+def parse_us_timestamp(col: Column, strict: bool = True) -> Column:
+    """``09/01/2023 10:07 AM`` as TIMESTAMP_NTZ; blank is NULL.
+
+    ``strict`` raises on other text (under ANSI mode); otherwise NULL.
+    """
+    stamp = F.to_timestamp_ntz(blank_to_null(col), F.lit(US_TIMESTAMP))
+    return stamp if strict else F.when(is_us_timestamp(col), stamp)
+
+
+def parse_date(col: Column, strict: bool = True) -> Column:
+    """ISO date text as DATE; blank is NULL.
+
+    ``strict`` raises on other text (under ANSI mode); otherwise NULL.
+    """
+    text = blank_to_null(col)
+    return text.cast("date") if strict else text.try_cast("date")
 
 
 def date_key(date: Column) -> Column:

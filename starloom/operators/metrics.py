@@ -59,7 +59,8 @@ def share(part: str, whole: str) -> Column:
 def total(name: str, within: Sequence[str] = ()) -> Column:
     """Total over all groups, or over those of one parent, beside every group.
 
-    Use on rolled-up rows only, one per label: they meet in one task.
+    For rolled-up rows only, one per label, as those of a total meet in one task. Taken
+    there, a total costs no second reading of the fact, which a subquery would.
     """
     return F.sum(name).over(Window.partitionBy(*within))
 

@@ -295,7 +295,7 @@ def reconciliation(star: Star) -> DataFrame:
     """P4.3: allocated plus unknown-store minus total revenue, the difference rounded once.
 
     One pass: each store's revenue times the sum of its factors is what its territories
-    get. As a sum over no rows is missing, so is the difference if no order lacks its store.
+    get. A part without any order is shown as missing and counts as nothing in the difference.
     """
     per_store = cells(star.fato_pedido, ["sk_loja"], {"faturamento": _revenue()})
     weights = star.bridge_loja_praca.groupBy("cod_loja").agg(F.sum("fator_publico").alias("peso"))
@@ -310,7 +310,7 @@ def reconciliation(star: Star) -> DataFrame:
         _money("total").alias("faturamento_total_rede"),
         _money("rateado").alias("faturamento_rateado_pracas"),
         _money("sem_loja").alias("faturamento_sem_loja"),
-        F.round(F.col("rateado") + F.col("sem_loja") - F.col("total"), 2).alias("diferenca"),
+        F.expr("round(coalesce(rateado, 0) + coalesce(sem_loja, 0) - total, 2)").alias("diferenca"),
     )
 
 

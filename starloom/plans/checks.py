@@ -355,7 +355,7 @@ def allocation(star: Star, parts: DataFrame | None = None) -> DataFrame:
         F.round("total").alias("total_da_rede"),
         F.round("rateado").alias("soma_rateada"),
         F.round("sem_loja").alias("sem_loja"),
-        F.round(F.col("total") - F.col("rateado") - F.col("sem_loja")).alias("diferenca"),
+        F.expr("round(total - coalesce(rateado, 0) - coalesce(sem_loja, 0))").alias("diferenca"),
     )
 
 

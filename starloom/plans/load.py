@@ -55,15 +55,15 @@ class Star:
             getattr(self, field.name).createOrReplaceTempView(field.name)
 
 
-def order_profile(orders: DataFrame) -> DataFrame:
+def order_profile(orders: DataFrame, strict: bool = True) -> DataFrame:
     """One row per category spelling with its first order day and last delivery day.
 
     The one pass over the orders that all dimensions built from them share.
     """
     days = orders.select(
         "categoria_produto",
-        F.to_date(parse_us_timestamp(F.col("dt_hora_pedido"))).alias("__pedido"),
-        parse_date(F.col("dt_entrega_cliente")).alias("__entrega"),
+        F.to_date(parse_us_timestamp(F.col("dt_hora_pedido"), strict)).alias("__pedido"),
+        parse_date(F.col("dt_entrega_cliente"), strict).alias("__entrega"),
     )
     return days.groupBy("categoria_produto").agg(
         F.min("__pedido").alias("inicio"),
@@ -76,27 +76,28 @@ def calendar_of(profile: DataFrame) -> DataFrame:
     return calendar(profile.agg(F.min("inicio").alias("inicio"), F.max("fim").alias("fim")))
 
 
-def clean_orders(orders: DataFrame) -> DataFrame:
-    """Typed and standardised order columns. Row by row, so it also runs on a stream.
+def clean_orders(orders: DataFrame, strict: bool = True) -> DataFrame:
+    """Typed and standardised order columns, row by row.
 
-    Shared sub-results (trimmed forms, parsed dates) get a projection of their own,
-    so that each is computed once per row.
+    ``strict`` fails the load on a text that cannot be read; otherwise its value is NULL.
+    Shared sub-results (trimmed forms, parsed dates) get a projection of their own, so
+    that each is computed once per row.
     """
     typed = orders.select(
         *[F.col(c) for c in orders.columns if c == "sk_pedido"],
         "numero_pedido",
         "categoria_produto",
-        parse_us_timestamp(F.col("dt_hora_pedido")).alias("dt_pedido"),
-        F.to_date(parse_us_timestamp(F.col("dt_hora_integracao_erp"))).alias("__integrado"),
-        parse_date(F.col("dt_separacao_estoque")).alias("__separado"),
-        parse_date(F.col("dt_nota_fiscal")).alias("__faturado"),
-        parse_date(F.col("dt_despacho_transportadora")).alias("__despachado"),
-        parse_date(F.col("dt_entrega_cliente")).alias("__entregue"),
+        parse_us_timestamp(F.col("dt_hora_pedido"), strict).alias("dt_pedido"),
+        F.to_date(parse_us_timestamp(F.col("dt_hora_integracao_erp"), strict)).alias("__integrado"),
+        parse_date(F.col("dt_separacao_estoque"), strict).alias("__separado"),
+        parse_date(F.col("dt_nota_fiscal"), strict).alias("__faturado"),
+        parse_date(F.col("dt_despacho_transportadora"), strict).alias("__despachado"),
+        parse_date(F.col("dt_entrega_cliente"), strict).alias("__entregue"),
         upper_trimmed(F.col("houve_desconto")).alias("__desconto"),
         upper_trimmed(F.col("canal_pedido")).alias("__canal"),
         name_key(F.col("loja_nome")).alias("__loja"),
-        parse_int(F.col("qtd_itens")).alias("qt_itens"),
-        parse_money_br(F.col("valor_liquido_pedido")).alias("vl_liquido"),
+        parse_int(F.col("qtd_itens"), strict=strict).alias("qt_itens"),
+        parse_money_br(F.col("valor_liquido_pedido"), strict).alias("vl_liquido"),
     )
     steps = ["__integrado", "__separado", "__faturado", "__despachado", "__entregue"]
     lags = milestone_lags([F.col(step) for step in steps])
@@ -116,20 +117,23 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(orders: DataFrame, dim_categoria: DataFrame, loja_chave: DataFrame) -> DataFrame:
+def build_fact(
+    orders: DataFrame, dim_categoria: DataFrame, loja_chave: DataFrame, strict: bool = True
+) -> DataFrame:
     """One fact row per order row: cleaned columns plus the keys found by lookup."""
-    with_store = lookup_fk(clean_orders(orders), "__loja", loja_chave, "chave_loja", "sk_loja")
+    with_store = lookup_fk(clean_orders(orders, strict), "__loja", loja_chave, "chave_loja", "sk_loja")
     found = lookup_fk(with_store, "categoria_produto", dim_categoria, "categoria_origem", "sk_categoria")
     return found.select(*[name for name in STAR["fato_pedido"].names if name in found.columns])
 
 
-def load_star(spark: SparkSession, staging: Staging, folder: str | None = None) -> Star:
+def load_star(spark: SparkSession, staging: Staging, folder: str | None = None, strict: bool = True) -> Star:
     """Write the tables below ``folder`` and give them back as read from there.
 
     Dimensions go first. Read back, they have a known size, by which the planner
     chooses between a broadcast and a shuffle when the fact looks its keys up. The
     orders are read twice: once for the profile, once for the fact. Orders that carry
     ``sk_pedido`` (see ``positional_keys``) keep it; others are numbered as written.
+    ``strict`` is as for ``clean_orders``.
     """
     folder = folder or new_folder(spark, "star")
 
@@ -138,7 +142,7 @@ def load_star(spark: SparkSession, staging: Staging, folder: str | None = None)
 
     # Small tables that do not need each other are written side by side.
     with ThreadPoolExecutor() as pool:
-        profile_job = pool.submit(write, order_profile(staging.orders), "perfil_pedido")
+        profile_job = pool.submit(write, order_profile(staging.orders, strict), "perfil_pedido")
         store_job = pool.submit(write, with_unknown(staging.stores, "dim_loja"), "dim_loja")
         praca = with_unknown(territory_dim(staging.territories), "dim_praca")
         praca_job = pool.submit(write, praca, "dim_praca")
@@ -151,7 +155,7 @@ def load_star(spark: SparkSession, staging: Staging, folder: str | None = None)
         tempo_job = pool.submit(write, with_unknown(calendar_of(profile), "dim_tempo"), "dim_tempo")
         dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
         dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
-    fact = build_fact(staging.orders, dim_categoria, loja_chave)
+    fact = build_fact(staging.orders, dim_categoria, loja_chave, strict)
     if "sk_pedido" not in fact.columns:
         fact = positional_keys(write(fact, "fato_pedido_sem_chave"), "sk_pedido")
     fact = write(fact, "fato_pedido")

@@ -147,7 +147,7 @@ def test_reconciliation_without_unknown_stores(spark):
         [{"sk_praca": 1, "nome_praca": "A"}],
         [{"cod_loja": "LJ-1", "sk_praca": 1, "fator_publico": D("1.0000")}],
     )
-    assert rows(answers.reconciliation(shop)) == [(60.0, 60.0, None, None)]
+    assert rows(answers.reconciliation(shop)) == [(60.0, 60.0, None, 0.0)]
 
 
 def test_items(shop):

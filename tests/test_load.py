@@ -132,6 +132,22 @@ def test_csv_staging_without_keys_is_numbered_as_written(spark, tmp_path):
     assert keys["P3"][1] == -1  # no aliases given
 
 
+def test_unreadable_text_stops_a_strict_load_only(spark):
+    bad = list(ORDERS[0])
+    bad[1], bad[3], bad[12], bad[13] = "25/12/2023 10:00 AM", "soon", "some", "much"
+    names = list(ORDER_HEADERS.values())
+    orders = text_table(spark, [ORDERS[1], tuple(bad)], ORDER_HEADERS).toDF(*names)
+    territories = text_table(spark, TERRITORIES, TERRITORY_HEADERS).toDF(*TERRITORY_HEADERS.values())
+    staging = Staging(orders, territories, stores(spark), aliases(spark))
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|parse|CAST_INVALID_INPUT"):
+        load_star(spark, staging)
+    star = load_star(spark, staging, strict=False)
+    row = star.fato_pedido.where("numero_pedido = 'P1'").first()
+    assert (row["dt_pedido"], row["sk_tempo_pedido"], row["qt_itens"], row["vl_liquido"]) == (None, -1, None, None)
+    assert [row[lag] for lag in LAGS] == [None, None, 3, 2, 8]
+    assert star.fato_pedido.count() == 2
+
+
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     from starloom.sources import warehouse
 
