@@ -182,11 +182,14 @@ def _checks(rows: list[tuple[str, str, str | None]], source: str = "") -> str:
     return " UNION ALL ".join(parts)
 
 
-_LAST_DAY = "(SELECT max(CASE WHEN lt IS NULL THEN CAST(t AS DATE) ELSE greatest(CAST(t AS DATE), CAST(e AS DATE) + lt) END) FROM f)"
+_LAST_DAY = (
+    "(SELECT max(CASE WHEN lt IS NULL THEN CAST(t AS DATE)"
+    " ELSE greatest(CAST(t AS DATE), CAST(e AS DATE) + lt) END) FROM f)"
+)
 _DAYS = f"({_LAST_DAY} - (SELECT CAST(min(t) AS DATE) FROM f) + 2)"
 
-# The number of different store texts: per store six ways of writing it, of which
-# each is counted once; the empty text; counted over the clean parts they are made of.
+# The number of different store texts, counted over the parts they are made of: the store
+# and the way of writing it, or nothing at all.
 _STORE_TEXTS = (
     "(SELECT count(DISTINCT CASE WHEN k % 1000 = 7 THEN '' ELSE n_name || '/' || (k % 7) END) FROM f"
     " WHERE n_name IS NOT NULL OR k % 1000 = 7)"
@@ -256,7 +259,6 @@ _NOTHING_LOST = [
 ]
 
 _US = "strftime({t}, '%m/%d/%Y %I:%M %p')"
-_BR = "translate(format('{{:,.2f}}', CAST(a AS DOUBLE)), ',.', '.,')"
 
 
 def _staging_text() -> str:
@@ -337,11 +339,11 @@ def _cleaner_oracles() -> dict[str, str]:
     found = {
         name: _sql(f"SELECT numero_pedido, {columns} FROM f", _ORDERS) for name, columns in per_order.items()
     }
-    for name, raw, column, place, spelled, labels, label in [
-        ("std_category", "categoria_produto", "nome_categoria", "k % 37", CATEGORIES, CATEGORY_LABELS, 0),
-        ("std_category_group", "categoria_produto", "grupo_categoria", "k % 37", CATEGORIES, GROUP_LABELS, 0),
-        ("std_channel", "canal_pedido", "canal", "(k // 37) % 20", CHANNELS, CHANNEL_LABELS, 0),
-        ("std_discount", "houve_desconto", "desconto", "(k // 7) % 17", DISCOUNTS, DISCOUNT_LABELS, 0),
+    for name, raw, column, place, spelled, labels in [
+        ("std_category", "categoria_produto", "nome_categoria", "k % 37", CATEGORIES, CATEGORY_LABELS),
+        ("std_category_group", "categoria_produto", "grupo_categoria", "k % 37", CATEGORIES, GROUP_LABELS),
+        ("std_channel", "canal_pedido", "canal", "(k // 37) % 20", CHANNELS, CHANNEL_LABELS),
+        ("std_discount", "houve_desconto", "desconto", "(k // 7) % 17", DISCOUNTS, DISCOUNT_LABELS),
     ]:
         found[name] = _sql(
             f"SELECT ({_list(spelled)})[p + 1] AS {raw}, ({_list(labels)})[p + 1] AS {column},"

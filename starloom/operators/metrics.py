@@ -66,7 +66,13 @@ def total(name: str, within: Sequence[str] = ()) -> Column:
 
 
 def under_label(
-    parts: DataFrame, dim: DataFrame, sk: str, by: str, names: Sequence[str], unknown: bool, keep: Sequence[str] = ()
+    parts: DataFrame,
+    dim: DataFrame,
+    sk: str,
+    by: str,
+    names: Sequence[str],
+    unknown: bool,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Roll cells up to the label ``by`` of a dimension, with ``__listed`` telling which rows to show.
 

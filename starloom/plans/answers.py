@@ -81,7 +81,8 @@ def _lags_by_store_attribute(star: Star, lags: list[str], by: str) -> DataFrame:
 def lags_by_size(star: Star, by: str = "porte") -> DataFrame:
     """P1.3: orders and the five mean lags per size band of known stores."""
     groups = _lags_by_store_attribute(star, LAGS, by)
-    return groups.select(by, "qtd_pedidos", *[lag_mean(lag).alias(MEAN_NAMES[lag]) for lag in LAGS]).orderBy(by)
+    means = [lag_mean(lag).alias(MEAN_NAMES[lag]) for lag in LAGS]
+    return groups.select(by, "qtd_pedidos", *means).orderBy(by)
 
 
 def steps_by_size(star: Star, by: str = "porte") -> DataFrame:
@@ -193,7 +194,8 @@ _CROSS_WITHOUT = "cast(sum_sem * 100 as decimal(38,0)) * n_com"
 
 def _ticket_gap() -> Column:
     """Mean with minus mean without discount, rounded once and not mean by mean."""
-    return rounded_ratio(f"{_CROSS_WITH} - {_CROSS_WITHOUT}", "cast(n_com as decimal(38,0)) * n_sem * 100", scale=0)
+    cents = "cast(n_com as decimal(38,0)) * n_sem * 100"
+    return rounded_ratio(f"{_CROSS_WITH} - {_CROSS_WITHOUT}", cents, scale=0)
 
 
 def _ticket_change() -> Column:

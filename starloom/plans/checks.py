@@ -106,7 +106,8 @@ def expect(measured: DataFrame, expected: Expected | None = None) -> DataFrame:
     wanted = {**ALWAYS_EXPECTED, **(expected or {})}
     table = F.create_map(*[F.lit(x) for pair in wanted.items() for x in pair])
     value = F.col("valor").cast("bigint")
-    return measured.select("teste", value.alias("valor"), table[F.col("teste")].cast("bigint").alias("esperado")).withColumn(
+    wanted_value = table[F.col("teste")].cast("bigint")
+    return measured.select("teste", value.alias("valor"), wanted_value.alias("esperado")).withColumn(
         "ok", F.col("valor") == F.col("esperado")
     )
 
@@ -169,8 +170,9 @@ def money_audit(staging: Staging) -> DataFrame:
     """Value texts that parse, but may not mean what the parser takes them for, and those that fail."""
     text = F.col("valor_liquido_pedido")
     value = parse_money_br(text, strict=False)
+    comma_then_dot = text.rlike(r",[0-9]*\.") & ~text.rlike(r",[0-9]*\..*,")
     measures = {
-        "valores com ponto depois de virgula": count_if(text.rlike(r",[0-9]*\.") & ~text.rlike(r",[0-9]*\..*,")),
+        "valores com ponto depois de virgula": count_if(comma_then_dot),
         "valores negativos": count_if(value < 0),
         "valores ilegiveis": count_if(value.isNull() & money_text(text).isNotNull()),
     }
@@ -400,6 +402,7 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
     total = join_preserves_total(star, places)
     shares = allocation(star, places)
     lost = F.col("valor") - F.col("esperado")
+    lost_total = F.col("total_na_fato") - F.col("total_pela_p2")
     misplaced = rule_order(star).where(F.col("nome_categoria") != F.col("esperado"))
     parts = [
         staging_profile,
@@ -415,7 +418,7 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         fact_grain(staging, star).select(
             F.lit("pedidos perdidos ou repetidos").alias("teste"), lost.alias("valor")
         ),
-        _long(total.select((F.col("total_na_fato") - F.col("total_pela_p2")).alias("total perdido na juncao de categoria"))),
+        _long(total.select(lost_total.alias("total perdido na juncao de categoria"))),
         _long(shares.select(F.col("diferenca").alias("rateio sem fechar"))),
         unique_keys(star).select("teste", "valor"),
     ]

@@ -39,7 +39,8 @@ def sound(spark):
         staged(3, categoria_produto="RACAO", cod_loja="LJ-1"),
     ]
     loaded = star(spark, orders, stores, categories, territories, bridge)
-    loaded = dataclasses.replace(loaded, fato_pedido=loaded.fato_pedido.withColumn("dt_pedido", F.expr("timestamp_ntz'2024-01-01 10:00:00'")))
+    fact = loaded.fato_pedido.withColumn("dt_pedido", F.expr("timestamp_ntz'2024-01-01 10:00:00'"))
+    loaded = dataclasses.replace(loaded, fato_pedido=fact)
     staging = Staging(spark.createDataFrame(rows, TEXT), bridge_frame(spark, 2), known_stores(loaded))
     return staging, loaded
 
@@ -83,7 +84,11 @@ def set_where(condition, column, value):
 
 # Each fault and the checks it must trip, and no others.
 FAULTS = {
-    "orphan store": ("fato_pedido", set_where("sk_pedido = 1", "sk_loja", "99"), {"FK orfa (loja)", "rateio sem fechar"}),
+    "orphan store": (
+        "fato_pedido",
+        set_where("sk_pedido = 1", "sk_loja", "99"),
+        {"FK orfa (loja)", "rateio sem fechar"},
+    ),
     "orphan category": (
         "fato_pedido",
         set_where("sk_pedido = 1", "sk_categoria", "99"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starloom.operators.bridge import allocate, build_bridge
 from starloom.operators.dimensions import calendar, category_dim, territory_dim, with_unknown
 from starloom.operators.keys import dense_keys, positional_keys, repeated_keys
-from starloom.schema import STAR
+from starloom.schema import STAR, TERRITORY_HEADERS
 from starloom.sources.warehouse import literal_table, new_folder
 
 MONTHS = "Janeiro Fevereiro Marco Abril Maio Junho Julho Agosto Setembro Outubro Novembro Dezembro".split()
@@ -103,7 +103,7 @@ def test_category_dim(spark):
     assert sorted(r["sk_categoria"] for r in rows) == [1, 2, 3]
 
 
-TERRITORY = "cod_loja string, cod_praca string, nome_praca string, regional string, domicilios_com_pet string, percentual_publico string"
+TERRITORY = ", ".join(f"{name} string" for name in TERRITORY_HEADERS.values())
 
 
 def test_territories_and_bridge(spark):
