@@ -242,6 +242,14 @@ _UNIQUE = [
     (f"chave repetida em {name}", "0", "0")
     for name in ["dim_tempo", "dim_loja", "dim_categoria", "dim_praca", "bridge_loja_praca", "fato_pedido"]
 ] + [("chave repetida em numero_pedido", _REPEATED, "0")]
+_LENGTHS = [
+    ("texto longo em dim_tempo", "0", "0"),
+    ("texto longo em dim_loja", "(SELECT count(*) FROM nation WHERE length(n_name) > 60)", "0"),
+    ("texto longo em dim_categoria", "(SELECT count(*) FROM f WHERE length(categoria_origem) > 50)", "0"),
+    ("texto longo em dim_praca", "(SELECT count(*) FROM region WHERE length(r_name) > 54)", "0"),
+    ("texto longo em bridge_loja_praca", "0", "0"),
+    ("texto longo em fato_pedido", "(SELECT count(*) FROM f WHERE length(numero_pedido) > 20)", "0"),
+]
 _DATES = [
     ("primeiro pedido", "(SELECT CAST(strftime(min(t), '%Y%m%d') AS BIGINT) FROM f)", None),
     ("ultimo pedido", "(SELECT CAST(strftime(max(t), '%Y%m%d') AS BIGINT) FROM f)", None),
@@ -576,6 +584,7 @@ def _check_oracles() -> dict[str, str]:
         "check_bridge_coverage": _COVERAGE,
         "check_unknown_rows": _UNKNOWN_ROWS,
         "check_unique_keys": _UNIQUE,
+        "check_text_lengths": _LENGTHS,
         "check_fact_grain": [
             ("fato_pedido", "(SELECT count(*) FROM f)", "(SELECT count(*) FROM orders)"),
         ],
@@ -591,6 +600,7 @@ def _check_oracles() -> dict[str, str]:
             *_COVERAGE,
             *_UNKNOWN_ROWS,
             *_UNIQUE,
+            *_LENGTHS,
             *_FK,
             *_UNRESOLVED,
             *_NEGATIVE,

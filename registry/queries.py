@@ -371,6 +371,7 @@ def registered() -> dict[str, Query]:
         "check_bridge_coverage": _on_star(checks.bridge_coverage, EXPECTED),
         "check_unknown_rows": _on_star(checks.unknown_rows),
         "check_unique_keys": _on_star(checks.unique_keys),
+        "check_text_lengths": _on_star(checks.text_lengths),
         "check_fact_grain": lambda spark, sf_dir: checks.fact_grain(
             staging(spark, sf_dir), star(spark, sf_dir)
         ),

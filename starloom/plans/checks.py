@@ -18,7 +18,7 @@ from starloom.functions.text import CATEGORY_RULES, is_blank
 from starloom.operators.keys import repeated_keys
 from starloom.operators.metrics import cells, count_if, known, roll_up
 from starloom.plans.load import Staging, Star
-from starloom.schema import LAGS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
+from starloom.schema import LAGS, LENGTHS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
 from starloom.sources.warehouse import settle
 
 Expected = Mapping[str, int]
@@ -71,6 +71,7 @@ ALWAYS_EXPECTED = {
     "rateio sem fechar": 0,
     **{f"chave repetida em {table}": 0 for table in STAR if table != "loja_chave"},
     "chave repetida em numero_pedido": 0,
+    **{f"texto longo em {table}": 0 for table in LENGTHS},
 }
 
 MILESTONES = [
@@ -234,6 +235,16 @@ def unknown_rows(star: Star) -> DataFrame:
     )
 
 
+def _too_long(table: str) -> dict[str, Column]:
+    over = [F.char_length(F.col(column)) > limit for column, limit in LENGTHS[table].items()]
+    return {f"texto longo em {table}": F.count_if(reduce(Column.__or__, over))}
+
+
+def text_lengths(star: Star) -> DataFrame:
+    """Rows with a text longer than its column is declared to hold, per table."""
+    return expect(_union([_long(cells(getattr(star, table), [], _too_long(table))) for table in LENGTHS]))
+
+
 def unique_keys(star: Star) -> DataFrame:
     """Primary-key values found more than once, per table, and repeated order numbers."""
     parts = [
@@ -390,6 +401,7 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
                 **_null_fk(),
                 **_unresolved(),
                 **_negative_lags(),
+                **_too_long("fato_pedido"),
                 **{name: date_key(day) for name, day in dates.items()},
             },
         )
@@ -414,6 +426,11 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         _one(bridge_weights(star), "lojas com fator diferente de 1"),
         bridge_coverage(star).select("teste", "valor"),
         unknown_rows(star).select("teste", "valor"),
+        *[
+            _long(cells(getattr(star, table), [], _too_long(table)))
+            for table in LENGTHS
+            if table != "fato_pedido"
+        ],
         _orphans(star, parts_by_key),
         fact_grain(staging, star).select(
             F.lit("pedidos perdidos ou repetidos").alias("teste"), lost.alias("valor")

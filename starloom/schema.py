@@ -118,6 +118,26 @@ STAR = {
     "loja_chave": LOJA_CHAVE,
 }
 
+# The longest text each column is declared to hold.
+LENGTHS = {
+    "dim_tempo": {"ano_mes": 7, "nome_mes": 15, "dia_semana": 15, "fim_de_semana": 3},
+    "dim_loja": {
+        "cod_loja": 10,
+        "chave_loja": 80,
+        "nome_loja": 80,
+        "cidade": 60,
+        "uf": 3,
+        "mesorregiao": 40,
+        "porte": 20,
+        "faixa_franquia": 15,
+        "formato_loja": 20,
+    },
+    "dim_categoria": {"categoria_origem": 50, "nome_categoria": 30, "grupo_categoria": 20},
+    "dim_praca": {"cod_praca": 10, "nome_praca": 60, "regional": 30},
+    "bridge_loja_praca": {"cod_loja": 10},
+    "fato_pedido": {"numero_pedido": 20, "houve_desconto": 15, "canal_pedido": 20},
+}
+
 # Attributes of the -1 member that are not simply UNKNOWN_LABEL.
 UNKNOWN_MEMBERS = {
     "dim_tempo": {

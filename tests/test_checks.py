@@ -136,6 +136,16 @@ FAULTS = {
         lambda df: df.union(df.where("cod_loja = 'LJ-2'")),
         {"chave repetida em bridge_loja_praca", "lojas com fator diferente de 1", "rateio sem fechar"},
     ),
+    "order number too long": (
+        "fato_pedido",
+        set_where("sk_pedido = 1", "numero_pedido", "repeat('9', 21)"),
+        {"texto longo em fato_pedido"},
+    ),
+    "spelling too long": (
+        "dim_categoria",
+        set_where("sk_categoria = 1", "categoria_origem", "repeat('ç', 51)"),
+        {"texto longo em dim_categoria"},
+    ),
     "repeated territory": (
         "dim_praca",
         lambda df: df.union(df.where("sk_praca = 1")),
