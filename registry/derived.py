@@ -169,10 +169,10 @@ def write_staging(spark: SparkSession, sf_dir: str, folder: str) -> None:
     territories(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_loja_praca")
 
 
-def read_staging(spark: SparkSession, sf_dir: str, folder: str, keyed: bool = False) -> Staging:
-    """All that a load needs; ``keyed`` numbers the orders."""
+def read_staging(spark: SparkSession, sf_dir: str, folder: str) -> Staging:
+    """All that a load needs."""
     return Staging(
-        read_orders(spark, f"{folder}/stg_pedido", keyed=keyed),
+        read_orders(spark, f"{folder}/stg_pedido"),
         read_territories(spark, f"{folder}/stg_loja_praca"),
         stores(spark, sf_dir),
         aliases(spark, sf_dir),

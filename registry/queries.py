@@ -50,29 +50,20 @@ def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], objec
         return value
 
 
-def _staging_folder(spark: SparkSession, sf_dir: str) -> str:
-    def write() -> str:
+def staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """The text tables made from ``sf_dir``, written once and then read as any staging."""
+
+    def make() -> Staging:
         folder = new_folder(spark, "staging")
         derived.write_staging(spark, sf_dir, folder)
-        return folder
-
-    return _once(spark, sf_dir, "staging folder", write)
-
+        return derived.read_staging(spark, sf_dir, folder)
 
-def keyed_staging(spark: SparkSession, sf_dir: str) -> Staging:
-    """The text tables with numbered orders, as a load takes them."""
-    return derived.read_staging(spark, sf_dir, _staging_folder(spark, sf_dir), keyed=True)
-
-
-def staging(spark: SparkSession, sf_dir: str) -> Staging:
-    """The text tables made from ``sf_dir``, written once and then read as any staging."""
-    folder = _staging_folder(spark, sf_dir)
-    return _once(spark, sf_dir, "staging", lambda: derived.read_staging(spark, sf_dir, folder))
+    return _once(spark, sf_dir, "staging", make)
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star over ``sf_dir``, loaded once and then read."""
-    return _once(spark, sf_dir, "star", lambda: load_star(spark, keyed_staging(spark, sf_dir)))
+    return _once(spark, sf_dir, "star", lambda: load_star(spark, staging(spark, sf_dir), by_place=True))
 
 
 def plain_types(df: DataFrame) -> DataFrame:

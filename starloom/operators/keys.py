@@ -37,6 +37,7 @@ def dense_keys(df: DataFrame, natural_key: str, name: str, buckets: int = 256) -
 def positional_keys(scan: DataFrame, name: str) -> DataFrame:
     """Number the rows of a Parquet scan 1..n in file order, without moving any row.
 
+    Columns of the scan may have been renamed or computed, but no row dropped or joined.
     A row's key is its position in its file plus the rows of the files before it. The
     counting pass reads no column, and a lost task gives the same keys when it is rerun.
     The offsets are written first, one row per file, so the planner joins them by their

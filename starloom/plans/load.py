@@ -7,6 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.dates import date_key, parse_date, parse_us_timestamp
 from starloom.functions.numbers import parse_int, parse_money_br
@@ -24,7 +25,7 @@ from starloom.operators.keys import positional_keys
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk, store_lookup
 from starloom.schema import STAR, UNKNOWN_LABEL
-from starloom.sources.warehouse import new_folder, read_table, write_table
+from starloom.sources.warehouse import conform, new_folder, read_table, settle, write_table
 
 
 @dataclass(frozen=True)
@@ -126,14 +127,20 @@ def build_fact(
     return found.select(*[name for name in STAR["fato_pedido"].names if name in found.columns])
 
 
-def load_star(spark: SparkSession, staging: Staging, folder: str | None = None, strict: bool = True) -> Star:
+def load_star(
+    spark: SparkSession,
+    staging: Staging,
+    folder: str | None = None,
+    strict: bool = True,
+    by_place: bool = False,
+) -> Star:
     """Write the tables below ``folder`` and give them back as read from there.
 
     Dimensions go first. Read back, they have a known size, by which the planner
     chooses between a broadcast and a shuffle when the fact looks its keys up. The
-    orders are read twice: once for the profile, once for the fact. Orders that carry
-    ``sk_pedido`` (see ``positional_keys``) keep it; others are numbered as written.
-    ``strict`` is as for ``clean_orders``.
+    orders are read twice: once for the profile, once for the fact. ``strict`` is as for
+    ``clean_orders``. ``by_place`` says that the orders are a plain Parquet scan, whose rows
+    can be numbered by their place; else the fact is written, numbered and written again.
     """
     folder = folder or new_folder(spark, "star")
 
@@ -155,9 +162,11 @@ def load_star(spark: SparkSession, staging: Staging, folder: str | None = None,
         tempo_job = pool.submit(write, with_unknown(calendar_of(profile), "dim_tempo"), "dim_tempo")
         dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
         dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
-    fact = build_fact(staging.orders, dim_categoria, loja_chave, strict)
+    orders = positional_keys(staging.orders, "sk_pedido") if by_place else staging.orders
+    fact = build_fact(orders, dim_categoria, loja_chave, strict)
     if "sk_pedido" not in fact.columns:
-        fact = positional_keys(write(fact, "fato_pedido_sem_chave"), "sk_pedido")
+        unnumbered = conform(fact, T.StructType([f for f in STAR["fato_pedido"] if f.name in fact.columns]))
+        fact = positional_keys(settle(unnumbered, "fato_pedido"), "sk_pedido")
     fact = write(fact, "fato_pedido")
     return Star(dim_tempo, dim_loja, dim_categoria, dim_praca, bridge, fact, loja_chave)
 

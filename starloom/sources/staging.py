@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.keys import positional_keys
 from starloom.schema import ORDER_HEADERS, TERRITORY_HEADERS
 
 
@@ -28,12 +27,9 @@ def _named(raw: DataFrame, kind: str, headers: Mapping[str, str]) -> DataFrame:
     return named.fillna("") if kind == "csv" else named
 
 
-def read_orders(spark: SparkSession, path: str, kind: str = "parquet", keyed: bool = False) -> DataFrame:
-    """Order staging, all text. ``keyed`` adds ``sk_pedido`` by place in the files (Parquet only)."""
-    raw = _scan(spark, path, kind, ORDER_HEADERS)
-    if not keyed:
-        return _named(raw, kind, ORDER_HEADERS)
-    return rename(positional_keys(raw, "sk_pedido"), {"sk_pedido": "sk_pedido", **ORDER_HEADERS})
+def read_orders(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Order staging, all text."""
+    return _named(_scan(spark, path, kind, ORDER_HEADERS), kind, ORDER_HEADERS)
 
 
 def read_territories(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:

@@ -46,12 +46,12 @@ def loaded(spark):
     text_table(spark, ORDERS, ORDER_HEADERS).coalesce(1).write.parquet(f"{folder}/orders")
     text_table(spark, TERRITORIES, TERRITORY_HEADERS).write.parquet(f"{folder}/territories")
     staging = Staging(
-        read_orders(spark, f"{folder}/orders", keyed=True),
+        read_orders(spark, f"{folder}/orders"),
         read_territories(spark, f"{folder}/territories"),
         stores(spark),
         aliases(spark),
     )
-    return load_star(spark, staging, f"{folder}/star"), f"{folder}/star"
+    return load_star(spark, staging, f"{folder}/star", by_place=True), f"{folder}/star"
 
 
 def test_types(loaded):

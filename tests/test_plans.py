@@ -5,7 +5,8 @@ import re
 import pytest
 
 from registry import derived
-from registry.queries import keyed_staging, registered, staging, star
+from registry.queries import registered, staging, star
+from starloom.operators.keys import positional_keys
 from starloom.plans.load import build_fact, clean_orders
 
 
@@ -38,7 +39,8 @@ def test_known_stores_are_filtered_in_the_scan(spark, sf_dir):
 
 def test_fact_is_built_without_moving_orders(spark, sf_dir):
     loaded = star(spark, sf_dir)
-    fact = build_fact(keyed_staging(spark, sf_dir).orders, loaded.dim_categoria, loaded.loja_chave)
+    orders = positional_keys(staging(spark, sf_dir).orders, "sk_pedido")
+    fact = build_fact(orders, loaded.dim_categoria, loaded.loja_chave)
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 3
     assert "SortMergeJoin" not in plan
