@@ -16,7 +16,7 @@ from starloom.functions.dates import date_key, is_us_timestamp
 from starloom.functions.numbers import money_text, parse_money_br
 from starloom.functions.text import CATEGORY_RULES, is_blank
 from starloom.operators.keys import repeated_keys
-from starloom.operators.metrics import cells, count_if, known, roll_up
+from starloom.operators.metrics import cells, count_if, roll_up
 from starloom.plans.load import Staging, Star
 from starloom.schema import LAGS, LENGTHS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
 from starloom.sources.warehouse import settle
@@ -94,6 +94,9 @@ KEYS = {
     "bridge_loja_praca": ["cod_loja", "sk_praca"],
     "fato_pedido": ["sk_pedido"],
 }
+DIMENSIONS = [table for table in KEYS if table.startswith("dim_")]
+# The category due to a spelling that several rules fit: the first rule's.
+DUE_CATEGORY = CATEGORY_RULES[0][1]
 FOREIGN_KEYS = {
     "FK orfa (loja)": ("sk_loja", "dim_loja", "sk_loja"),
     "FK orfa (categoria)": ("sk_categoria", "dim_categoria", "sk_categoria"),
@@ -183,26 +186,32 @@ def money_audit(staging: Staging) -> DataFrame:
 # Dimensions and bridge
 
 
+def _domain() -> dict[str, Column]:
+    return {"categorias padronizadas": F.count_distinct("nome_categoria")}
+
+
+def _is_unclassified() -> Column:
+    return (F.col("nome_categoria") == UNKNOWN_LABEL) & (F.col("sk_categoria") != UNKNOWN_KEY)
+
+
+def _fits_two_rules() -> Column:
+    return F.upper("categoria_origem").contains("MEDICAMENTOSA")
+
+
 def category_domain(star: Star, expected: Expected | None = None) -> DataFrame:
     """Q8: distinct standard categories, the unknown one included."""
-    counted = star.dim_categoria.agg(F.count_distinct("nome_categoria").alias("categorias padronizadas"))
-    return expect(_long(counted), expected)
+    return expect(_long(cells(star.dim_categoria, [], _domain())), expected)
 
 
 def unclassified(star: Star) -> DataFrame:
     """Q9: spellings that no rule classified. Must be empty."""
-    return (
-        known(star.dim_categoria, "sk_categoria")
-        .where(F.col("nome_categoria") == UNKNOWN_LABEL)
-        .select("categoria_origem", "nome_categoria")
-    )
+    return star.dim_categoria.where(_is_unclassified()).select("categoria_origem", "nome_categoria")
 
 
 def rule_order(star: Star) -> DataFrame:
     """Q10: spellings that two rules fit, with the category found and the one due."""
-    due = CATEGORY_RULES[0][1]
-    return star.dim_categoria.where(F.upper("categoria_origem").contains("MEDICAMENTOSA")).select(
-        "categoria_origem", "nome_categoria", F.lit(due).alias("esperado")
+    return star.dim_categoria.where(_fits_two_rules()).select(
+        "categoria_origem", "nome_categoria", F.lit(DUE_CATEGORY).alias("esperado")
     )
 
 
@@ -213,26 +222,25 @@ def bridge_weights(star: Star) -> DataFrame:
     return sums.where(F.col("soma_dos_fatores") != 1)
 
 
+def _coverage() -> dict[str, Column]:
+    return {
+        "lojas na ponte": F.count_distinct("cod_loja"),
+        "pracas na ponte": F.count_distinct("sk_praca"),
+    }
+
+
 def bridge_coverage(star: Star, expected: Expected | None = None) -> DataFrame:
     """Q12: stores and territories the bridge reaches."""
-    counted = star.bridge_loja_praca.agg(
-        F.count_distinct("cod_loja").alias("lojas na ponte"),
-        F.count_distinct("sk_praca").alias("pracas na ponte"),
-    )
-    return expect(_long(counted), expected)
+    return expect(_long(cells(star.bridge_loja_praca, [], _coverage())), expected)
+
+
+def _unknown(dim: str) -> dict[str, Column]:
+    return {f"linha -1 de {dim}": F.count_if(F.col(KEYS[dim][0]) == UNKNOWN_KEY)}
 
 
 def unknown_rows(star: Star) -> DataFrame:
     """Q13: unknown members per dimension; each must have one."""
-    dims = {name: keys[0] for name, keys in KEYS.items() if name.startswith("dim_")}
-    return expect(
-        _union(
-            [
-                _one(getattr(star, name).where(F.col(sk) == UNKNOWN_KEY), f"linha -1 de {name}")
-                for name, sk in dims.items()
-            ]
-        )
-    )
+    return expect(_union([_long(cells(getattr(star, dim), [], _unknown(dim))) for dim in DIMENSIONS]))
 
 
 def _too_long(table: str) -> dict[str, Column]:
@@ -375,68 +383,66 @@ def allocation(star: Star, parts: DataFrame | None = None) -> DataFrame:
 # All together
 
 
+def _small_table_measures(table: str) -> dict[str, Column]:
+    measures = {table: F.count("*"), **_too_long(table)}
+    if table in DIMENSIONS:
+        measures |= _unknown(table)
+    if table == "dim_categoria":
+        misplaced = _fits_two_rules() & (F.col("nome_categoria") != DUE_CATEGORY)
+        measures |= {
+            **_domain(),
+            "grafias sem categoria": F.count_if(_is_unclassified()),
+            "ordem das regras": F.count_if(misplaced),
+        }
+    if table == "bridge_loja_praca":
+        measures |= _coverage()
+    return measures
+
+
 def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataFrame:
     """Every check that comes down to a number, with the must-be-empty ones counted.
 
-    The staging is read once. The fact is read once for its profile, once per settled set
-    of cells, and once for each uniqueness check.
+    Staging, dimensions and bridge are read once each. The fact is read once for its profile,
+    once per settled set of cells, and once for each uniqueness check.
     """
     places = settle(_key_cells(star, ["sk_loja", "sk_categoria"]), "place_cells")
     days = settle(_key_cells(star, ["sk_tempo_pedido", "sk_tempo_entrega"]), "day_cells")
     parts_by_key = {fk: days if "tempo" in fk else places for fk in _FK_COLUMNS}
-    staging_profile = _long(
-        cells(
-            staging.orders,
-            [],
-            {"stg_pedido": F.count("*"), **_spelling_counts(), **_blank_counts(True), **_mask_count()},
-        )
-    )
-    dates = _date_range()
-    fact_profile = _long(
-        cells(
-            star.fato_pedido,
-            [],
-            {
-                "fato_pedido": F.count("*"),
-                **_null_fk(),
-                **_unresolved(),
-                **_negative_lags(),
-                **_too_long("fato_pedido"),
-                **{name: date_key(day) for name, day in dates.items()},
-            },
-        )
-    )
-    small = {
-        "stg_loja": staging.stores,
-        "stg_loja_praca": staging.territories,
-        **{name: getattr(star, name) for name in KEYS if name != "fato_pedido"},
+
+    staging_measures = {
+        "stg_pedido": F.count("*"),
+        **_spelling_counts(),
+        **_blank_counts(True),
+        **_mask_count(),
+    }
+    fact_measures = {
+        "fato_pedido": F.count("*"),
+        **_null_fk(),
+        **_unresolved(),
+        **_negative_lags(),
+        **_too_long("fato_pedido"),
+        **{name: date_key(day) for name, day in _date_range().items()},
     }
     total = join_preserves_total(star, places)
-    shares = allocation(star, places)
-    lost = F.col("valor") - F.col("esperado")
     lost_total = F.col("total_na_fato") - F.col("total_pela_p2")
-    misplaced = rule_order(star).where(F.col("nome_categoria") != F.col("esperado"))
+    lost_orders = F.col("valor") - F.col("esperado")
     parts = [
-        staging_profile,
-        fact_profile,
-        *[_one(df, name) for name, df in small.items()],
-        category_domain(star).select("teste", "valor"),
-        _one(unclassified(star), "grafias sem categoria"),
-        _one(misplaced, "ordem das regras"),
-        _one(bridge_weights(star), "lojas com fator diferente de 1"),
-        bridge_coverage(star).select("teste", "valor"),
-        unknown_rows(star).select("teste", "valor"),
+        _long(cells(staging.orders, [], staging_measures)),
+        _long(cells(star.fato_pedido, [], fact_measures)),
+        _one(staging.stores, "stg_loja"),
+        _one(staging.territories, "stg_loja_praca"),
         *[
-            _long(cells(getattr(star, table), [], _too_long(table)))
-            for table in LENGTHS
+            _long(cells(getattr(star, table), [], _small_table_measures(table)))
+            for table in KEYS
             if table != "fato_pedido"
         ],
+        _one(bridge_weights(star), "lojas com fator diferente de 1"),
         _orphans(star, parts_by_key),
         fact_grain(staging, star).select(
-            F.lit("pedidos perdidos ou repetidos").alias("teste"), lost.alias("valor")
+            F.lit("pedidos perdidos ou repetidos").alias("teste"), lost_orders.alias("valor")
         ),
         _long(total.select(lost_total.alias("total perdido na juncao de categoria"))),
-        _long(shares.select(F.col("diferenca").alias("rateio sem fechar"))),
+        _long(allocation(star, places).select(F.col("diferenca").alias("rateio sem fechar"))),
         unique_keys(star).select("teste", "valor"),
     ]
     return expect(_union(parts), expected)
