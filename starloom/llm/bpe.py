@@ -3,7 +3,7 @@
 ``encode`` splits a text by the vocabulary's pattern and turns each piece into ids in two
 tiers: a minimal perfect hash over the vocabulary finds pieces that are tokens already;
 the others are merged pair by pair, lowest rank first, with a heap over a linked list of
-their bytes. ``decode`` joins the bytes of the ids again.
+their bytes, which looks ranks of pairs up in a plain dictionary. ``decode`` joins the bytes of the ids again.
 
 Nulls and empty texts have no ids and decode to no bytes; null id lists decode to no
 bytes as well. Rows are independent, so repeated rows come out alike, an empty table
@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from starloom.llm.common import slices, whole
 
 #: Pieces whose ids a worker remembers before it forgets them all.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 _TRIES = 64
 
 
@@ -57,16 +57,16 @@ class Vocabulary:
     """
 
     tokens: tuple[bytes, ...]
-    bucket_numbers: np.ndarray
-    slot_ids: np.ndarray
+    bucket_numbers: array
+    slot_ids: array
 
     def find(self, piece: bytes) -> int:
         """The id of a token, -1 for other bytes."""
         if not self.tokens:
             return -1
         hash64 = xxhash.xxh3_64_intdigest(piece)
-        number = int(self.bucket_numbers[hash64 % len(self.bucket_numbers)])
-        found = int(self.slot_ids[-number - 1 if number < 0 else _slot(hash64, number, len(self.tokens))])
+        number = self.bucket_numbers[hash64 % len(self.bucket_numbers)]
+        found = self.slot_ids[-number - 1 if number < 0 else _slot(hash64, number, len(self.tokens))]
         return found if self.tokens[found] == piece else -1
 
 
@@ -100,7 +100,7 @@ def perfect_hash(tokens: Sequence[bytes]) -> Vocabulary:
             slot = next(free)
             slot_ids[slot] = own[0]
             numbers[bucket] = -slot - 1
-    return Vocabulary(tuple(tokens), numbers, slot_ids)
+    return Vocabulary(tuple(tokens), array("q", numbers.tolist()), array("q", slot_ids.tolist()))
 
 
 @lru_cache(maxsize=4)
@@ -113,44 +113,36 @@ def load(path: str) -> Vocabulary:
     return perfect_hash([ranked[i] for i in range(len(ranked))])
 
 
-def merge(piece: bytes, vocabulary: Vocabulary) -> list[int]:
+def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     """Ids of a piece that is no token itself.
 
-    Bytes are linked to their neighbours; the heap holds possible merges as (rank, place,
-    end of the right part), and entries of parts that have changed since are passed over.
+    A part begins at its place and ends where the part it is linked to begins. The heap holds possible
+    merges as (rank, place of the left part, end of the right part); entries whose parts have
+    changed since are passed over.
     """
-    size = len(piece)
-    following, before, end = list(range(1, size + 1)), list(range(-1, size - 1)), list(range(1, size + 1))
-    alive = [True] * size
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(left: int) -> None:
-        right = following[left]
-        if right < size:
-            rank = vocabulary.find(piece[left : end[right]])
-            if rank >= 0:
-                heapq.heappush(heap, (rank, left, end[right]))
-
-    for left in range(size - 1):
-        offer(left)
+    size, rank_of, push = len(piece), ranks.get, heapq.heappush
+    following, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    heap = [(rank, i, i + 2) for i in range(size - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
+    heapq.heapify(heap)
     while heap:
         _, left, until = heapq.heappop(heap)
         right = following[left]
-        if not alive[left] or right >= size or end[right] != until:
+        if right >= size or following[right] != until:
             continue
-        alive[right] = False
-        end[left], following[left] = until, following[right]
-        if following[left] < size:
-            before[following[left]] = left
-        offer(left)
-        if before[left] >= 0:
-            offer(before[left])
+        following[left] = until
+        following[right] = size + 1  # no longer a part
+        if until < size:
+            before[until] = left
+            end = following[until]
+            if (rank := rank_of(piece[left:end])) is not None:
+                push(heap, (rank, left, end))
+        earlier = before[left]
+        if earlier >= 0 and (rank := rank_of(piece[earlier:until])) is not None:
+            push(heap, (rank, earlier, until))
     ids, at = [], 0
     while at < size:
-        ids.append(vocabulary.find(piece[at : end[at]]))
+        ids.append(ranks[piece[at : following[at]]])
         at = following[at]
-    if min(ids, default=0) < 0:
-        raise ValueError("the vocabulary lacks a single byte")
     return ids
 
 
@@ -158,12 +150,13 @@ class _Pieces(dict):
     """Ids of pieces as packed 32-bit numbers, worked out when first asked for."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.find = vocabulary.find
+        self.ranks = {token: i for i, token in enumerate(vocabulary.tokens)}
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
-        whole_id = self.vocabulary.find(raw)
-        packed = array("i", [whole_id] if whole_id >= 0 else merge(raw, self.vocabulary)).tobytes()
+        whole_id = self.find(raw)
+        packed = array("i", [whole_id] if whole_id >= 0 else merge(raw, self.ranks)).tobytes()
         if len(self) >= REMEMBERED:
             self.clear()
         if len(raw) <= 200:
@@ -171,6 +164,17 @@ class _Pieces(dict):
         return packed
 
 
+_known: dict[tuple, _Pieces] = {}
+
+
+def _pieces_of(vocabulary: Vocabulary) -> _Pieces:
+    """What this worker has remembered for a vocabulary; of one vocabulary at a time."""
+    if vocabulary.tokens not in _known:
+        _known.clear()
+        _known[vocabulary.tokens] = _Pieces(vocabulary)
+    return _known[vocabulary.tokens]
+
+
 def encode_text(text: str, pieces: _Pieces, pattern: regex.Pattern) -> np.ndarray:
     return np.frombuffer(b"".join([pieces[piece] for piece in pattern.findall(text)]), np.int32)
 
@@ -184,7 +188,7 @@ def encode(
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, compiled = _Pieces(shared.value), regex.compile(pattern)
+        pieces, compiled = _pieces_of(shared.value), regex.compile(pattern)
         for batch in batches:
             for part in slices(batch, "__text"):
                 found = [encode_text(t, pieces, compiled) for t in part.column("__text").to_pylist()]

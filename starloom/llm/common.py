@@ -73,3 +73,42 @@ def join_keys(big: DataFrame, keys: DataFrame, on: Sequence[str], how: str, byte
     moved; beyond that it is a shuffle join, whose hot keys adaptive execution splits.
     """
     return big.join(F.broadcast(keys) if rows * bytes_a_row <= BROADCAST_BYTES else keys, list(on), how)
+
+
+#: Ids looked at to choose ranges, and the most ranges chosen.
+RANGE_SAMPLE = 1 << 16
+RANGES = 1 << 12
+
+
+def id_ranges(rows: DataFrame, target: int) -> list[int]:
+    """Edges that cut the ids of (id, weight) rows into ranges of about ``target`` weight each.
+
+    A share of the ids, picked by their hash, gives the edges, so the same rows always give
+    the same edges, however they are dealt to tasks and however the ids are spread.
+    """
+    n, total = rows.agg(F.count("id"), F.sum("weight")).first()
+    wanted = min(RANGES, (total or 0) // target + 1)
+    if not n or wanted <= 1:
+        return []
+    share = min(1 << 20, -(-RANGE_SAMPLE * (1 << 20) // n))
+    some = rows.where(F.col("id").isNotNull() & (F.pmod(F.xxhash64("id", F.lit("ranges")), F.lit(1 << 20)) < share))
+    found = some.groupBy("id").agg(F.sum("weight").cast("long").alias("weight")).toArrow().sort_by("id")
+    ids, weights = found.column("id").to_numpy(), found.column("weight").to_numpy()
+    if not len(ids):
+        return []
+    part = (np.cumsum(weights) - 1) * wanted // max(1, int(weights.sum()))
+    return ids[np.flatnonzero(np.diff(part)) + 1].tolist()
+
+
+def range_of(id_column: str, edges: Sequence[int]) -> Column:
+    """The number of edges up to the id, found in two steps; -1 for a null id."""
+    if not edges:
+        return F.when(F.col(id_column).isNull(), -1).otherwise(0)
+    step = max(1, int(len(edges) ** 0.5))
+    blocks = [edges[i : i + step] for i in range(0, len(edges), step)]
+    up_to = lambda values: F.size(F.filter(values, lambda e: e <= F.col(id_column)))
+    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    block = up_to(longs([b[0] for b in blocks]))
+    inside = F.get(F.array(*[longs(b) for b in blocks]), block - 1)
+    place = F.when(block == 0, 0).otherwise((block - 1) * step + up_to(inside))
+    return F.when(F.col(id_column).isNull(), -1).otherwise(place)

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, chat, mixing
-from starloom.llm.common import table
+from starloom.llm import bpe, chat, fingerprints, jaccard, langid, mixing, pivots, quality, secrets, warc
+from starloom.llm.common import held_out, table
 
 
 def _hex(text: Column) -> Column:
@@ -15,6 +15,19 @@ def _hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, ~held_out("doc_id"))
+    marked = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return langid.predict(marked, model, keep=("doc_id", "held_out"))
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with equal labels."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted and read back, and conversation -1, whose texts are control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -38,6 +51,33 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans by kind, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = secrets.scan(docs, secrets.learn_cuts(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
+    return scanned.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        _hex(secrets.spell(F.col("base"))).alias("base_sha256"),
+        secrets.spell(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels, ~held_out("doc_id"))
+    marked = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text", "n_chars")
+    return quality.score(marked, model, keep=("doc_id", "held_out"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprints.with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     planned = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -46,6 +86,18 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files, and read back."""
+    folder = warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Digests of the ids of every text and of the bytes they decode to."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,7 +114,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) ->
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_quality": op5_quality,
+    "op6_fingerprints": op6_fingerprints,
     "op7_source_mixing": op7_source_mixing,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }

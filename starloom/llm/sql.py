@@ -37,4 +37,16 @@ SELECT doc_id, size, source_size, target,
 FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source
 """
 
-ORACLES = {"op7_source_mixing": _MIXING}
+_WARC = """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+ORACLES = {"op9_warc": _WARC, "op7_source_mixing": _MIXING}
