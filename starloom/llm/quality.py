@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from starloom.llm.common import slices, whole
 from starloom.sources.warehouse import settle
 
-SAMPLE = 5000
+SAMPLE = 4000
 WORD_BUCKETS = 1 << 14
 RANK = 6
 THRESHOLD = 0.7
@@ -112,36 +112,37 @@ def _chance(raw: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit(places: np.ndarray, values: np.ndarray, starts: np.ndarray, wanted: np.ndarray, rounds: int = 120, rate: float = 0.05) -> Model:
+def fit(places: np.ndarray, values: np.ndarray, starts: np.ndarray, wanted: np.ndarray, rounds: int = 40, rate: float = 0.1) -> Model:
     """Logistic loss, whole-sample Adam steps from a fixed start."""
     share = (wanted.sum() + 1) / (len(wanted) + 2)
     bias = float(np.log(share / (1 - share)))
-    weights = np.zeros(SIZE, np.float64)
     if len(wanted) == 0 or wanted.min() == wanted.max():
-        return Model(bias, weights, np.zeros((SIZE, RANK)))
-    factors = np.random.default_rng(1).normal(0, 0.05, (SIZE, RANK))
+        return Model(bias, np.zeros(SIZE), np.zeros((SIZE, RANK)))
+    # Column 0 is the weight, the others the factors. Only features of the sample are learned.
+    used, places = np.unique(places, return_inverse=True)
+    learned = np.random.default_rng(1).normal(0, 0.05, (len(used), 1 + RANK))
+    learned[:, 0] = 0
     lengths = np.diff(np.append(starts, len(places)))
     # Features in order, so that sums per feature are sums of neighbours.
     by_feature = np.argsort(places, kind="stable")
-    used, first = np.unique(places[by_feature], return_index=True)
-    state = [np.zeros_like(x) for x in (weights, weights, factors, factors)]
+    first = np.flatnonzero(np.diff(places[by_feature], prepend=-1))
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    mean, square = np.zeros_like(learned), np.zeros_like(learned)
     for step in range(1, rounds + 1):
-        model = Model(bias, weights, factors)
-        scaled = factors[places] * values[:, None]
+        scaled = learned[places] * values[:, None]
         sums = np.add.reduceat(scaled, starts, axis=0)
-        pull = (_chance(_raw(model, places, values, starts)) - wanted) / len(wanted)
-        each = np.repeat(pull, lengths) * values
-        slope_w = np.zeros(SIZE)
-        slope_w[used] = np.add.reduceat(each[by_feature], first)
-        slope_v = np.zeros((SIZE, RANK))
-        slope_v[used] = np.add.reduceat((each[:, None] * (np.repeat(sums, lengths, axis=0) - scaled))[by_feature], first, axis=0)
-        slope_w += 1e-5 * weights
-        slope_v += 1e-5 * factors
+        squares = np.add.reduceat(scaled[:, 1:] ** 2, starts, axis=0)
+        raw = bias + sums[:, 0] + 0.5 * (sums[:, 1:] ** 2 - squares).sum(axis=1)
+        pull = (_chance(raw) - wanted) / len(wanted)
+        sums[:, 0], scaled[:, 0] = 1, 0  # a weight's own slope is the value alone
+        slopes = (sums[owner] - scaled) * (pull[owner] * values)[:, None]
+        slope = np.add.reduceat(slopes[by_feature], first, axis=0) + 1e-5 * learned
         bias -= rate * float(pull.sum())
-        for value, slope, mean, square in ((weights, slope_w, state[0], state[1]), (factors, slope_v, state[2], state[3])):
-            mean += 0.1 * (slope - mean)
-            square += 0.01 * (slope * slope - square)
-            value -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        mean += 0.1 * (slope - mean)
+        square += 0.01 * (slope * slope - square)
+        learned -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    weights, factors = np.zeros(SIZE), np.zeros((SIZE, RANK))
+    weights[used], factors[used] = learned[:, 0], learned[:, 1:]
     return Model(bias, weights, factors)
 
 
