@@ -10,11 +10,11 @@ Documents are sets of word shingles (see ``shingles``); two are linked if 100 *
    Prefix shingles are packed by hash bucket and dealt out; those of one node only are dropped there.
    Shingles that the sketch says are very frequent are dealt in parts by node.
 3. Lists with the same nodes say the same, so one of each kind is kept. Each list's most central
-   node is paired with the others; pairs pass the length and positional filter, are made distinct, pass the suffix filter
-   and are verified from the texts. Linked nodes join; lists within one component are done. As long as
-   the pairs between components in a list are many more than the nodes, another round pairs each node
-   with one picked by a hash; then all pairs left are made and verified. So no link between components is
-   missed, and a group of many near copies needs few pairs. No list is capped.
+   node is paired with the others; pairs that pass the length, positional and suffix filters are made distinct
+   and verified from the texts. Linked nodes join, and lists within one component are done. Then all pairs between
+   components are looked at list by list, long lists block by block; only those that pass the same
+   filters leave the task, and are verified once each. So a group of many near copies gives few pairs, no link
+   between components is missed, and no list is capped.
 4. Components come from the verified pairs.
 
 The suffix filter deals a set's shingles into ``CLASSES`` by hash: two sets share no more than the smaller
@@ -46,15 +46,15 @@ from starloom.sources.warehouse import settle
 PART, OF = 3, 4
 SKETCH_BITS = 20
 _SLICES = 256
-CLASSES = 256
+CLASSES = 1024
 #: Prefix shingles that a bucket should have, and those held before they are packed.
 BUCKET = 1 << 19
 _HELD = 1 << 21
 #: Shingles with more documents than this are dealt in parts.
 FREQUENT = 1 << 16
-#: Rounds of one pair a node and list, before all pairs that are left.
-ROUNDS = 8
-#: A text's rows are found again by two hashes of it.
+#: Nodes of a list that are compared with each other in one task.
+BLOCK = 1024
+#: Stands for a null id when rows are found again.
 _NO_ID = -(1 << 63)
 
 
@@ -293,18 +293,98 @@ def _passing(pairs: DataFrame) -> DataFrame:
     return good.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked: suffix filter on class counts first, then the sets of the texts."""
+def _signature(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each class, up to 15, two classes a byte."""
+    counts = np.minimum(15, np.bincount((shingles & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)).astype(np.uint8)
+    return (counts[: CLASSES // 2] | (counts[CLASSES // 2 :] << 4)).tobytes()
+
+
+def _may_link(one: np.ndarray, other: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Suffix filter, row by row: could sets with these signatures and this sum of sizes be linked?"""
+    low = np.minimum(one & 15, other & 15)
+    high = np.minimum(one >> 4, other >> 4)
+    most = low.sum(axis=1, dtype=np.int64) + high.sum(axis=1, dtype=np.int64)
+    full = (low == 15).any(axis=1) | (high == 15).any(axis=1)
+    return full | ((PART + OF) * most >= PART * both)
+
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matrix(signatures: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint8).reshape(len(signatures), CLASSES // 2)
+
+
+def _filtered(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs that pass the suffix filter."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            counts = [np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, CLASSES) for c in batch.columns[4:6]]
-            most = np.minimum(*counts).sum(axis=1, dtype=np.int64)
-            full = (counts[0].max(axis=1) == 65535) | (counts[1].max(axis=1) == 65535)
-            good = pa.array(full | ((PART + OF) * most >= PART * (n + m)))
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            good = pa.array(_may_link(_matrix(batch.column(4).to_pylist()), _matrix(batch.column(5).to_pylist()), both))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(good) for i in (0, 1)], names=["a", "b"])
 
+    sides = {end: signatures.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")) for end in "ab"}
+    sized = pairs.join(sides["b"], "b").join(sides["a"], "a").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    return sized.mapInArrow(work, "a binary, b binary")
+
+
+def _all_pairs(rest: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Distinct pairs of each list between components that pass the length, positional and suffix filter.
+
+    Lists of more than ``BLOCK`` nodes are cut by a hash of the node, and each pair of blocks
+    is a piece of work. Pairs are looked at in the task; only those that pass leave it.
+    """
+    lengths = rest.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = rest.join(lengths, "list").withColumn("own", own)
+    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pieces = spread.select(
+        "list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "node", F.xxhash64("component").alias("component"), "n", "place",
+    )
+    dealt = pieces.join(signatures.select("node", "signature"), "node").select(
+        "list", "i", "j", "side", "node", "component", "n", "place", "signature"
+    )
+    ordered = dealt.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
+
+    def passing(rows: list[tuple]) -> pa.RecordBatch | None:
+        rows = sorted(rows)
+        side, component, n, place = (np.array([r[k] for r in rows], np.int64) for k in (0, 2, 3, 4))
+        signature = _matrix([r[5] for r in rows])
+        ones, others = [], []
+        split = int((side == 0).sum()) if side[-1] else 0
+        for i in range(split or len(rows)):
+            start = split or i + 1
+            most = np.minimum(place[i], place[start:]) + np.minimum(n[i] - place[i], n[start:] - place[start:])
+            both = n[i] + n[start:]
+            good = (component[start:] != component[i]) & ((PART + OF) * most >= PART * both)
+            good &= OF * np.minimum(n[i], n[start:]) >= PART * np.maximum(n[i], n[start:])
+            at = np.flatnonzero(good) + start
+            if len(at):
+                at = at[_may_link(signature[i : i + 1], signature[at], n[i] + n[at])]
+                ones += [i] * len(at)
+                others += at.tolist()
+        if not ones:
+            return None
+        pairs = [(min(x, y), max(x, y)) for x, y in ((rows[i][1], rows[k][1]) for i, k in zip(ones, others, strict=True))]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != at:
+                    if len(held) > 1 and (out := passing(held)) is not None:
+                        yield out
+                    at, held = row[:3], []
+                held.append(row[3:])
+        if len(held) > 1 and (out := passing(held)) is not None:
+            yield out
+
+    return ordered.mapInArrow(work, "a binary, b binary").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts' sets are linked."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text_b"):
@@ -319,41 +399,38 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     good.append(100 * common >= 75 * (len(one) + len(other) - common))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
-    sides = {
-        end: texts.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("classes").alias(f"classes_{end}"))
-        for end in "ab"
-    }
-    sized = pairs.join(sides["b"], "b").join(sides["a"], "a").select("a", "b", "n_a", "n_b", "classes_a", "classes_b")
-    maybe = settle(sized.mapInArrow(bounded, "a binary, b binary"), "jaccard_maybe")
     bodies = {end: texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")) for end in "ab"}
-    full = maybe.join(bodies["b"], "b").join(bodies["a"], "a").select("a", "b", "text_a", "text_b")
+    full = pairs.join(bodies["b"], "b").join(bodies["a"], "a").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(exact, "a binary, b binary")
 
 
-def _candidate_texts(docs: DataFrame, lists: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, n, classes, text) of the nodes in lists, each from one of its rows."""
-    nodes = lists.select("node").distinct()
+def _first_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, tkey, id) of one row of each of some nodes."""
     one = rows.join(nodes, "node", "left_semi").groupBy("node").agg(
         F.min(F.struct("tkey", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"))).alias("row")
     )
-    chosen = settle(one.select("node", "row.tkey", "row.id"), "jaccard_nodes")
+    return settle(one.select("node", "row.tkey", "row.id"), "jaccard_nodes")
+
+
+def _texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, text) of chosen rows; repeated rows give a node more than once."""
     keyed = _keyed(docs).select("tkey", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text")
-    found = join_keys(keyed, chosen, ["tkey", "id"], "inner", 64, chosen.count()).dropDuplicates(["node"])
+    return join_keys(keyed, chosen, ["tkey", "id"], "inner", 64, chosen.count()).select("node", "text")
+
+
+def _signatures(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, n, signature) of chosen rows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"))
-                counts = [np.minimum(65535, np.bincount((s & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([c.astype(np.uint16).tobytes() for c in counts], pa.binary()), part.column("text"),
-                    ],
-                    names=["node", "n", "classes", "text"],
-                )
+                    [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.binary())],
+                    names=["node", "n", "signature"],
+                )
 
-    return found.select("node", "text").mapInArrow(work, "node binary, n long, classes binary, text string")
+    return _texts_of(docs, chosen).mapInArrow(work, "node binary, n long, signature binary").dropDuplicates(["node"])
 
 
 def _across(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
@@ -377,38 +454,26 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = min(1 << 30, total // OF // BUCKET + 1)
     lists = settle(_lists(prefixes(docs, _sketch(indexed), buckets), buckets), "jaccard_prefixes")
     lists = settle(_without_twins(lists), "jaccard_lists")
-    texts = settle(_candidate_texts(docs, lists, rows), "jaccard_texts")
-    enough = 8 * texts.count() + 100_000
-
-    edges = tested = joined = None
-    for number in range(ROUNDS + 1):
-        rest = settle(_across(lists, joined), "jaccard_open")
-        per_list = rest.groupBy("list", "component").agg(F.count("*").alias("k")).groupBy("list").agg(
-            ((F.pow(F.sum("k"), 2.0) - F.sum(F.pow("k", 2.0))) / 2).alias("pairs")
-        )
-        left = per_list.agg(F.sum("pairs")).first()[0] or 0
-        if left == 0:
-            break
-        last = number == ROUNDS or (number > 0 and left <= enough)
-        if last:
-            pairs = _side(rest, "a").join(_side(rest, "b"), "list").where("a.node < b.node and a.component <> b.component")
-        else:
-            # First the most central node; later one picked anew for every list.
-            rank = F.struct("central", "node") if number == 0 else F.struct(F.xxhash64("node", "list", F.lit(number)).alias("h"), "node")
-            lead = rest.groupBy("list").agg(F.max_by(F.struct("node", "n", "place", "component"), rank).alias("b"))
-            pairs = _side(rest, "a").join(lead, "list").where("a.component <> b.component")
-        fresh = _passing(pairs)
-        fresh = settle(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"), "jaccard_pairs")
-        found = settle(_verified(fresh, texts), "jaccard_links")
-        edges = found if edges is None else edges.unionByName(found)
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        joined = components(edges)
-        if last:
-            break
-        joined = settle(joined, "jaccard_joined")
-    if joined is None:
-        joined = rows.select("node", F.col("node").alias("component")).where("false")
-    return rows, joined
+    chosen = _first_rows(rows, lists.select("node").distinct())
+    signatures = settle(_signatures(docs, chosen), "jaccard_signatures")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = settle(pairs, "jaccard_pairs")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        some = settle(chosen.join(ends, "node", "left_semi"), "jaccard_ends")
+        texts = settle(_texts_of(docs, some).dropDuplicates(["node"]), "jaccard_texts")
+        return settle(_verified(pairs, texts), "jaccard_links")
+
+    # First every node with the most central one of its lists.
+    rest = _across(lists, None)
+    lead = rest.groupBy("list").agg(F.max_by(F.struct("node", "n", "place", "component"), F.struct("central", "node")).alias("b"))
+    star = _passing(_side(rest, "a").join(lead, "list").where("a.component <> b.component"))
+    edges = links(_filtered(star, signatures))
+    # Then all pairs that lie between the components found so far.
+    rest = settle(_across(lists, settle(components(edges), "jaccard_joined")), "jaccard_open")
+    if not rest.isEmpty():
+        edges = edges.unionByName(links(_all_pairs(rest, signatures)))
+    return rows, components(edges)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
