@@ -49,7 +49,7 @@ _SLICES = 256
 CLASSES = 1024
 #: Prefix shingles that a bucket should have, and those held before they are packed.
 BUCKET = 1 << 19
-_HELD = 1 << 21
+_HELD = 1 << 20
 #: Shingles with more documents than this are dealt in parts.
 FREQUENT = 1 << 16
 #: Nodes of a list that are compared with each other in one task.
@@ -78,7 +78,7 @@ def index(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 sets = shingle_sets(part.column("text"))
                 np.add.at(counts, _counters(np.concatenate(sets)), np.uint32(1))
                 rows = part.num_rows
@@ -197,7 +197,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, seen = _Packer(buckets), set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 for found in shingle_sets(part.column("text")):
                     node = _digest(found)
                     if not len(found) or node in seen:
@@ -387,7 +387,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_b"):
+            for part in slices(batch, "text_b", 1 << 20):
                 left, place = part.column("a").dictionary_encode(), part.column("text_a")
                 numbers = left.indices.to_numpy()
                 _, first = np.unique(numbers, return_index=True)
@@ -423,7 +423,7 @@ def _signatures(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.binary())],
