@@ -31,11 +31,8 @@ def main() -> None:
 
     # Makes the text tables, which are the input and not the work, and warms the load up.
     star(spark, sf_dir)
-    seconds = {
-        "load_star": timed(
-            lambda: load_star(spark, staging(spark, sf_dir), new_folder(spark, "bench"), by_place=True)
-        )
-    }
+    load = lambda: load_star(spark, staging(spark, sf_dir), new_folder(spark, "bench"), by_place=True)
+    seconds = {"load_star": min(timed(load) for _ in range(2))}
     for name, query in registered().items():
         query(spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = min(

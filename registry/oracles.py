@@ -140,7 +140,8 @@ def _each_step(source: str, labels: list[str], key: str = "") -> str:
     lead = f"{key}, " if key else ""
     tail = f" GROUP BY {key}" if key else ""
     return " UNION ALL ".join(
-        f"SELECT {lead}{place} AS ordem, '{label}' AS etapa, {_mean(f'l{place}')} AS media_dias FROM {source}{tail}"
+        f"SELECT {lead}{place} AS ordem, '{label}' AS etapa, {_mean(f'l{place}')} AS media_dias,"
+        f" sum(l{place})::DOUBLE / count(l{place}) AS media FROM {source}{tail}"
         for place, label in enumerate(labels, 1)
     )
 
@@ -221,6 +222,15 @@ _BLANKS = [
     )
 ]
 _MASK = [("mascara americana", "(SELECT count(t) FROM f)", None)]
+_MASK_ALONE = [("mascara americana", "(SELECT count(t) FROM f)", "(SELECT count(*) FROM orders)")]
+_OFF_MASK = [("horas fora da mascara", "(SELECT count(*) FROM f WHERE t IS NULL)", "0")]
+# Amounts are written by rules that use neither the American form nor a sign.
+_MONEY_AUDIT = [
+    ("valores com ponto depois de virgula", "(SELECT count(*) FROM f WHERE k % 6 NOT IN (0, 1, 2, 3, 4, 5))", None),
+    ("valores negativos", "(SELECT count(*) FROM f WHERE cents < 0)", None),
+    ("valores ilegiveis", "(SELECT count(*) FROM f WHERE cents IS NULL AND k % 6 <> 5)", "0"),
+]
+_CHANNEL = [("canal WhatsApp ausente", "(SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM f WHERE canal_pedido = 'WhatsApp')", "0")]
 _UNRESOLVED = [
     ("pedidos sem loja", "(SELECT count(*) FROM f WHERE sk_loja = -1)", None),
     ("entregas nao feitas", "(SELECT count(*) FROM f WHERE lt IS NULL)", None),
@@ -236,12 +246,23 @@ _UNKNOWN_ROWS = [
 _FK = [("FK nula", "(SELECT count(*) FROM f WHERE sk_loja IS NULL OR t IS NULL)", "0")] + [
     (f"FK orfa ({name})", "0", "0") for name in ["loja", "categoria", "tempo do pedido", "tempo da entrega"]
 ]
+# Days outside a calendar that ends with 1997.
+_LATE = "CAST('1997-12-31' AS DATE)"
+_DATE_ORPHANS = _FK[:3] + [
+    ("FK orfa (tempo do pedido)", f"(SELECT count(*) FROM f WHERE CAST(t AS DATE) > {_LATE})", "0"),
+    ("FK orfa (tempo da entrega)", f"(SELECT count(*) FROM f WHERE CAST(e AS DATE) + lt > {_LATE})", "0"),
+]
 _NEGATIVE = [("dias negativos", "(SELECT count(*) FROM f WHERE least(l1, l2, l3, l4, lt) < 0)", "0")]
 _REPEATED = "(SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1))"
 _UNIQUE = [
     (f"chave repetida em {name}", "0", "0")
     for name in ["dim_tempo", "dim_loja", "dim_categoria", "dim_praca", "bridge_loja_praca", "fato_pedido"]
-] + [("chave repetida em numero_pedido", _REPEATED, "0")]
+] + [
+    ("chave repetida em numero_pedido", _REPEATED, "0"),
+    ("chave natural repetida em loja_chave", "(SELECT count(*) - count(DISTINCT n_name) FROM nation)", "0"),
+    ("chave natural repetida em dim_categoria", "0", "0"),
+    ("chave natural repetida em dim_praca", "(SELECT count(*) - count(DISTINCT r_regionkey) FROM region)", "0"),
+]
 _LENGTHS = [
     ("texto longo em dim_tempo", "0", "0"),
     ("texto longo em dim_loja", "(SELECT count(*) FROM nation WHERE length(n_name) > 60)", "0"),
@@ -366,6 +387,12 @@ def _dimension_oracles() -> dict[str, str]:
     shares = "('0.' || lpad(CAST(w AS VARCHAR), 2, '0'))"
     return {
         "stg_orders_scan": _staging_text(),
+        "stg_orders_csv": _staging_text(),
+        "parse_date": _sql(
+            "SELECT numero_pedido, CASE WHEN lt IS NOT NULL AND k % 7 NOT IN (1, 2, 3, 4)"
+            " THEN CAST(e AS DATE) + lt END AS entrega FROM f",
+            _ORDERS,
+        ),
         "stg_territories_scan": _sql(
             "SELECT 'LJ-' || lpad(CAST(sk_loja AS VARCHAR), 3, '0') AS cod_loja, cod_praca, nome_praca, regional,"
             " translate(format('{:,}', CAST(domicilios_com_pet AS BIGINT)), ',', '.') AS domicilios_com_pet,"
@@ -443,7 +470,7 @@ def _answer_oracles() -> dict[str, str]:
         ),
         "p1_bottleneck_by_size": _sql(
             "SELECT porte, etapa, media_dias FROM (SELECT *, row_number() OVER (PARTITION BY porte"
-            " ORDER BY media_dias DESC, ordem) AS x FROM ("
+            " ORDER BY media DESC, ordem) AS x FROM ("
             f"{_each_step(per_store, _STEPS, 'porte')})) WHERE x = 1",
             _ORDERS,
             _STORES,
@@ -579,7 +606,9 @@ def _check_oracles() -> dict[str, str]:
         "check_row_counts": _ROW_COUNTS,
         "check_spellings": _SPELLING_COUNTS,
         "check_blank_milestones": _BLANKS,
-        "check_date_mask": _MASK,
+        "check_date_mask": _MASK_ALONE,
+        "check_money_audit": _MONEY_AUDIT,
+        "check_date_orphans": _DATE_ORPHANS,
         "check_category_domain": _DOMAIN,
         "check_bridge_coverage": _COVERAGE,
         "check_unknown_rows": _UNKNOWN_ROWS,
@@ -596,6 +625,9 @@ def _check_oracles() -> dict[str, str]:
             *_SPELLING_COUNTS,
             *_BLANKS,
             *_MASK,
+            *_OFF_MASK,
+            *_MONEY_AUDIT,
+            *_CHANNEL,
             *_DOMAIN,
             *_COVERAGE,
             *_UNKNOWN_ROWS,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
 import threading
 from collections.abc import Callable
 
@@ -29,8 +31,9 @@ from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk
 from starloom.operators.metrics import known
 from starloom.plans import answers, checks
-from starloom.plans.load import Staging, Star, calendar_of, load_star, order_profile
+from starloom.plans.load import Staging, Star, calendar_between, calendar_of, load_star, order_profile
 from starloom.schema import LAGS, UNKNOWN_LABEL
+from starloom.sources.staging import read_orders
 from starloom.sources.warehouse import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,6 +248,40 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stg_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order staging by way of CSV files with the columns in another order, and one more."""
+
+    def make() -> DataFrame:
+        path = f"{new_folder(spark, 'staging')}/stg_pedido_csv"
+        texts = derived.orders(spark, sf_dir)
+        turned = texts.select(F.lit("x").alias("Obs"), *[F.col(f"`{c}`") for c in reversed(texts.columns)])
+        kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        turned.write.option("header", True).options(**kept).csv(path)
+        return read_orders(spark, path, "csv")
+
+    return _once(spark, sf_dir, "staging_csv", make)
+
+
+def parse_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery days from texts of which some are parts of dates, or more than dates."""
+    texts = _order_text(spark, sf_dir).selectExpr(
+        "numero_pedido", "dt_entrega_cliente as d", "cast(substring(numero_pedido, 5) as bigint) % 7 as way"
+    )
+    changed = F.expr(
+        "case when d = '' then d when way = 1 then substring(d, 1, 4) when way = 2 then substring(d, 1, 7)"
+        " when way = 3 then concat(d, ' garbage') when way = 4 then concat(d, 'Tzz')"
+        " when way = 5 then concat(d, ' 10:07:00') else d end"
+    )
+    return texts.select("numero_pedido", parse_date(changed, strict=False).alias("entrega"))
+
+
+def check_date_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key checks against a given calendar that ends before the last orders do."""
+    days = calendar_between(spark, dt.date(1990, 1, 1), dt.date(1997, 12, 31))
+    given = with_unknown(days, "dim_tempo")
+    return checks.fk_integrity(dataclasses.replace(star(spark, sf_dir), dim_tempo=given))
+
+
 # Expected by the way the staging is derived, at any scale.
 EXPECTED = {
     "stg_loja": 25,
@@ -312,6 +349,8 @@ def _cleaners() -> dict[str, Query]:
 def registered() -> dict[str, Query]:
     found: dict[str, Query] = {
         "stg_orders_scan": _order_text,
+        "stg_orders_csv": stg_orders_csv,
+        "parse_date": parse_date_query,
         "stg_territories_scan": lambda spark, sf_dir: staging(spark, sf_dir).territories,
         **_cleaners(),
         "date_keys": date_keys,
@@ -355,6 +394,8 @@ def registered() -> dict[str, Query]:
         "check_spellings": _on_staging(checks.spellings, EXPECTED),
         "check_blank_milestones": _on_staging(checks.blank_milestones),
         "check_date_mask": _on_staging(checks.date_mask),
+        "check_money_audit": _on_staging(checks.money_audit),
+        "check_date_orphans": check_date_orphans,
         "check_category_domain": _on_star(checks.category_domain, EXPECTED),
         "check_unclassified": _on_star(checks.unclassified),
         "check_rule_order": _on_star(checks.rule_order),

@@ -12,6 +12,10 @@ from starloom.schema import UNKNOWN_KEY
 US_TIMESTAMP = "M/d/yyyy h:mm a"
 
 
+# Fixed value: a whole ISO date, with or without a time of day.
+ISO_DATE = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?\z"
+
+
 def is_us_timestamp(col: Column) -> Column:
     """Whether the text fits the mask; never raises."""
     return F.try_to_timestamp(blank_to_null(col), F.lit(US_TIMESTAMP)).isNotNull()
@@ -29,10 +33,14 @@ def parse_us_timestamp(col: Column, strict: bool = True) -> Column:
 def parse_date(col: Column, strict: bool = True) -> Column:
     """ISO date text as DATE; blank is NULL.
 
-    ``strict`` raises on other text (under ANSI mode); otherwise NULL.
+    ``strict`` raises on other text (under ANSI mode); otherwise NULL. Part of a date, and
+    a date with anything but a time behind it, are other text.
     """
     text = blank_to_null(col)
-    return text.cast("date") if strict else text.try_cast("date")
+    fits = text.rlike(ISO_DATE)
+    if strict:
+        return F.when(fits, text).otherwise(F.concat(F.lit("no date: "), text)).cast("date")
+    return F.when(fits, text).try_cast("date")
 
 
 def date_key(date: Column) -> Column:

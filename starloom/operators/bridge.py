@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from starloom.functions.numbers import parse_factor
 
 
-def build_bridge(territories: DataFrame, dim_praca: DataFrame) -> DataFrame:
+def build_bridge(territories: DataFrame, dim_praca: DataFrame, strict: bool = True) -> DataFrame:
     """One row per store code and territory with its share; unknown territory codes drop out."""
     codes = dim_praca.select("cod_praca", "sk_praca")
     return territories.join(codes, "cod_praca").select(
-        "cod_loja", "sk_praca", parse_factor(F.col("percentual_publico")).alias("fator_publico")
+        "cod_loja", "sk_praca", parse_factor(F.col("percentual_publico"), strict).alias("fator_publico")
     )
 
 

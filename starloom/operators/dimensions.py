@@ -25,7 +25,10 @@ def _pick(names: list[str], position: Column) -> Column:
 
 
 def with_unknown(dim: DataFrame, table: str) -> DataFrame:
-    """``dim`` in the types of ``table``, plus the row that missing references point to."""
+    """``dim`` in the types of ``table``, plus the row that missing references point to.
+
+    A row with the unknown member's key that ``dim`` may hold already gives way to it.
+    """
     schema = STAR[table]
     special = UNKNOWN_MEMBERS[table]
     key = schema[0].name
@@ -35,7 +38,8 @@ def with_unknown(dim: DataFrame, table: str) -> DataFrame:
         .alias(f.name)
         for f in schema
     ]
-    return conform(dim, schema).unionByName(dim.sparkSession.range(1).select(*values))
+    rows = conform(dim, schema).where(F.coalesce(F.col(key) != UNKNOWN_KEY, F.lit(True)))
+    return rows.unionByName(dim.sparkSession.range(1).select(*values))
 
 
 def calendar(bounds: DataFrame, start: str = "inicio", end: str = "fim") -> DataFrame:
@@ -75,12 +79,12 @@ def category_dim(spellings: DataFrame, column: str = "categoria_produto") -> Dat
     return dense_keys(named, "categoria_origem", "sk_categoria")
 
 
-def territory_dim(territories: DataFrame) -> DataFrame:
+def territory_dim(territories: DataFrame, strict: bool = True) -> DataFrame:
     """One row per distinct territory of the store-by-territory staging."""
     distinct = territories.select(
         "cod_praca",
         "nome_praca",
         "regional",
-        parse_thousands_int(F.col("domicilios_com_pet")).alias("domicilios_com_pet"),
+        parse_thousands_int(F.col("domicilios_com_pet"), strict).alias("domicilios_com_pet"),
     ).distinct()
     return dense_keys(distinct, "cod_praca", "sk_praca")

@@ -34,18 +34,37 @@ def dense_keys(df: DataFrame, natural_key: str, name: str, buckets: int = 256) -
     return numbered
 
 
-def positional_keys(scan: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a Parquet scan 1..n in file order, without moving any row.
-
-    Columns of the scan may have been renamed or computed, but no row dropped or joined.
-    A row's key is its position in its file plus the rows of the files before it. The
-    counting pass reads no column, and a lost task gives the same keys when it is rerun.
-    The offsets are written first, one row per file, so the planner joins them by their
-    true size.
+#: Files whose offsets are sent to every executor, at about 40 bytes each; of more, rows are joined by a shuffle.
+BROADCAST_FILES = 1 << 20
+
+
+def positional_keys(scan: DataFrame, name: str, buckets: int = 256) -> DataFrame:
+    """Number the rows of a Parquet scan without moving any row.
+
+    A row's key is its position in its file plus the rows of the files before it, where files are in
+    the order of a hash of their paths. Keys are unique, and 1..n if the scan has all rows of its files; rows
+    may have been filtered, which leaves gaps, but not joined. A lost task gives the same keys
+    when it is rerun. The offsets are written first, one row per file, and summed up hash bucket by hash
+    bucket. Two paths of one hash are refused.
     """
-    path = F.col("_metadata.file_path")
-    counts = scan.groupBy(path.alias("__file")).agg(F.count("*").alias("__rows"))
-    offsets = settle(_running_offset(counts, "__file"), "file_offsets")
+    path = F.xxhash64(F.col("_metadata.file_path"))
+    sized = scan.groupBy(F.col("_metadata.file_path").alias("__path")).agg(
+        (F.max("_metadata.row_index") + 1).alias("__rows")
+    )
+    files = settle(sized.select(F.xxhash64("__path").alias("__file"), "__rows"), "file_sizes")
+    if not repeated_keys(files, ["__file"]).isEmpty():
+        raise ValueError("two files have paths of the same hash; rename one")
+    placed_files = files.withColumn("__bucket", F.pmod("__file", F.lit(buckets)))
+    totals = placed_files.groupBy("__bucket").agg(F.sum("__rows").alias("__rows"))
+    # Never more than ``buckets`` rows.
+    starts = F.broadcast(_running_offset(totals, "__bucket"))
+    before = Window.partitionBy("__bucket").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("__rows").over(before), F.lit(0))
+    offsets = placed_files.withColumn("__inside", inside).join(starts, "__bucket")
+    offsets = offsets.select("__file", (F.col("__offset") + F.col("__inside")).alias("__offset"))
+    offsets = settle(offsets, "file_offsets")
+    if offsets.count() <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     placed = scan.withColumns({"__file": path, "__position": F.col("_metadata.row_index")})
     key = F.col("__offset") + F.col("__position") + 1
     return placed.join(offsets, "__file").withColumn(name, key).drop("__file", "__position", "__offset")

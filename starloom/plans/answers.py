@@ -93,12 +93,20 @@ def steps_by_size(star: Star, by: str = "porte") -> DataFrame:
 
 
 def bottleneck_by_size(star: Star, by: str = "porte") -> DataFrame:
-    """The longest step of each size band, read off P1.4; of equals, the earlier step."""
-    steps = [lag.removeprefix("dias_") for lag in STEP_LAGS]
-    long = steps_by_size(star, by).unpivot([by], steps, "etapa", "media_dias")
-    order = F.create_map(*[F.lit(x) for i, step in enumerate(steps) for x in (step, -i)])
-    best = F.max(F.struct("media_dias", order[F.col("etapa")].alias("ordem"), "etapa"))
-    return long.groupBy(by).agg(best.alias("pior")).select(by, "pior.etapa", "pior.media_dias").orderBy(by)
+    """The longest step of each size band by its exact mean; of equals, the earlier step."""
+    groups = _lags_by_store_attribute(star, STEP_LAGS, by)
+    exact = lambda lag: F.expr(f"cast(sum_{lag} as decimal(18,0)) / nullif(cast(n_{lag} as decimal(18,0)), 0)")
+    steps = [
+        F.struct(
+            exact(lag).alias("media"),
+            F.lit(-place).alias("ordem"),
+            F.lit(lag.removeprefix("dias_")).alias("etapa"),
+            lag_mean(lag).alias("media_dias"),
+        )
+        for place, lag in enumerate(STEP_LAGS)
+    ]
+    worst = groups.select(by, F.array_max(F.array(*steps)).alias("pior"))
+    return worst.select(by, "pior.etapa", "pior.media_dias").orderBy(by)
 
 
 # P2: which category holds the revenue?

@@ -51,7 +51,7 @@ CASE_EXPECTED = {
     "ultimo pedido": 20240331,
 }
 
-# Checks whose expected value is the same on any data.
+# Checks whose expected value is the same on any data, under the labels of the model.
 ALWAYS_EXPECTED = {
     "FK nula": 0,
     "FK orfa (loja)": 0,
@@ -71,6 +71,12 @@ ALWAYS_EXPECTED = {
     "rateio sem fechar": 0,
     **{f"chave repetida em {table}": 0 for table in STAR if table != "loja_chave"},
     "chave repetida em numero_pedido": 0,
+    "chave natural repetida em loja_chave": 0,
+    "chave natural repetida em dim_categoria": 0,
+    "chave natural repetida em dim_praca": 0,
+    "horas fora da mascara": 0,
+    "valores ilegiveis": 0,
+    "canal WhatsApp ausente": 0,
     **{f"texto longo em {table}": 0 for table in LENGTHS},
 }
 
@@ -94,6 +100,12 @@ KEYS = {
     "bridge_loja_praca": ["cod_loja", "sk_praca"],
     "fato_pedido": ["sk_pedido"],
 }
+# What rows are matched by, and the surrogate key beside it.
+NATURAL_KEYS = {
+    "loja_chave": ("chave_loja", "sk_loja"),
+    "dim_categoria": ("categoria_origem", "sk_categoria"),
+    "dim_praca": ("cod_praca", "sk_praca"),
+}
 DIMENSIONS = [table for table in KEYS if table.startswith("dim_")]
 # The category due to a spelling that several rules fit: the first rule's.
 DUE_CATEGORY = CATEGORY_RULES[0][1]
@@ -165,22 +177,35 @@ def blank_milestones(staging: Staging, expected: Expected | None = None, strict:
     return expect(_long(cells(staging.orders, [], _blank_counts(strict))), expected)
 
 
-def date_mask(staging: Staging, expected: Expected | None = None) -> DataFrame:
-    """Q4: order times that fit the month-first mask."""
-    return expect(_long(cells(staging.orders, [], _mask_count())), expected)
+def _off_mask() -> dict[str, Column]:
+    return {"horas fora da mascara": F.count_if(~is_us_timestamp(F.col("dt_hora_pedido")))}
 
 
-def money_audit(staging: Staging) -> DataFrame:
-    """Value texts that parse, but may not mean what the parser takes them for, and those that fail."""
+def date_mask(staging: Staging) -> DataFrame:
+    """Q4: order times that fit the month-first mask; all rows of the staging should."""
+    found = cells(staging.orders, [], {**_mask_count(), "linhas": F.count("*")})
+    rows = found.select(
+        F.lit("mascara americana").alias("teste"),
+        F.col("mascara americana").cast("bigint").alias("valor"),
+        F.col("linhas").cast("bigint").alias("esperado"),
+    )
+    return rows.withColumn("ok", F.col("valor") == F.col("esperado"))
+
+
+def _money_counts() -> dict[str, Column]:
     text = F.col("valor_liquido_pedido")
     value = parse_money_br(text, strict=False)
     comma_then_dot = text.rlike(r",[0-9]*\.") & ~text.rlike(r",[0-9]*\..*,")
-    measures = {
+    return {
         "valores com ponto depois de virgula": count_if(comma_then_dot),
         "valores negativos": count_if(value < 0),
         "valores ilegiveis": count_if(value.isNull() & money_text(text).isNotNull()),
     }
-    return expect(_long(cells(staging.orders, [], measures)))
+
+
+def money_audit(staging: Staging) -> DataFrame:
+    """Value texts that parse, but may not mean what the parser takes them for, and those that fail."""
+    return expect(_long(cells(staging.orders, [], _money_counts())))
 
 
 # Dimensions and bridge
@@ -254,12 +279,15 @@ def text_lengths(star: Star) -> DataFrame:
 
 
 def unique_keys(star: Star) -> DataFrame:
-    """Primary-key values found more than once, per table, and repeated order numbers."""
+    """Primary-key values found more than once, per table, and repeated order numbers, names and codes."""
     parts = [
         _one(repeated_keys(getattr(star, name), key), f"chave repetida em {name}")
         for name, key in KEYS.items()
     ]
     parts.append(_one(repeated_keys(star.fato_pedido, ["numero_pedido"]), "chave repetida em numero_pedido"))
+    for name, (key, sk) in NATURAL_KEYS.items():
+        named = getattr(star, name).where((F.col(sk) != UNKNOWN_KEY) & F.col(key).isNotNull())
+        parts.append(_one(repeated_keys(named, [key]), f"chave natural repetida em {name}"))
     return expect(_union(parts))
 
 
@@ -334,6 +362,11 @@ def channel_present(star: Star, channel: str = "WhatsApp") -> DataFrame:
     )
 
 
+def _channel_missing(channel: str = "WhatsApp") -> dict[str, Column]:
+    missing = F.coalesce(F.max((F.col("canal_pedido") == channel).cast("int")), F.lit(0)) == 0
+    return {f"canal {channel} ausente": missing.cast("bigint")}
+
+
 def date_range(star: Star) -> DataFrame:
     """Q18: first and last order day."""
     return cells(star.fato_pedido, [], _date_range()).toDF("primeiro_pedido", "ultimo_pedido")
@@ -414,12 +447,15 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         **_spelling_counts(),
         **_blank_counts(True),
         **_mask_count(),
+        **_off_mask(),
+        **_money_counts(),
     }
     fact_measures = {
         "fato_pedido": F.count("*"),
         **_null_fk(),
         **_unresolved(),
         **_negative_lags(),
+        **_channel_missing(),
         **_too_long("fato_pedido"),
         **{name: date_key(day) for name, day in _date_range().items()},
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
@@ -23,7 +24,7 @@ from starloom.operators.bridge import build_bridge
 from starloom.operators.dimensions import calendar, category_dim, territory_dim, with_unknown
 from starloom.operators.keys import positional_keys
 from starloom.operators.lags import milestone_lags
-from starloom.operators.lookup import lookup_fk, store_lookup
+from starloom.operators.lookup import lookup_fk, refuse_repeated, store_lookup
 from starloom.schema import STAR, UNKNOWN_LABEL
 from starloom.sources.warehouse import conform, new_folder, read_table, settle, write_table
 
@@ -77,6 +78,11 @@ def calendar_of(profile: DataFrame) -> DataFrame:
     return calendar(profile.agg(F.min("inicio").alias("inicio"), F.max("fim").alias("fim")))
 
 
+def calendar_between(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
+    """Every day from ``first`` to ``last``."""
+    return calendar(spark.range(1).select(F.lit(first).alias("inicio"), F.lit(last).alias("fim")))
+
+
 def clean_orders(orders: DataFrame, strict: bool = True) -> DataFrame:
     """Typed and standardised order columns, row by row.
 
@@ -133,6 +139,7 @@ def load_star(
     folder: str | None = None,
     strict: bool = True,
     by_place: bool = False,
+    days: tuple[dt.date, dt.date] | None = None,
 ) -> Star:
     """Write the tables below ``folder`` and give them back as read from there.
 
@@ -140,7 +147,11 @@ def load_star(
     chooses between a broadcast and a shuffle when the fact looks its keys up. The
     orders are read twice: once for the profile, once for the fact. ``strict`` is as for
     ``clean_orders``. ``by_place`` says that the orders are a plain Parquet scan, whose rows
-    can be numbered by their place; else the fact is written, numbered and written again.
+    can be numbered by their place; else the fact is written, numbered and written again. ``days`` are the
+    first and last day of a given calendar; without it, the calendar reaches as far as the orders do.
+
+    Names and codes that rows are matched by must be unique, else the load stops with the repeated
+    ones before the fact is built.
     """
     folder = folder or new_folder(spark, "star")
 
@@ -151,17 +162,21 @@ def load_star(
     with ThreadPoolExecutor() as pool:
         profile_job = pool.submit(write, order_profile(staging.orders, strict), "perfil_pedido")
         store_job = pool.submit(write, with_unknown(staging.stores, "dim_loja"), "dim_loja")
-        praca = with_unknown(territory_dim(staging.territories), "dim_praca")
+        praca = with_unknown(territory_dim(staging.territories, strict), "dim_praca")
         praca_job = pool.submit(write, praca, "dim_praca")
         dim_loja = store_job.result()
         key_job = pool.submit(write, store_lookup(dim_loja, staging.aliases), "loja_chave")
         dim_praca = praca_job.result()
-        bridge = build_bridge(staging.territories, dim_praca)
+        refuse_repeated(dim_praca, "cod_praca", "sk_praca", "dim_praca")
+        bridge = build_bridge(staging.territories, dim_praca, strict)
         bridge_job = pool.submit(write, bridge, "bridge_loja_praca")
         profile = profile_job.result()
-        tempo_job = pool.submit(write, with_unknown(calendar_of(profile), "dim_tempo"), "dim_tempo")
+        tempo = calendar_between(spark, *days) if days else calendar_of(profile)
+        tempo_job = pool.submit(write, with_unknown(tempo, "dim_tempo"), "dim_tempo")
         dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
         dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
+    refuse_repeated(loja_chave, "chave_loja", "sk_loja", "loja_chave")
+    refuse_repeated(dim_categoria, "categoria_origem", "sk_categoria", "dim_categoria")
     orders = positional_keys(staging.orders, "sk_pedido") if by_place else staging.orders
     fact = build_fact(orders, dim_categoria, loja_chave, strict)
     if "sk_pedido" not in fact.columns:

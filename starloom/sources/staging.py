@@ -17,8 +17,15 @@ def rename(raw: DataFrame, headers: Mapping[str, str]) -> DataFrame:
 
 
 def _scan(spark: SparkSession, path: str, kind: str, headers: Mapping[str, str]) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in headers])
-    return spark.read.schema(schema).option("header", True).format(kind).load(path)
+    """The columns named in ``headers`` as text, wherever they stand in the file; others are not read."""
+    raw = spark.read.option("header", True).format(kind).load(path)
+    missing = [name for name in headers if name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    other = [f.name for f in raw.schema if f.name in headers and f.dataType != T.StringType()]
+    if other:
+        raise ValueError(f"{path} holds no text in the columns {', '.join(other)}")
+    return raw
 
 
 def _named(raw: DataFrame, kind: str, headers: Mapping[str, str]) -> DataFrame:

@@ -12,7 +12,7 @@ from starloom.session import get_spark  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = get_spark(
-        "local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
+        "local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.sql.maxMetadataStringLength": "2000"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -149,7 +149,17 @@ FAULTS = {
     "repeated territory": (
         "dim_praca",
         lambda df: df.union(df.where("sk_praca = 1")),
-        {"chave repetida em dim_praca"},
+        {"chave repetida em dim_praca", "chave natural repetida em dim_praca"},
+    ),
+    "repeated store name": (
+        "loja_chave",
+        lambda df: df.union(df.where("sk_loja = 1")),
+        {"chave natural repetida em loja_chave"},
+    ),
+    "channel lost": (
+        "fato_pedido",
+        set_where("sk_pedido = 1", "canal_pedido", "'App'"),
+        {"canal WhatsApp ausente"},
     ),
 }
 
@@ -190,6 +200,12 @@ def test_single_checks(spark):
     assert {r["teste"]: r["valor"] for r in loose}["dt_separacao_estoque"] == 2
 
 
+def test_date_mask_expects_every_row(spark):
+    rows = [staged(1), staged(2, dt_hora_pedido="25/12/2023 10:00 AM")]
+    staging = Staging(spark.createDataFrame(rows, TEXT), None, None)
+    assert [tuple(r) for r in checks.date_mask(staging).collect()] == [("mascara americana", 1, 2, False)]
+
+
 def test_empty_targets(spark):
     """Before a load every target must be empty."""
     empty = {name: spark.createDataFrame([], "x int") for name in ["dim_categoria", "fato_pedido"]}

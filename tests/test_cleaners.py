@@ -234,3 +234,15 @@ def test_time_zone_does_not_matter(spark, zone):
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("text", ["2024", "2024-03", "2024-03-01 garbage", "2024-03-01Tzz"])
+def test_parts_of_dates_are_no_dates(values, text):
+    assert values(lambda c: dates.parse_date(c, strict=False), [text]) == [None]
+    with pytest.raises(Exception, match="no date"):
+        values(dates.parse_date, [text])
+
+
+def test_dates_with_a_time_are_dates(values):
+    found = values(dates.parse_date, ["2024-03-01 10:07:00", "2024-3-1", " 2024-03-01 ", ""])
+    assert [str(d) for d in found] == ["2024-03-01", "2024-03-01", "2024-03-01", "None"]

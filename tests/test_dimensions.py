@@ -89,6 +89,19 @@ def test_positional_keys(spark):
     assert {r["id"]: r["sk"] for r in rows} == {r["id"]: r["sk"] for r in again}
 
 
+def test_positional_keys_of_a_filtered_scan_are_unique(spark, tmp_path):
+    path = str(tmp_path / "filtered")
+    spark.range(5000).repartition(5).write.parquet(path)
+    scan = spark.read.parquet(path).where("xxhash64(id) % 3 = 0")
+    rows = positional_keys(scan, "sk").collect()
+    assert len({r["sk"] for r in rows}) == len(rows) == scan.count()
+
+
+def test_unknown_member_is_not_doubled(spark):
+    dim = with_unknown(spark.createDataFrame([], STAR["dim_praca"]), "dim_praca")
+    assert with_unknown(dim, "dim_praca").count() == 1
+
+
 def test_repeated_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a")], "x int, y string")
     assert [tuple(r) for r in repeated_keys(df, ["x", "y"]).collect()] == [(1, "a", 2)]

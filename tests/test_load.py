@@ -132,6 +132,48 @@ def test_csv_staging_without_keys_is_numbered_as_written(spark, tmp_path):
     assert keys["P3"][1] == -1  # no aliases given
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "turned.csv"
+    headers = list(ORDER_HEADERS)
+    with path.open("w", newline="", encoding="utf-8") as file:
+        csv.writer(file).writerows([["extra", *headers[::-1]], *[["x", *row[::-1]] for row in ORDERS]])
+    orders = read_orders(spark, str(path), "csv")
+    assert sorted(map(tuple, orders.collect())) == sorted(ORDERS)
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_missing_columns_are_named(spark, tmp_path, kind):
+    text_table(spark, ORDERS, ORDER_HEADERS).toDF(*ORDER_HEADERS).drop("DtNotaFiscal").write.option(
+        "header", True
+    ).format(kind).save(str(tmp_path / kind))
+    with pytest.raises(ValueError, match="DtNotaFiscal"):
+        read_orders(spark, str(tmp_path / kind), kind)
+
+
+def test_repeated_lookup_keys_stop_a_load(spark):
+    orders = text_table(spark, ORDERS, ORDER_HEADERS).toDF(*ORDER_HEADERS.values())
+    territories = text_table(spark, TERRITORIES, TERRITORY_HEADERS).toDF(*TERRITORY_HEADERS.values())
+    twice = stores(spark).union(stores(spark))
+    with pytest.raises(ValueError, match="loja_chave.chave_loja"):
+        load_star(spark, Staging(orders, territories, twice, aliases(spark)))
+    other = territories.union(territories.limit(1).withColumn("nome_praca", F.lit("Outra")))
+    with pytest.raises(ValueError, match="dim_praca.cod_praca"):
+        load_star(spark, Staging(orders, other, stores(spark), aliases(spark)))
+    doubled = aliases(spark).union(aliases(spark))
+    assert load_star(spark, Staging(orders, territories, stores(spark), doubled)).fato_pedido.count() == len(ORDERS)
+
+
+def test_given_calendar_and_lenient_territories(spark):
+    orders = text_table(spark, ORDERS, ORDER_HEADERS).toDF(*ORDER_HEADERS.values())
+    territories = text_table(spark, TERRITORIES, TERRITORY_HEADERS).toDF(*TERRITORY_HEADERS.values())
+    bad = territories.withColumn("percentual_publico", F.lit("muito"))
+    staging = Staging(orders, bad, stores(spark), aliases(spark))
+    days = (dt.date(2023, 9, 1), dt.date(2023, 9, 30))
+    star = load_star(spark, staging, strict=False, days=days)
+    assert star.dim_tempo.count() == 31
+    assert star.bridge_loja_praca.where("fator_publico is not null").isEmpty()
+
+
 def test_unreadable_text_stops_a_strict_load_only(spark):
     bad = list(ORDERS[0])
     bad[1], bad[3], bad[12], bad[13] = "25/12/2023 10:00 AM", "soon", "some", "much"
