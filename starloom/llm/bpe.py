@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -213,7 +214,9 @@ def decode(
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                texts = [b"".join([tokens[i] for i in one]) for one in part.column("__ids").to_pylist()]
+                lists = part.column("__ids")
+                ids, edges = lists.flatten().to_numpy().tolist(), np.cumsum([0, *pc.list_value_length(lists).to_pylist()]).tolist()
+                texts = [b"".join([tokens[i] for i in ids[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(texts, pa.binary())], names=[f.name for f in schema]
                 )

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.common import id_ranges, mix64, range_of, slices, whole
 
@@ -85,7 +86,8 @@ def spell(fingerprint: np.ndarray) -> str:
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row packed in ``doc``, with ``marks``: its (hash, position) pairs."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), whole(f"`{text}`").alias("__text"))
-    schema = rows.drop("__text").schema.add("marks", "array<struct<hash:bigint,position:bigint>>", False)
+    pair = T.StructType([T.StructField("hash", T.LongType()), T.StructField("position", T.LongType())])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("marks", T.ArrayType(pair), False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

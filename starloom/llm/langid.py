@@ -85,7 +85,7 @@ def _buckets(points: np.ndarray, left: np.ndarray, owned: np.ndarray, size: int,
 
 def train(
     docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    per_language: int = PER_LANGUAGE, smoothing: float = 0.5,
+    per_language: int = PER_LANGUAGE, smoothing: float = 0.02,
 ) -> Model:
     """Learn from the rows for which ``usable`` holds and text and language are not null."""
     taught = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())

@@ -50,3 +50,27 @@ FROM firsts
 """
 
 ORACLES = {"op9_warc": _WARC, "op7_source_mixing": _MIXING}
+
+# Marks take 3 + 4 characters a conversation, 8 + 8 + 7 a block and 8 between the turns of a block; each control string, and
+# each look-alike with backslashes, is escaped by one character.
+_CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *,
+        length(text) + len(regexp_extract_all(text, '<\\*(/?s>|\|(role|text|turn|end)\|>)|\[\\*/?INST\]')) AS text_chars,
+        length(role) + len(regexp_extract_all(role, '<\\*(/?s>|\|(role|text|turn|end)\|>)|\[\\*/?INST\]')) AS role_chars,
+        coalesce(role <> lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), TRUE) AS opens
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (7 + sum(text_chars + CASE WHEN opens THEN 23 + role_chars ELSE 8 END))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLES["op3_chat_formatting"] = _CHAT
