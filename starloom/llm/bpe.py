@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import slices, whole
 
-#: Pieces whose ids a worker remembers before it forgets them all.
-REMEMBERED = 800_000
+#: Pieces whose ids a worker remembers, twice: the latest, and those before them.
+REMEMBERED = 120_000
 _TRIES = 64
 
 
@@ -118,15 +118,18 @@ def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     """Ids of a piece that is no token itself.
 
     A part begins at its place and ends where the part it is linked to begins. The heap holds possible
-    merges as (rank, place of the left part, end of the right part); entries whose parts have
-    changed since are passed over.
+    merges as one number each, made of rank, place of the left part and end of the right
+    part; entries whose parts have changed since are passed over.
     """
-    size, rank_of, push = len(piece), ranks.get, heapq.heappush
+    size, rank_of, push, pop = len(piece), ranks.get, heapq.heappush, heapq.heappop
+    bits = (size + 1).bit_length()
+    mask, wide = (1 << bits) - 1, 2 * bits
     following, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    heap = [(rank, i, i + 2) for i in range(size - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
+    heap = [rank << wide | i << bits | i + 2 for i in range(size - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
     heapq.heapify(heap)
     while heap:
-        _, left, until = heapq.heappop(heap)
+        entry = pop(heap)
+        left, until = entry >> bits & mask, entry & mask
         right = following[left]
         if right >= size or following[right] != until:
             continue
@@ -136,10 +139,10 @@ def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
             before[until] = left
             end = following[until]
             if (rank := rank_of(piece[left:end])) is not None:
-                push(heap, (rank, left, end))
+                push(heap, rank << wide | left << bits | end)
         earlier = before[left]
         if earlier >= 0 and (rank := rank_of(piece[earlier:until])) is not None:
-            push(heap, (rank, earlier, until))
+            push(heap, rank << wide | earlier << bits | until)
     ids, at = [], 0
     while at < size:
         ids.append(ranks[piece[at : following[at]]])
@@ -148,20 +151,28 @@ def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
 
 
 class _Pieces(dict):
-    """Ids of pieces as packed 32-bit numbers, worked out when first asked for."""
+    """Ids of pieces as packed 32-bit numbers, worked out when first asked for.
+
+    When ``REMEMBERED`` are held they become the older half, from which pieces asked for again come back.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.find = vocabulary.find
         self.ranks = {token: i for i, token in enumerate(vocabulary.tokens)}
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        whole_id = self.find(raw)
-        packed = array("i", [whole_id] if whole_id >= 0 else merge(raw, self.ranks)).tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode("utf-8")
+            whole_id = self.find(raw)
+            packed = array("i", [whole_id] if whole_id >= 0 else merge(raw, self.ranks)).tobytes()
+            if len(raw) > 200:
+                return packed
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        if len(raw) <= 200:
-            self[piece] = packed
+        self[piece] = packed
         return packed
 
 

@@ -43,6 +43,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         if end > start:
             yield batch.slice(start, end - start)
         start = end
+    # A worker lives on; what its batches took goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -48,8 +48,8 @@ SKETCH_BITS = 20
 _SLICES = 256
 CLASSES = 1024
 #: Prefix shingles that a bucket should have, and those held before they are packed.
-BUCKET = 1 << 19
-_HELD = 1 << 20
+BUCKET = 1 << 18
+_HELD = 1 << 19
 #: Shingles with more documents than this are dealt in parts.
 FREQUENT = 1 << 16
 #: Nodes of a list that are compared with each other in one task.
