@@ -228,7 +228,7 @@ _OFF_MASK = [("horas fora da mascara", "(SELECT count(*) FROM f WHERE t IS NULL)
 _MONEY_AUDIT = [
     ("valores com ponto depois de virgula", "(SELECT count(*) FROM f WHERE k % 6 NOT IN (0, 1, 2, 3, 4, 5))", None),
     ("valores negativos", "(SELECT count(*) FROM f WHERE cents < 0)", None),
-    ("valores ilegiveis", "(SELECT count(*) FROM f WHERE cents IS NULL AND k % 6 <> 5)", "0"),
+    ("valores ilegiveis", "(SELECT count(*) FROM f WHERE a IS NOT NULL AND cents IS NULL AND k % 6 <> 5)", "0"),
 ]
 _CHANNEL = [("canal WhatsApp ausente", "(SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM f WHERE canal_pedido = 'WhatsApp')", "0")]
 _UNRESOLVED = [
@@ -387,7 +387,10 @@ def _dimension_oracles() -> dict[str, str]:
     shares = "('0.' || lpad(CAST(w AS VARCHAR), 2, '0'))"
     return {
         "stg_orders_scan": _staging_text(),
-        "stg_orders_csv": _staging_text(),
+        # CSV files have no NULL beside the blank field.
+        "stg_orders_csv": "SELECT * REPLACE (coalesce(valor_liquido_pedido, '') AS valor_liquido_pedido,"
+        " coalesce(loja_nome, '') AS loja_nome, coalesce(cod_loja, '') AS cod_loja)"
+        f" FROM ({_staging_text()})",
         "parse_date": _sql(
             "SELECT numero_pedido, CASE WHEN lt IS NOT NULL AND k % 7 NOT IN (1, 2, 3, 4)"
             " THEN CAST(e AS DATE) + lt END AS entrega FROM f",

@@ -4,7 +4,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+from registry.oracles import oracles
+from registry.queries import registered
 from tests.test_registry import sorted_rows
 
 
@@ -33,8 +34,8 @@ def duck(skewed):
     return connection
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(registered()))
 def test_query(spark, duck, skewed, name):
-    df = driver.queries()[name](spark, skewed)
-    wanted = duck.sql(driver.oracle_sql()[name])
+    df = registered()[name](spark, skewed)
+    wanted = duck.sql(oracles()[name])
     assert sorted_rows(df.columns, df.collect()) == sorted_rows(wanted.columns, wanted.fetchall())
