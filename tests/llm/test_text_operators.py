@@ -141,6 +141,47 @@ def test_random_strings_are_found_and_words_are_not(make_docs):
     assert set(hit) <= set(keys) and len(hit) >= 50
 
 
+def ordinary_run(r, code, n):
+    """A run of n characters of ordinary words and numbers, all of one alphabet."""
+    hex_words = ["dead", "beef", "face", "faded", "decade", "added", "bad", "cafe", "feed", "deed"]
+    words = [w for w in PROSE.split() if len(w) > 2]
+    while True:
+        said = [str(r.choice(hex_words if code in ("hex", "HEX") else words)) for _ in range(n)]
+        if code in ("HEX", "base32", "base36"):
+            said = [w.upper() for w in said]
+        elif code != "hex":
+            said = [w.title() if i else w for i, w in enumerate(said)]
+        said[3] = {"base32": "2345", "base64": "or/and", "base66": "or_and"}.get(code, "1998")
+        run = "".join(said)[:n]
+        if re.fullmatch(dict((name, p) for name, p, _ in secrets.ALPHABETS)[code], run):
+            return run
+
+
+@pytest.mark.parametrize("n", [20, 24, 32])
+def test_one_secret_of_a_hundred_is_found(make_docs, n):
+    r = np.random.default_rng(n)
+    codes = ["HEX", "base32", "base36", "base62", "base64", "base66"] + ["hex"] * (n == 20)
+    letters = {name: list(a) for name, _, a in secrets.ALPHABETS}
+    planted = {code: {"".join(r.choice(letters[code], n)) for _ in range(6)} for code in codes}
+    runs = [run for code in codes for run in [*sorted(planted[code]), *(ordinary_run(r, code, n) for _ in range(600))]]
+    docs = make_docs([(i, f"{PROSE} in 1998. {run} {PROSE.title()}", None, None) for i, run in enumerate(runs)])
+    found = secrets.scan(docs, secrets.learn_cuts(docs)).select("text", "spans").collect()
+    hit = {text[s.start : s.end] for text, spans in found for s in spans}
+    assert len(hit - set().union(*planted.values())) <= 1
+    for code in codes:
+        assert len(hit & planted[code]) >= (4 if code in ("hex", "HEX") else 5), code
+
+
+def test_parts_of_a_run_are_tested(make_docs):
+    r = np.random.default_rng(8)
+    keys = ["".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), 26)) for _ in range(12)]
+    runs = [f"{PROSE.replace(' ', '/')}/{key}/{PROSE.replace(' ', '_')}" for key in keys]
+    docs = make_docs([(i, f"é {run}. {PROSE}", None, None) for i, run in enumerate(runs)])
+    found = secrets.scan(docs, secrets.learn_cuts(docs)).select("text", "spans").collect()
+    hit = [text[s.start : s.end] for text, spans in found for s in spans]
+    assert set(hit) <= set(keys) and len(hit) >= 11
+
+
 def test_secret_scan_of_nothing(edge_docs):
     none = edge_docs.where("false")
     assert secrets.learn_cuts(none) == {}
