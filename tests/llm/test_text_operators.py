@@ -182,6 +182,18 @@ def test_parts_of_a_run_are_tested(make_docs):
     assert set(hit) <= set(keys) and len(hit) >= 11
 
 
+def test_what_base_spans_leave_of_a_run_is_tested(make_docs):
+    r = np.random.default_rng(9)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz")
+    keys = ["".join(r.choice(alphabet, 32)) for _ in range(24)]
+    hexes = ["".join(r.choice(list("0123456789abcdef"), 24)) for _ in range(12)]
+    runs = [f"{a}{h}{b}" for a, h, b in zip(keys[:12], hexes, keys[12:], strict=True)]
+    docs = make_docs([(i, f"é {run}. {PROSE}", None, None) for i, run in enumerate(runs)])
+    found = secrets.scan(docs, secrets.learn_cuts(docs)).select("text", "spans").collect()
+    hit = [text[s.start : s.end] for text, spans in found for s in spans]
+    assert set(hit) <= {*keys, *hexes} and set(hexes) <= set(hit) and len(hit) >= 12 + 22
+
+
 def test_secret_scan_of_nothing(edge_docs):
     none = edge_docs.where("false")
     assert secrets.learn_cuts(none) == {}
