@@ -13,7 +13,7 @@ Documents are sets of word shingles (see ``shingles``); two are linked if 100 *
    node is paired with the others; pairs that pass the length, positional and suffix filters are made distinct
    and verified from the texts. Linked nodes join, and lists within one component are done. Then all pairs between
    components are looked at list by list, long lists block by block; only those that pass the same
-   filters leave the task, and are verified once each. So a group of many near copies gives few pairs, no link
+   filters leave the task, and those not yet verified are, so each pair is verified once. So a group of many near copies gives few pairs, no link
    between components is missed, and no list is capped.
 4. Components come from the verified pairs.
 
@@ -458,7 +458,6 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     signatures = settle(_signatures(docs, chosen), "jaccard_signatures")
 
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = settle(pairs, "jaccard_pairs")
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         some = settle(chosen.join(ends, "node", "left_semi"), "jaccard_ends")
         texts = settle(_texts_of(docs, some).dropDuplicates(["node"]), "jaccard_texts")
@@ -468,11 +467,13 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = _across(lists, None)
     lead = rest.groupBy("list").agg(F.max_by(F.struct("node", "n", "place", "component"), F.struct("central", "node")).alias("b"))
     star = _passing(_side(rest, "a").join(lead, "list").where("a.component <> b.component"))
-    edges = links(_filtered(star, signatures))
+    looked_at = settle(_filtered(star, signatures), "jaccard_pairs")
+    edges = links(looked_at)
     # Then all pairs that lie between the components found so far.
     rest = settle(_across(lists, settle(components(edges), "jaccard_joined")), "jaccard_open")
     if not rest.isEmpty():
-        edges = edges.unionByName(links(_all_pairs(rest, signatures)))
+        fresh = _all_pairs(rest, signatures).join(looked_at, ["a", "b"], "left_anti")
+        edges = edges.unionByName(links(settle(fresh, "jaccard_pairs")))
     return rows, components(edges)
 
 

@@ -78,6 +78,20 @@ def test_jaccard_join_equals_all_pairs(make_docs, edge_docs, monkeypatch, block)
     assert as_text(rows(found)) == as_text(plain_components(given))
 
 
+def test_jaccard_verifies_a_pair_once(make_docs, monkeypatch):
+    verified, phases = jaccard._verified, []
+
+    def seen(pairs, texts):
+        phases.append([(bytes(a), bytes(b)) for a, b in pairs.select("a", "b").collect()])
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(jaccard, "_verified", seen)
+    monkeypatch.setattr(jaccard, "_may_link", lambda one, other, both: np.ones(max(len(one), len(other)), bool))
+    jaccard.near_duplicates(make_docs([(i, t, "en", "z") for i, t in enumerate(near_group(60))])).collect()
+    assert len(phases) == 2 and phases[0] and phases[1]
+    assert len(phases[0]) + len(phases[1]) == len({*phases[0], *phases[1]})
+
+
 def test_jaccard_keeps_one_of_each_group(edge_docs):
     kept = jaccard.keep_one(edge_docs)
     assert kept.schema == edge_docs.schema
