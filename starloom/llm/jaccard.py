@@ -477,27 +477,34 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, components(edges)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey (hash of the text), n_shingles and component_id of every row."""
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey (hash of the text), n and component of every row; texts without words have none."""
     rows, joined = linked_components(docs.select("doc_id", "text"))
-    marked = settle(
+    return settle(
         rows.join(joined, "node", "left").select("doc_id", "tkey", "n", F.coalesce("component", "node").alias("component")), "jaccard_rows"
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey (hash of the text), n_shingles and component_id of every row."""
+    marked = _marked(docs)
     smallest = marked.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("first_id"))
     out = marked.join(smallest, "component", "left")
     return out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those that have a linked document of a smaller id, and without repeated rows.
+    """One document of each component, the first by id (nulls last) and hash of the text, and all without words; no repeated rows.
 
     Texts are moved only if the rows to be dropped are too many to be sent to every executor.
     """
-    decided = near_duplicates(docs)
-    key = F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id")
-    counted = decided.groupBy(key, F.col("tkey").alias("__tkey")).agg(
-        F.count("*").alias("__n"), F.max(F.coalesce(F.col("component_id") < F.col("doc_id"), F.col("component_id").isNotNull())).alias("__drop")
-    )
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "tkey").alias("row")
+    decided = _marked(docs).groupBy(order).agg(F.count("*").alias("__n"), F.max("component").alias("component"))
+    stays = decided.where("component is not null").groupBy("component").agg(F.min("row").alias("first"))
+    counted = decided.join(stays, "component", "left").select(
+        F.col("row.id").alias("__id"), F.col("row.tkey").alias("__tkey"), "__n",
+        F.coalesce(F.col("row") > F.col("first"), F.lit(False)).alias("__drop"),
+    )
     special = settle(counted.where("__drop or __n > 1"), "jaccard_dropped")
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),

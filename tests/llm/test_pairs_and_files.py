@@ -100,6 +100,18 @@ def test_jaccard_keeps_one_of_each_group(edge_docs):
     assert jaccard.keep_one(edge_docs.where("false")).isEmpty()
 
 
+def test_jaccard_keeps_one_of_a_group_without_ids(make_docs):
+    other = "one two three four five six seven eight nine ten"
+    given = [(None, PROSE, "en", "a"), (None, PROSE + " tonight", "en", "a"), (None, PROSE.upper(), "en", "b"), (None, PROSE, "en", "a")]
+    given += [(7, other, "en", "a"), (7, other.upper(), "en", "a"), (8, other.title(), "en", "a"), (None, other, "en", "a")]
+    given += [(9, "", "en", "a"), (None, "", "en", "a"), (None, None, "en", "a")]
+    kept = [(r.doc_id, r.text or "") for r in jaccard.keep_one(make_docs(given)).collect()]
+    no_words = sorted((str(i), t) for i, t in kept if not t)
+    assert no_words == [("9", ""), ("None", "")]
+    groups = sorted((str(i), t.lower().startswith("one")) for i, t in kept if t)
+    assert groups == [("7", True), ("None", False)]
+
+
 def test_components(spark):
     r = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in r.integers(0, 400, (260, 2))] + [(i, i + 1) for i in range(500, 600)] + [(7, None)]
