@@ -1,6 +1,8 @@
-"""Near-duplicate vectors by a pivot-permutation index.
+"""Near-duplicate vectors by an index of nearest pivots, a pivot-permutation index without the order.
 
-A vector is described by the order of its ``NEAREST`` nearest reference points (pivots). Pivots are a bounded
+A vector is described by the set of its ``NEAREST`` nearest reference points (pivots). Their order is not used: every
+pair whose orders agree has the sets in common too, so the set misses no link that the order would find, and
+the cosines of a list are cheap. Pivots are a bounded
 sample of the vectors, picked by a hash and far from each other. Inverted lists hold the vectors that share pivots: a
 pair that shares at least ``SHARED`` of them meets in a list for every ``SHARED`` pivots in common, and is looked
 at only in the first of these, so it is verified once. Lists of one vector are dropped before vectors are
@@ -68,7 +70,7 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "vec_id long, key binary, label string, dim int, unit binary")
 
 
-def _permutations(classes: DataFrame, pivots: int, nearest: int, shared: int) -> DataFrame:
+def _nearest_sets(classes: DataFrame, pivots: int, nearest: int, shared: int) -> DataFrame:
     """(key, lists, near): the inverted lists of every class, and its nearest pivots in rising order."""
     # At most four times ``pivots`` vectors; one that is close to a pivot already chosen tells little more.
     sample = classes.orderBy(F.xxhash64("key", F.lit("pivots")), "key").limit(4 * pivots).select("dim", "unit").collect()
@@ -163,7 +165,7 @@ def near_duplicates(
         F.first("dim").alias("dim"), F.first("unit").alias("unit"),
     )
     classes = settle(classes, "pivot_classes")
-    described = settle(_permutations(classes, pivots, nearest, shared), "pivot_lists")
+    described = settle(_nearest_sets(classes, pivots, nearest, shared), "pivot_lists")
     entries = described.select("key", F.posexplode("lists").alias("which", "list"))
     # Only lists with at least two vectors matter; long ones are cut into blocks.
     lengths = entries.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")

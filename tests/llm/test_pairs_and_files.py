@@ -170,6 +170,19 @@ def test_vectors_against_all_pairs(spark, block):
     assert pivots.near_duplicates(df.where("false")).isEmpty()
 
 
+def test_vectors_with_production_parameters(spark):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(150, 64))
+    vectors = [(i, (centres[i % 150] + r.normal(size=64) * 0.08).tolist(), 0) for i in range(1500)]
+    units = np.array([v for _, v, _ in vectors])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    wanted = (units @ units.T >= 0.98).sum(axis=1) - 1
+    found = {r[0]: r[1] for r in rows(pivots.near_duplicates(spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")))}
+    assert wanted.sum() > 1000
+    assert all(found[i] <= n for i, n in enumerate(wanted.tolist()))
+    assert sum(found.values()) >= 0.9 * wanted.sum()
+
+
 # Chat
 
 
