@@ -94,12 +94,12 @@ def train(
         raise ValueError(f"more than {LANGUAGES} languages")
     languages = tuple(sorted(sizes, key=lambda s: s.encode()))
     bits = min(BUCKET_BITS, max(8, int(np.log2(CELLS / max(1, len(languages))))))
-    # A share in 2^20ths, compared with a hash of the id.
+    # A share in 2^20ths, compared with a hash of id and text, as many rows may have no id.
     shares = {k: min(1 << 20, -(-per_language * (1 << 20) // n)) for k, n in sizes.items()}
     share = F.lit(1 << 20)
     if any(s < 1 << 20 for s in shares.values()):
         share = F.element_at(F.create_map(*[F.lit(x) for item in sorted(shares.items()) for x in item]), F.col(lang))
-    picked = taught.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("langid")), F.lit(1 << 20)) < share)
+    picked = taught.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.xxhash64(text), F.lit("langid")), F.lit(1 << 20)) < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

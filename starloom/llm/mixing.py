@@ -5,7 +5,7 @@ Words are added up per source. Sources in code point order, a null source last,
 would get more than ``most`` times its own words gets just that, and what is left over goes
 to the others by weight, until none is above. A source's rate is its target over its
 words. Each document is emitted floor(rate) times, and once more if a number drawn from
-a hash of the document lies below the fraction; so reruns and lost tasks give the same mix.
+a hash of the document's id, or of its text if that is null, lies below the fraction; so reruns and lost tasks give the same mix.
 
 A null text has no words. Documents without words are emitted like others of their
 source; if all of a source have none, its rate is 0. Repeated rows share their draw. An
@@ -81,9 +81,11 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     return ranked.withColumn("target", target).select("source", "source_size", "target", rate.alias("rate"))
 
 
-def copies(rate: Column, doc_id: Column, seed: int) -> Column:
+def copies(rate: Column, doc_id: Column, text: Column, seed: int) -> Column:
+    """A null id is drawn by the text, so that such rows do not share one draw."""
     fraction = rate - F.floor(rate)
-    return F.floor(rate) + F.when(draw(doc_id, seed) < fraction, 1).otherwise(0)
+    key = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text:"), F.md5(whole(text).cast("binary"))))
+    return F.floor(rate) + F.when(draw(key, seed) < fraction, 1).otherwise(0)
 
 
 def plan(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -98,7 +100,7 @@ def plan(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, most:
     joined = packed.join(per_source, F.col("doc.source").eqNullSafe(F.col("__source")), "left")
     return joined.select(
         "doc", words("doc.text").alias("size"), "source_size", "target",
-        copies(F.col("rate"), F.col("doc.doc_id"), seed).cast("long").alias("copies"),
+        copies(F.col("rate"), F.col("doc.doc_id"), F.col("doc.text"), seed).cast("long").alias("copies"),
     )
 
 

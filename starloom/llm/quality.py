@@ -160,8 +160,10 @@ def train(
     n = known.count()
     share = min(1 << 20, -(-sample * (1 << 20) // max(1, n)))
     picked = settle(known.where(F.pmod(F.xxhash64("__id", F.lit("quality")), F.lit(1 << 20)) < share), "quality_sample")
-    # About ``sample`` rows, so they can go to every executor.
-    texts = docs.join(F.broadcast(picked), F.col(doc_id) == F.col("__id")).select("__id", "__wanted", *_columns(docs, text, n_chars))
+    # About ``sample`` rows, so they can go to every executor; of an id's rows, the one with the smallest hash is learned from.
+    rows = docs.join(F.broadcast(picked), F.col(doc_id) == F.col("__id")).select("__id", "__wanted", *_columns(docs, text, n_chars))
+    first = F.min(F.struct(F.xxhash64("__text").alias("hash"), "__text", "__chars", "__wanted")).alias("row")
+    texts = rows.groupBy("__id").agg(first).select("__id", "row.__wanted", "row.__text", "row.__chars")
     schema = "id long, wanted double, places array<int>, values array<float>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

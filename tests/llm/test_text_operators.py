@@ -194,6 +194,23 @@ def test_what_base_spans_leave_of_a_run_is_tested(make_docs):
     assert set(hit) <= {*keys, *hexes} and set(hexes) <= set(hit) and len(hit) >= 12 + 22
 
 
+def test_rows_without_ids_do_not_share_a_draw(spark, make_docs, monkeypatch):
+    docs = make_docs([(None, f"{PROSE} number {i}", "en" if i % 2 else "fr", "a" if i % 4 else "b") for i in range(400)])
+    taken = mixing.plan(docs).select("doc.source", "copies", "target", "size").collect()
+    for source in "ab":
+        some = [r for r in taken if r.source == source]
+        assert abs(sum(r.copies * r["size"] for r in some) - some[0].target) <= 0.25 * some[0].target
+    texts = []
+    monkeypatch.setattr(quality, "fit", lambda places, values, starts, wanted: texts.append(len(wanted)))
+    labelled = make_docs([(i % 5, f"{PROSE} {i}", "en", "a") for i in range(50)])
+    quality.train(labelled, spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, quality int"), F.lit(True))
+    assert texts == [5]
+    model = langid.train(docs, F.lit(True), per_language=50)
+    uneven = model.log_probabilities[:-1].max(axis=0) - model.log_probabilities[:-1].min(axis=0)
+    whole_model = langid.train(docs, F.lit(True))
+    assert (uneven > 0).all() and (model.log_probabilities != whole_model.log_probabilities).any()
+
+
 def test_secret_scan_of_nothing(edge_docs):
     none = edge_docs.where("false")
     assert secrets.learn_cuts(none) == {}
