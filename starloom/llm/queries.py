@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, chat, fingerprints, jaccard, langid, mixing, pivots, quality, secrets, warc
+from starloom.llm import bpe, chat, fingerprints, jaccard, langid, merkle, mixing, pivots, quality, secrets, warc
 from starloom.llm.common import held_out, table
 
 
@@ -113,6 +115,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents by language; every proof is tried on its document, a third of them tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    values = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    own = merkle.leaf(list(values.values()))
+    tampered = F.when(picked, merkle.leaf(list((values | {"text": lower}).values())))
+    leaves = docs.select("doc_id", "lang", own.alias("leaf"), tampered.alias("tampered"))
+    proved = merkle.manifest(leaves, "leaf", "lang", "doc_id")
+    checked = proved.withColumn("folded_root", merkle.fold(F.coalesce("doc.tampered", "leaf"), F.col("proof")))
+    return checked.select(
+        "doc.doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -124,4 +143,5 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_merkle": op11_merkle,
 }

@@ -74,3 +74,69 @@ FROM sized GROUP BY conv_id
 """
 
 ORACLES["op3_chat_formatting"] = _CHAT
+
+# crc32 of the decimal id, bit by bit: 3988292384 is the reversed polynomial.
+_MERKLE = """
+WITH RECURSIVE framed AS (
+    SELECT doc_id, lang, text,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
+        list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda x, zero: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+    FROM documents
+), hashed AS (
+    SELECT doc_id, lang, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN xor(crc, 4294967295) % 3 = 0
+            THEN sha256(front || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered
+    FROM framed
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+), nodes AS (
+    -- tree 0 holds the leaves of every group
+    SELECT lang, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY lang) AS many FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), ((any_value(many) + 7) // 8)
+    FROM nodes WHERE many > 1 GROUP BY lang, level, place // 8
+), subroots AS (
+    SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes WHERE many = 1
+), tops AS (
+    SELECT 0 AS level, place, subroot AS node, count(*) OVER () AS many FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), ((any_value(many) + 7) // 8)
+    FROM tops WHERE many > 1 GROUP BY level, place // 8
+), lower_steps AS (
+    SELECT a.lang, a.level, a.place, coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS behind
+    FROM nodes a JOIN nodes b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.many > 1 GROUP BY a.lang, a.level, a.place
+), upper_steps AS (
+    SELECT a.level, a.place, coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS behind
+    FROM tops a JOIN tops b ON a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.many > 1 GROUP BY a.level, a.place
+), steps AS (
+    SELECT l.doc_id, l.leaf, l.lang, s.level, before, behind
+    FROM leaves l JOIN lower_steps s ON l.lang IS NOT DISTINCT FROM s.lang AND l.place // (8 ** s.level)::BIGINT = s.place
+    UNION ALL
+    SELECT l.doc_id, l.leaf, l.lang, 100 + s.level, before, behind
+    FROM leaves l JOIN subroots g ON l.lang IS NOT DISTINCT FROM g.lang JOIN upper_steps s ON g.place // (8 ** s.level)::BIGINT = s.place
+), paths AS (
+    SELECT doc_id, leaf, list({'before': before, 'behind': behind} ORDER BY level) AS path FROM steps GROUP BY doc_id, leaf
+), folded AS (
+    SELECT l.doc_id, l.leaf, 0 AS step, coalesce(l.tampered, l.leaf) AS node, coalesce(p.path, []) AS path
+    FROM leaves l LEFT JOIN paths p ON l.doc_id IS NOT DISTINCT FROM p.doc_id AND l.leaf = p.leaf
+    UNION ALL
+    SELECT doc_id, leaf, step + 1, sha256(path[step + 1].before || node || path[step + 1].behind), path FROM folded WHERE step < len(path)
+), ended AS (
+    SELECT doc_id, leaf, node AS folded_root,
+        sha256(coalesce(array_to_string(list_transform(path, lambda p: p.before || p.behind), ''), '')) AS proof_sha256
+    FROM folded WHERE step = len(path)
+)
+SELECT l.doc_id, l.leaf, s.subroot, t.node AS root, e.proof_sha256, e.folded_root, e.folded_root = t.node AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+JOIN ended e ON l.doc_id IS NOT DISTINCT FROM e.doc_id AND l.leaf = e.leaf
+CROSS JOIN (SELECT node FROM tops WHERE many = 1) t
+"""
+
+ORACLES["op11_merkle"] = _MERKLE
