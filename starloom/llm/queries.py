@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, chat, fingerprints, jaccard, langid, merkle, mixing, pivots, quality, secrets, warc
+from starloom.llm import bpe, chat, fingerprints, jaccard, langid, merkle, mixing, pivots, quality, secrets, tokenfiles, warc
 from starloom.llm.common import held_out, table
 
 
@@ -132,6 +132,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Ids of all texts written to binary files, and what reading them back gives of each document."""
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    folder = tokenfiles.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, end_id=2)
+    return tokenfiles.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -144,4 +151,5 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_merkle": op11_merkle,
+    "op12_token_files": op12_token_files,
 }
