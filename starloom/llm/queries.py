@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, chat, fingerprints, jaccard, langid, merkle, mixing, pivots, quality, secrets, tokenfiles, warc
+from starloom.llm import bpe, chat, fingerprints, jaccard, langid, merkle, mixing, phrases, pivots, quality, secrets, tokenfiles, warc
 from starloom.llm.common import held_out, table
 
 
@@ -139,6 +139,12 @@ def op12_token_files(spark: SparkSession, sf_dir: str, path: str | None = None)
     return tokenfiles.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language."""
+    found = phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -152,4 +158,5 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_merkle": op11_merkle,
     "op12_token_files": op12_token_files,
+    "op13_phrases": op13_phrases,
 }

@@ -140,3 +140,39 @@ CROSS JOIN (SELECT node FROM tops WHERE many = 1) t
 """
 
 ORACLES["op11_merkle"] = _MERKLE
+
+_PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), grams AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM worded, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size
+), counts AS (
+    SELECT lang, size, phrase, count(*)::BIGINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS one, array_to_string(w[k + 1:], ' ') AS two
+    FROM candidates, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+    FROM cuts c JOIN counts x ON c.lang = x.lang AND c.one = x.phrase JOIN counts y ON c.lang = y.lang AND c.two = y.phrase
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM candidates c WHERE c.lang = b.lang AND c.size > len(string_split(b.phrase, ' '))
+            AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100::HUGEINT * c.a >= 80::HUGEINT * b.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES["op13_phrases"] = _PHRASES
