@@ -13,10 +13,11 @@ its own blocks, and the ids and lengths of the documents.
     block: minimum u32, width u8, 0 u8, exceptions u16 | packed words u32 | positions u16 | upper bits u32
     tail: blocks u64, documents u64, ids u64, magic
 
-Texts are cut at ASCII white space before the library sees them: no token of the vocabularies meant here crosses it, and
-words that repeat are then encoded once (a worker remembers up to ``REMEMBERED``). This holds for tokenizers that drop white space;
-others must be given ``by_word=False``, which encodes texts as they are. Strings of special tokens are recognised as the
-library does by default.
+Texts are cut into words before the library sees them, at ASCII white space and between letters or digits and the ASCII punctuation
+behind them (apostrophes apart): no token of the vocabularies meant here crosses these places, and words that repeat are then
+encoded once (a worker remembers ``REMEMBERED`` to twice as many). Tokenizers for which this does not hold must be given ``by_word=False``,
+which encodes texts as they are. Words of letters go straight to the library's model, each letter as its normaliser and
+pre-tokeniser turn it out. Strings of special tokens are recognised as the library does by default.
 
 Null and empty texts are an end id alone. Null ids come first; rows of one id go by a hash of the text, then by text, and
 may be spread over tasks. Repeated rows are written each. An empty table gives an empty manifest. Other columns are not read. A text must
@@ -28,6 +29,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import string
 import struct
 import uuid
 from collections.abc import Iterator, Sequence
@@ -53,7 +56,11 @@ PIECE = 1 << 20
 FILE_IDS = 1 << 24
 #: Bytes of text that a task gets.
 RANGE_BYTES = 24 << 20
-REMEMBERED = 300_000
+REMEMBERED = 400_000
+#: Words: letters (of ASCII and Latin-1) and digits that punctuation follows, or all up to white space.
+WORD = re.compile(rb"[A-Za-z0-9\xc3\x80-\x96\x98-\xb6\xb8-\xbf]++(?=[!-&(-/:-@\[-`{-~])|\S+")
+#: Letters below this code point may go straight to the model.
+LETTERS = 0x250
 _LANES = 32
 _TAIL = struct.Struct("<QQQ8s")
 _HEAD = struct.Struct("<IBBH")
@@ -211,37 +218,49 @@ def ids_at(file, footer: Footer, start: int, count: int) -> np.ndarray:
     return found[start - first * BLOCK : start - first * BLOCK + count]
 
 
-class _Words:
-    """Ids of words as packed numbers; what is not known yet goes to the library in one call a lot."""
+class _Words(dict):
+    """Ids of words as packed numbers, worked out when first asked for.
+
+    When ``REMEMBERED`` are held they become the older half, from which words asked for again come back.
+    """
 
     def __init__(self, model: str, end_id: int, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.by_word = Tokenizer.from_str(model), by_word
+        self.tokens = self.library.model.tokenize
         self.kind = np.dtype("<u2" if max(self.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.kind).tobytes()
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: Sequence[bytes]) -> Iterator[bytes]:
-        for start in range(0, len(words), 4096):
-            lot = [w.decode("utf-8", "replace") for w in words[start : start + 4096]]
-            for found in self.library.encode_batch_fast(lot, add_special_tokens=False):
-                yield np.array(found.ids, self.kind).tobytes()
-
-    def ids_of(self, texts: Sequence[bytes]) -> list[np.ndarray]:
-        split = [t.split() if self.by_word else [t] * bool(t) for t in texts]
-        wanted = set(chain.from_iterable(split))
-        new = [w for w in wanted if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {w: self.known[w] for w in wanted if w in self.known}
-        known = self.known
-        known.update(zip(new, self._encode(new), strict=True))
-        out = [np.frombuffer(b"".join([*map(known.__getitem__, words), self.end]), self.kind) for words in split]
-        for w in new:
-            if len(w) > 64:
-                del known[w]
-        return out
+        self.older: dict[bytes, bytes] = {}
+        # What the library makes of each letter before its model sees it, where that is one piece.
+        self.letters = {}
+        normal, cut = self.library.normalizer, self.library.pre_tokenizer
+        for letter in map(chr, range(0x41, LETTERS if by_word and normal is not None and cut is not None else 0)):
+            if letter.isalpha() and len(pieces := cut.pre_tokenize_str(2 * normal.normalize_str(letter))) == 1:
+                self.letters[ord(letter)] = pieces[0][0][: len(pieces[0][0]) // 2]
+        self.only_letters = re.compile("[" + "".join(map(chr, self.letters)) + "]+" if self.letters else "(?!)").fullmatch
+
+    def __missing__(self, word: bytes) -> bytes:
+        packed = self.older.get(word)
+        if packed is None:
+            text = word.decode("utf-8", "replace")
+            if self.only_letters(text):
+                ids = [t.id for t in self.tokens(text.translate(self.letters))]
+            else:
+                ids = self.library.encode(text, add_special_tokens=False).ids
+            packed = np.array(ids, self.kind).tobytes()
+            if len(word) > 64:
+                return packed
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[word] = packed
+        return packed
+
+    def ids_of(self, text: bytes) -> np.ndarray:
+        words = WORD.findall(text) if self.by_word else [text] * bool(text)
+        return np.frombuffer(b"".join([*map(self.__getitem__, words), self.end]), self.kind)
 
 
 _loaded: dict[tuple, _Words] = {}
@@ -278,7 +297,7 @@ def write(
         words, shard, number, file, done = _loaded[key], TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
             for part in slices(batch, "text"):
-                found = words.ids_of(part.column("text").cast(pa.large_binary()).to_pylist())
+                found = map(words.ids_of, part.column("text").cast(pa.large_binary()).to_pylist())
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
                     if file is None:
                         file, number = _File(folder, shard, number), number + 1
