@@ -48,7 +48,7 @@ COVERED = 80
 SCALE = 2_000_000
 TOP = 2000
 #: Bytes of text hashed at a time.
-CHUNK = 5 << 19
+CHUNK = 1 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 _BACK = pow(_FACTOR, -1, 1 << 64)
 _SALTS = 64
