@@ -283,7 +283,7 @@ def test_queries_against_sql(spark, sf_dir, name):
 
 
 def test_all_operators_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
