@@ -108,6 +108,31 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(*[texts[header].alias(header) for header in ORDER_HEADERS])
 
 
+# Unreadable texts by order number, in place of what stands there: column, which orders, text.
+FAULTS = [
+    ("dt_hora_pedido", "k % 101 = 3", "'31/12/1995 10:00 AM'"),
+    ("dt_hora_integracao_erp", "k % 103 = 4", "'1995-12-31 10:00'"),
+    ("dt_separacao_estoque", "k % 107 = 5", "'1995-02-30'"),
+    ("dt_nota_fiscal", "k % 109 = 6", "'31/12/1995'"),
+    ("dt_despacho_transportadora", "k % 113 = 7", "'1995-03-01 99:99'"),
+    ("dt_entrega_cliente", "k % 127 = 8", "'1995-03-01 25:00:00'"),
+    ("qtd_itens", "k % 131 = 9", "concat(k % 9, ' cx')"),
+    ("qtd_itens", "k % 131 = 10", "'99999999999'"),
+    ("valor_liquido_pedido", "k % 137 = 11", "concat('US$ ', k)"),
+    ("valor_liquido_pedido", "k % 137 = 12", "'1,000.000.000,00'"),
+    ("valor_liquido_pedido", "k % 137 = 13", "'12345678901234567'"),
+]
+
+
+def with_faults(orders: DataFrame) -> DataFrame:
+    """The order staging with ``FAULTS`` planted."""
+    rows = orders.selectExpr("*", "cast(substring(numero_pedido, 5) as bigint) as k")
+    texts = {}
+    for column, which, text in FAULTS:
+        texts[column] = F.when(F.expr(which), F.expr(text)).otherwise(texts.get(column, F.col(column)))
+    return rows.withColumns(texts).drop("k")
+
+
 def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw store-by-territory staging: stores with an even key serve two regions, others one."""
     regions = table(spark, sf_dir, "region")

@@ -392,7 +392,7 @@ def _dimension_oracles() -> dict[str, str]:
         " coalesce(loja_nome, '') AS loja_nome, coalesce(cod_loja, '') AS cod_loja)"
         f" FROM ({_staging_text()})",
         "parse_date": _sql(
-            "SELECT numero_pedido, CASE WHEN lt IS NOT NULL AND k % 7 NOT IN (1, 2, 3, 4)"
+            "SELECT numero_pedido, CASE WHEN lt IS NOT NULL AND k % 9 NOT IN (1, 2, 3, 4, 6, 7)"
             " THEN CAST(e AS DATE) + lt END AS entrega FROM f",
             _ORDERS,
         ),
@@ -458,6 +458,51 @@ def _dimension_oracles() -> dict[str, str]:
     }
 
 
+# The planted faults: column, which orders, text, broken rule.
+_FAULTS = [
+    ("dt_hora_pedido", "k % 101 = 3", "'31/12/1995 10:00 AM'", "dia ou hora inexistente"),
+    ("dt_hora_integracao_erp", "k % 103 = 4", "'1995-12-31 10:00'", "fora da mascara americana"),
+    ("dt_separacao_estoque", "k % 107 = 5", "'1995-02-30'", "dia ou hora inexistente"),
+    ("dt_nota_fiscal", "k % 109 = 6", "'31/12/1995'", "fora do formato ISO"),
+    ("dt_despacho_transportadora", "k % 113 = 7", "'1995-03-01 99:99'", "dia ou hora inexistente"),
+    ("dt_entrega_cliente", "k % 127 = 8", "'1995-03-01 25:00:00'", "dia ou hora inexistente"),
+    ("qtd_itens", "k % 131 = 9", "(k % 9) || ' cx'", "nao e inteiro"),
+    ("qtd_itens", "k % 131 = 10", "'99999999999'", "numero fora da faixa"),
+    ("valor_liquido_pedido", "k % 137 = 11", "'US$ ' || k", "nao e numero"),
+    ("valor_liquido_pedido", "k % 137 = 12", "'1,000.000.000,00'", "nao e numero"),
+    ("valor_liquido_pedido", "k % 137 = 13", "'12345678901234567'", "numero fora da faixa"),
+]
+
+
+def _reject_oracles() -> dict[str, str]:
+    day = lambda n: f"CASE WHEN {{}} OR l{n} IS NULL THEN NULL ELSE CAST(e AS DATE) + CAST({{}} AS INTEGER) END"
+    sums = ["k % 5", "k % 5 + (k // 5) % 3", "k % 5 + (k // 5) % 3 + (k // 15) % 9", "lt"]
+    lost = ["k % 107 = 5", "k % 109 = 6", "k % 113 = 7", "k % 127 = 8"]
+    days = ", ".join(f"{day(n).format(which, total)} AS m{n}" for n, (which, total) in enumerate(zip(lost, sums, strict=True), 1))
+    key = lambda d: f"coalesce(CAST(strftime({d}, '%Y%m%d') AS INTEGER), -1)"
+    lags = [("m0", "m1"), ("m1", "m2"), ("m2", "m3"), ("m3", "m4"), ("m0", "m4")]
+    names = [*(f"dias_{name}" for name in _STEPS), "dias_total_ate_entrega"]
+    spans = ", ".join(f"CAST({b} - {a} AS INTEGER) AS {name}" for (a, b), name in zip(lags, names, strict=True))
+    return {
+        "load_rejects": _sql(
+            " UNION ALL ".join(
+                f"SELECT numero_pedido, '{column}' AS coluna, {text} AS texto, '{rule}' AS regra FROM f WHERE {which}"
+                for column, which, text, rule in _FAULTS
+            ),
+            _ORDERS,
+        ),
+        "fact_lenient": _sql(
+            f"SELECT numero_pedido, {key('t2')} AS sk_tempo_pedido, {key('m4')} AS sk_tempo_entrega, t2 AS dt_pedido,"
+            f" qt2 AS qt_itens, {_money('cents2')} AS vl_liquido, {spans}"
+            " FROM (SELECT *, CASE WHEN k % 101 <> 3 THEN t END AS t2,"
+            " CASE WHEN k % 103 <> 4 THEN CAST(e AS DATE) END AS m0,"
+            f" {days}, CASE WHEN k % 131 NOT IN (9, 10) THEN qt_itens END AS qt2,"
+            " CASE WHEN k % 137 NOT IN (11, 12, 13) THEN cents END AS cents2 FROM f)",
+            _ORDERS,
+        ),
+    }
+
+
 def _answer_oracles() -> dict[str, str]:
     labels = ["Integracao -> Separacao", "Separacao -> Nota", "Nota -> Despacho", "Despacho -> Entrega"]
     total = "(SELECT sum(cents) FROM f)"
@@ -676,4 +721,4 @@ def _check_oracles() -> dict[str, str]:
 
 
 def oracles() -> dict[str, str]:
-    return {**_cleaner_oracles(), **_dimension_oracles(), **_answer_oracles(), **_check_oracles()}
+    return {**_cleaner_oracles(), **_dimension_oracles(), **_reject_oracles(), **_answer_oracles(), **_check_oracles()}

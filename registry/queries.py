@@ -31,7 +31,16 @@ from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk
 from starloom.operators.metrics import known
 from starloom.plans import answers, checks
-from starloom.plans.load import Staging, Star, calendar_between, calendar_of, load_star, order_profile
+from starloom.plans.load import (
+    Staging,
+    Star,
+    calendar_between,
+    calendar_of,
+    load_star,
+    order_profile,
+    read_rejects,
+    read_star,
+)
 from starloom.schema import LAGS, UNKNOWN_LABEL
 from starloom.sources.staging import read_orders
 from starloom.sources.warehouse import new_folder
@@ -262,15 +271,41 @@ def stg_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staging_csv", make)
 
 
+def _lenient_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where the staging with planted faults was loaded to, without ``strict``."""
+
+    def make() -> str:
+        sound, folder = staging(spark, sf_dir), new_folder(spark, "lenient")
+        path = f"{new_folder(spark, 'staging')}/stg_pedido_ruim"
+        derived.with_faults(sound.orders).write.parquet(path)
+        faulty = dataclasses.replace(sound, orders=spark.read.parquet(path))
+        load_star(spark, faulty, folder, strict=False, by_place=True)
+        return folder
+
+    return _once(spark, sf_dir, "lenient", make)
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text that a lenient load could not read."""
+    return read_rejects(spark, _lenient_folder(spark, sf_dir))
+
+
+def fact_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact beside the rejects: unreadable texts have become missing values, all else stands."""
+    fact = read_star(spark, _lenient_folder(spark, sf_dir)).fato_pedido
+    return fact.select("numero_pedido", "sk_tempo_pedido", "sk_tempo_entrega", "dt_pedido", "qt_itens", "vl_liquido", *LAGS)
+
+
 def parse_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery days from texts of which some are parts of dates, or more than dates."""
     texts = _order_text(spark, sf_dir).selectExpr(
-        "numero_pedido", "dt_entrega_cliente as d", "cast(substring(numero_pedido, 5) as bigint) % 7 as way"
+        "numero_pedido", "dt_entrega_cliente as d", "cast(substring(numero_pedido, 5) as bigint) % 9 as way"
     )
     changed = F.expr(
         "case when d = '' then d when way = 1 then substring(d, 1, 4) when way = 2 then substring(d, 1, 7)"
         " when way = 3 then concat(d, ' garbage') when way = 4 then concat(d, 'Tzz')"
-        " when way = 5 then concat(d, ' 10:07:00') else d end"
+        " when way = 5 then concat(d, ' 10:07:00') when way = 6 then concat(d, ' 99:99')"
+        " when way = 7 then concat(d, ' 25:00:00') else d end"
     )
     return texts.select("numero_pedido", parse_date(changed, strict=False).alias("entrega"))
 
@@ -369,6 +404,8 @@ def registered() -> dict[str, Query]:
         "lookup_store": lookup_store,
         "known_members": known_members,
         "fact_orders": fact_orders,
+        "load_rejects": load_rejects,
+        "fact_lenient": fact_lenient,
         "p1_lags_overall": _on_star(answers.lags_overall),
         "p1_bottleneck": _on_star(answers.step_ranking),
         "p1_lags_by_size": _on_star(answers.lags_by_size),

@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.dates import date_key, parse_date, parse_us_timestamp
-from starloom.functions.numbers import parse_int, parse_money_br
+from starloom.functions.numbers import parse_factor, parse_int, parse_money_br, parse_thousands_int
+from starloom.functions.rejects import (
+    date_rule,
+    factor_rule,
+    integer_rule,
+    money_rule,
+    rejects,
+    thousands_rule,
+    timestamp_rule,
+)
 from starloom.functions.text import (
     CHANNEL_RULES,
     DISCOUNT_VALUES,
@@ -25,7 +34,7 @@ from starloom.operators.dimensions import calendar, category_dim, territory_dim,
 from starloom.operators.keys import positional_keys
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk, refuse_repeated, store_lookup
-from starloom.schema import STAR, UNKNOWN_LABEL
+from starloom.schema import REJECT_LIST, REJECTS, STAR, UNKNOWN_LABEL
 from starloom.sources.warehouse import conform, new_folder, read_table, settle, write_table
 
 
@@ -83,10 +92,24 @@ def calendar_between(spark: SparkSession, first: dt.date, last: dt.date) -> Data
     return calendar(spark.range(1).select(F.lit(first).alias("inicio"), F.lit(last).alias("fim")))
 
 
+# Staging text, the name of what is read from it, and the rule it may break.
+_READ = {
+    "dt_hora_pedido": ("dt_pedido", timestamp_rule),
+    "dt_hora_integracao_erp": ("__integrado", timestamp_rule),
+    "dt_separacao_estoque": ("__separado", date_rule),
+    "dt_nota_fiscal": ("__faturado", date_rule),
+    "dt_despacho_transportadora": ("__despachado", date_rule),
+    "dt_entrega_cliente": ("__entregue", date_rule),
+    "qtd_itens": ("qt_itens", integer_rule),
+    "valor_liquido_pedido": ("vl_liquido", money_rule),
+}
+
+
 def clean_orders(orders: DataFrame, strict: bool = True) -> DataFrame:
     """Typed and standardised order columns, row by row.
 
-    ``strict`` fails the load on a text that cannot be read; otherwise its value is NULL.
+    ``strict`` fails the load on a text that cannot be read; otherwise its value is NULL, and the column
+    ``rejeitos`` lists column, text and broken rule of all such texts of the row (NULL if there is none).
     Shared sub-results (trimmed forms, parsed dates) get a projection of their own, so
     that each is computed once per row.
     """
@@ -105,9 +128,11 @@ def clean_orders(orders: DataFrame, strict: bool = True) -> DataFrame:
         name_key(F.col("loja_nome")).alias("__loja"),
         parse_int(F.col("qtd_itens"), strict=strict).alias("qt_itens"),
         parse_money_br(F.col("valor_liquido_pedido"), strict).alias("vl_liquido"),
+        *([] if strict else [F.col(text).alias(f"__{text}") for text in _READ]),
     )
     steps = ["__integrado", "__separado", "__faturado", "__despachado", "__entregue"]
     lags = milestone_lags([F.col(step) for step in steps])
+    rules = {text: (F.col(f"__{text}"), rule(F.col(f"__{text}"), F.col(value))) for text, (value, rule) in _READ.items()}
     return typed.select(
         *[F.col(c) for c in orders.columns if c == "sk_pedido"],
         "numero_pedido",
@@ -121,16 +146,29 @@ def clean_orders(orders: DataFrame, strict: bool = True) -> DataFrame:
         "qt_itens",
         "vl_liquido",
         *[lag.alias(name) for name, lag in lags.items()],
+        *([] if strict else [rejects(rules).alias(REJECT_LIST.name)]),
+    )
+
+
+def territory_rejects(territories: DataFrame) -> DataFrame:
+    """The texts of the store-by-territory staging that cannot be read, one row each."""
+    homes, share = F.col("domicilios_com_pet"), F.col("percentual_publico")
+    found = rejects(
+        {
+            "domicilios_com_pet": (homes, thousands_rule(homes, parse_thousands_int(homes, False))),
+            "percentual_publico": (share, factor_rule(share, parse_factor(share, False))),
+        }
     )
+    return territories.select("cod_loja", "cod_praca", F.inline(found))
 
 
 def build_fact(
     orders: DataFrame, dim_categoria: DataFrame, loja_chave: DataFrame, strict: bool = True
 ) -> DataFrame:
-    """One fact row per order row: cleaned columns plus the keys found by lookup."""
+    """One fact row per order row: cleaned columns plus the keys found by lookup, and without ``strict`` the rejects."""
     with_store = lookup_fk(clean_orders(orders, strict), "__loja", loja_chave, "chave_loja", "sk_loja")
     found = lookup_fk(with_store, "categoria_produto", dim_categoria, "categoria_origem", "sk_categoria")
-    return found.select(*[name for name in STAR["fato_pedido"].names if name in found.columns])
+    return found.select(*[name for name in [*STAR["fato_pedido"].names, REJECT_LIST.name] if name in found.columns])
 
 
 def load_star(
@@ -146,7 +184,8 @@ def load_star(
     Dimensions go first. Read back, they have a known size, by which the planner
     chooses between a broadcast and a shuffle when the fact looks its keys up. The
     orders are read twice: once for the profile, once for the fact. ``strict`` is as for
-    ``clean_orders``. ``by_place`` says that the orders are a plain Parquet scan, whose rows
+    ``clean_orders``; a lenient load also writes the texts it could not read (see ``read_rejects``), those of the
+    orders from lists that the fact's files hold beside its columns, so the orders are not read again for them. ``by_place`` says that the orders are a plain Parquet scan, whose rows
     can be numbered by their place; else the fact is written, numbered and written again. ``days`` are the
     first and last day of a given calendar; without it, the calendar reaches as far as the orders do.
 
@@ -179,13 +218,25 @@ def load_star(
     refuse_repeated(dim_categoria, "categoria_origem", "sk_categoria", "dim_categoria")
     orders = positional_keys(staging.orders, "sk_pedido") if by_place else staging.orders
     fact = build_fact(orders, dim_categoria, loja_chave, strict)
+    files = STAR["fato_pedido"] if strict else T.StructType([*STAR["fato_pedido"], REJECT_LIST])
     if "sk_pedido" not in fact.columns:
-        unnumbered = conform(fact, T.StructType([f for f in STAR["fato_pedido"] if f.name in fact.columns]))
+        unnumbered = conform(fact, T.StructType([f for f in files if f.name in fact.columns]))
         fact = positional_keys(settle(unnumbered, "fato_pedido"), "sk_pedido")
-    fact = write(fact, "fato_pedido")
+    write_table(fact, folder, "fato_pedido", files)
+    fact = read_table(spark, folder, "fato_pedido", STAR["fato_pedido"])
+    if not strict:
+        listed = read_table(spark, folder, "fato_pedido", T.StructType([STAR["fato_pedido"]["numero_pedido"], REJECT_LIST]))
+        found = listed.where(F.col(REJECT_LIST.name).isNotNull()).select("numero_pedido", F.inline(REJECT_LIST.name))
+        write_table(found, folder, "rejeito_pedido", REJECTS["rejeito_pedido"])
+        write_table(territory_rejects(staging.territories), folder, "rejeito_praca", REJECTS["rejeito_praca"])
     return Star(dim_tempo, dim_loja, dim_categoria, dim_praca, bridge, fact, loja_chave)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
     """The star that a load wrote below ``folder``."""
     return Star(**{name: read_table(spark, folder, name, schema) for name, schema in STAR.items()})
+
+
+def read_rejects(spark: SparkSession, folder: str, name: str = "rejeito_pedido") -> DataFrame:
+    """What a lenient load could not read: ``coluna``, ``texto``, ``regra`` by order (or, in ``rejeito_praca``, by store and territory)."""
+    return read_table(spark, folder, name, REJECTS[name])

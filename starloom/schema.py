@@ -118,6 +118,14 @@ STAR = {
     "loja_chave": LOJA_CHAVE,
 }
 
+# Texts that a lenient load could not read, and the rule each breaks. A row of the fact's files also holds its own, as a list.
+REJECT = _table(coluna=_text, texto=_text, regra=_text)
+REJECTS = {
+    "rejeito_pedido": T.StructType([T.StructField("numero_pedido", _text), *REJECT]),
+    "rejeito_praca": T.StructType([T.StructField("cod_loja", _text), T.StructField("cod_praca", _text), *REJECT]),
+}
+REJECT_LIST = T.StructField("rejeitos", T.ArrayType(REJECT))
+
 # The longest text each column is declared to hold.
 LENGTHS = {
     "dim_tempo": {"ano_mes": 7, "nome_mes": 15, "dia_semana": 15, "fim_de_semana": 3},
