@@ -474,6 +474,24 @@ _FAULTS = [
 ]
 
 
+def _key_oracles() -> dict[str, str]:
+    tables = [
+        ("dim_categoria", "count(DISTINCT k % 37) FILTER (k % 37 < 20)", "count(DISTINCT k % 37)", "f"),
+        ("dim_praca", "count(*) FILTER (regional = 'Norte')", "count(*)", "praca"),
+    ]
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS dimensao, {first} AS antes, {second} AS depois FROM {source}" for name, first, second, source in tables
+    )
+    return {
+        "stable_keys": _sql(
+            "SELECT *, antes AS iguais, CASE WHEN depois > antes THEN antes + 1 END AS menor_nova,"
+            f" CASE WHEN depois > antes THEN depois END AS maior_nova, depois AS distintas FROM ({rows})",
+            _ORDERS,
+            _BRIDGE,
+        )
+    }
+
+
 def _reject_oracles() -> dict[str, str]:
     day = lambda n: f"CASE WHEN {{}} OR l{n} IS NULL THEN NULL ELSE CAST(e AS DATE) + CAST({{}} AS INTEGER) END"
     sums = ["k % 5", "k % 5 + (k // 5) % 3", "k % 5 + (k // 5) % 3 + (k // 15) % 9", "lt"]
@@ -721,4 +739,4 @@ def _check_oracles() -> dict[str, str]:
 
 
 def oracles() -> dict[str, str]:
-    return {**_cleaner_oracles(), **_dimension_oracles(), **_reject_oracles(), **_answer_oracles(), **_check_oracles()}
+    return {**_cleaner_oracles(), **_dimension_oracles(), **_key_oracles(), **_reject_oracles(), **_answer_oracles(), **_check_oracles()}

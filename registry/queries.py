@@ -26,7 +26,8 @@ from starloom.functions.text import (
     upper_trimmed,
 )
 from starloom.operators.bridge import build_bridge
-from starloom.operators.dimensions import category_dim, territory_dim, with_unknown
+from starloom.operators.dimensions import category_dim, category_rows, territory_dim, territory_rows, with_unknown
+from starloom.operators.keys import stable_keys
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk
 from starloom.operators.metrics import known
@@ -41,9 +42,9 @@ from starloom.plans.load import (
     read_rejects,
     read_star,
 )
-from starloom.schema import LAGS, UNKNOWN_LABEL
+from starloom.schema import LAGS, STAR, UNKNOWN_LABEL
 from starloom.sources.staging import read_orders
-from starloom.sources.warehouse import new_folder
+from starloom.sources.warehouse import new_folder, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +182,39 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def stable_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that share a key registry: the first lacks spellings and territories that the second has.
+
+    Per dimension: members of each load, members that kept their key, and the smallest and largest new key.
+    """
+    registry, raw = new_folder(spark, "registro"), staging(spark, sf_dir)
+    place = F.expr("cast(substring(numero_pedido, 5) as bigint) % 37")
+    parts = []
+    for table, key, first, second in [
+        ("dim_categoria", "categoria_origem", category_rows(raw.orders.where(place < 20)), category_rows(raw.orders)),
+        ("dim_praca", "cod_praca", territory_rows(raw.territories.where("regional = 'Norte'")), territory_rows(raw.territories)),
+    ]:
+        sk = STAR[table][0].name
+        before = stable_keys(first, key, STAR[table], registry, table).select(key, F.col(sk).alias("antes"))
+        # What the second load adds to the registry must not show in what the first one gave.
+        before = settle(before, "antes")
+        after = settle(stable_keys(second, key, STAR[table], registry, table), "depois")
+        both = after.join(before, key, "left")
+        new = F.when(F.col("antes").isNull(), F.col(sk)).cast("bigint")
+        parts.append(
+            both.agg(
+                F.lit(table).alias("dimensao"),
+                F.count("antes").alias("antes"),
+                F.count("*").alias("depois"),
+                F.count_if(F.col("antes") == F.col(sk)).alias("iguais"),
+                F.min(new).alias("menor_nova"),
+                F.max(new).alias("maior_nova"),
+                F.count_distinct(sk).alias("distintas"),
+            )
+        )
+    return parts[0].union(parts[1])
+
+
 def known_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known(star(spark, sf_dir).fato_pedido, "sk_loja").select("numero_pedido", "sk_loja")
 
@@ -400,6 +434,7 @@ def registered() -> dict[str, Query]:
         "dim_unknown_member": dim_unknown_member,
         "bridge_store_territory": bridge_store_territory,
         "surrogate_keys": surrogate_keys,
+        "stable_keys": stable_keys_query,
         "lookup_category": lookup_category,
         "lookup_store": lookup_store,
         "known_members": known_members,

@@ -61,8 +61,8 @@ def calendar(bounds: DataFrame, start: str = "inicio", end: str = "fim") -> Data
     )
 
 
-def category_dim(spellings: DataFrame, column: str = "categoria_produto") -> DataFrame:
-    """One row per raw category spelling with its standard name and group.
+def category_rows(spellings: DataFrame, column: str = "categoria_produto") -> DataFrame:
+    """One row per raw category spelling with its standard name and group, without a key.
 
     Spellings are made distinct first, so the rules run once per spelling and not
     once per order. A missing spelling joins nothing and gets no row.
@@ -71,20 +71,28 @@ def category_dim(spellings: DataFrame, column: str = "categoria_produto") -> Dat
         spellings.select(F.col(column).alias("categoria_origem")).where(F.col(column).isNotNull()).distinct()
     )
     keyed = distinct.withColumn("__key", category_key(F.col("categoria_origem")))
-    named = keyed.select(
+    return keyed.select(
         "categoria_origem",
         standard_category(F.col("__key"), UNKNOWN_LABEL).alias("nome_categoria"),
         category_group(F.col("__key"), UNKNOWN_LABEL).alias("grupo_categoria"),
     )
-    return dense_keys(named, "categoria_origem", "sk_categoria")
 
 
-def territory_dim(territories: DataFrame, strict: bool = True) -> DataFrame:
-    """One row per distinct territory of the store-by-territory staging."""
-    distinct = territories.select(
+def category_dim(spellings: DataFrame, column: str = "categoria_produto") -> DataFrame:
+    """The spellings of ``category_rows``, numbered."""
+    return dense_keys(category_rows(spellings, column), "categoria_origem", "sk_categoria")
+
+
+def territory_rows(territories: DataFrame, strict: bool = True) -> DataFrame:
+    """One row per distinct territory of the store-by-territory staging, without a key."""
+    return territories.select(
         "cod_praca",
         "nome_praca",
         "regional",
         parse_thousands_int(F.col("domicilios_com_pet"), strict).alias("domicilios_com_pet"),
     ).distinct()
-    return dense_keys(distinct, "cod_praca", "sk_praca")
+
+
+def territory_dim(territories: DataFrame, strict: bool = True) -> DataFrame:
+    """The territories of ``territory_rows``, numbered."""
+    return dense_keys(territory_rows(territories, strict), "cod_praca", "sk_praca")

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.sources.warehouse import settle
+from starloom.sources.warehouse import conform, settle
 
 
 def _running_offset(counts: DataFrame, order: str) -> DataFrame:
@@ -73,3 +74,40 @@ def positional_keys(scan: DataFrame, name: str, buckets: int = 256) -> DataFrame
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The key values found on more than one row, with their number of rows."""
     return df.groupBy(*key).agg(F.count("*").alias("linhas")).where(F.col("linhas") > 1)
+
+
+def refuse_repeated_values(rows: DataFrame, key: str, name: str) -> None:
+    """Raise with some of the values (NULL apart) that stand on more than one row, if there are any."""
+    found = [r[0] for r in repeated_keys(rows.where(F.col(key).isNotNull()), [key]).select(key).limit(5).collect()]
+    if found:
+        raise ValueError(f"{name}.{key} is not unique: {', '.join(map(repr, found))}")
+
+
+def stable_keys(rows: DataFrame, natural_key: str, schema: T.StructType, registry: str, table: str) -> DataFrame:
+    """Number a table by a unique natural key so that a key once given never changes.
+
+    ``registry/table`` holds every member with the key, the first column of ``schema``, and the attributes of its first load. A load
+    looks its members up there, numbers those not found from the largest key on without a gap, and appends them. What comes back
+    has the attributes of ``rows``, and of members no longer there those of the registry, so that
+    older facts still find them. Loads that share a registry must not run side by side.
+
+    A member is appended before it is used; if the load then fails, the next one finds it. Values repeated in
+    ``rows`` are refused before anything is appended. NULL is a member like others.
+    """
+    spark, name = rows.sparkSession, schema[0].name
+    refuse_repeated_values(rows, natural_key, table)
+    path = f"{registry.rstrip('/')}/{table}"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    known = spark.read.schema(schema).parquet(path)
+    same = lambda a, b: a[natural_key].eqNullSafe(b[natural_key])
+    new = rows.join(known, same(rows, known), "left_anti")
+    last = known.agg(F.max(name)).first()[0] or 0
+    numbered = dense_keys(new, natural_key, name).withColumn(name, (F.col(name) + last).cast(schema[0].dataType))
+    # Written apart first, as the registry is read for it.
+    conform(settle(numbered, table), schema).write.mode("append").parquet(path)
+    # The listing made for the first reading does not know the new files.
+    members = spark.read.schema(schema).parquet(path)
+    keys = members.select(F.col(name), F.col(natural_key).alias("__natural"))
+    present = rows.join(keys, rows[natural_key].eqNullSafe(F.col("__natural"))).select(*schema.names)
+    gone = members.join(rows, same(members, rows), "left_anti").select(*schema.names)
+    return present.unionByName(gone)

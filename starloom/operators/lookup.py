@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import repeated_keys
+from starloom.operators.keys import refuse_repeated_values
 from starloom.schema import UNKNOWN_KEY
 
 
@@ -31,10 +31,7 @@ def lookup_fk(df: DataFrame, key: str, dim: DataFrame, dim_key: str, sk: str) ->
 
 def refuse_repeated(lookup: DataFrame, key: str, sk: str, name: str) -> None:
     """Raise with some of the keys that stand on more than one row of the lookup side, if there are any."""
-    known = lookup.where((F.col(sk) != UNKNOWN_KEY) & F.col(key).isNotNull())
-    found = [r[0] for r in repeated_keys(known, [key]).select(key).limit(5).collect()]
-    if found:
-        raise ValueError(f"{name}.{key} is not unique: {', '.join(map(repr, found))}")
+    refuse_repeated_values(lookup.where(F.col(sk) != UNKNOWN_KEY), key, name)
 
 
 def store_lookup(stores: DataFrame, aliases: DataFrame | None = None) -> DataFrame:

@@ -30,8 +30,8 @@ from starloom.functions.text import (
     upper_trimmed,
 )
 from starloom.operators.bridge import build_bridge
-from starloom.operators.dimensions import calendar, category_dim, territory_dim, with_unknown
-from starloom.operators.keys import positional_keys
+from starloom.operators.dimensions import calendar, category_rows, territory_rows, with_unknown
+from starloom.operators.keys import dense_keys, positional_keys, stable_keys
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk, refuse_repeated, store_lookup
 from starloom.schema import REJECT_LIST, REJECTS, STAR, UNKNOWN_LABEL
@@ -178,6 +178,7 @@ def load_star(
     strict: bool = True,
     by_place: bool = False,
     days: tuple[dt.date, dt.date] | None = None,
+    registry: str | None = None,
 ) -> Star:
     """Write the tables below ``folder`` and give them back as read from there.
 
@@ -187,7 +188,9 @@ def load_star(
     ``clean_orders``; a lenient load also writes the texts it could not read (see ``read_rejects``), those of the
     orders from lists that the fact's files hold beside its columns, so the orders are not read again for them. ``by_place`` says that the orders are a plain Parquet scan, whose rows
     can be numbered by their place; else the fact is written, numbered and written again. ``days`` are the
-    first and last day of a given calendar; without it, the calendar reaches as far as the orders do.
+    first and last day of a given calendar; without it, the calendar reaches as far as the orders do. ``registry`` is a
+    folder, shared by loads that follow one another, in which categories and territories keep their keys (see
+    ``stable_keys``); without it every load numbers them anew.
 
     Names and codes that rows are matched by must be unique, else the load stops with the repeated
     ones before the fact is built.
@@ -197,12 +200,18 @@ def load_star(
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, folder, name, STAR.get(name, df.schema))
 
+    def numbered(rows: DataFrame, natural_key: str, name: str) -> DataFrame:
+        if registry is None:
+            return dense_keys(rows, natural_key, STAR[name][0].name)
+        return stable_keys(rows, natural_key, STAR[name], registry, name)
+
     # Small tables that do not need each other are written side by side.
     with ThreadPoolExecutor() as pool:
         profile_job = pool.submit(write, order_profile(staging.orders, strict), "perfil_pedido")
         store_job = pool.submit(write, with_unknown(staging.stores, "dim_loja"), "dim_loja")
-        praca = with_unknown(territory_dim(staging.territories, strict), "dim_praca")
-        praca_job = pool.submit(write, praca, "dim_praca")
+        praca_job = pool.submit(
+            lambda: write(with_unknown(numbered(territory_rows(staging.territories, strict), "cod_praca", "dim_praca"), "dim_praca"), "dim_praca")
+        )
         dim_loja = store_job.result()
         key_job = pool.submit(write, store_lookup(dim_loja, staging.aliases), "loja_chave")
         dim_praca = praca_job.result()
@@ -212,7 +221,8 @@ def load_star(
         profile = profile_job.result()
         tempo = calendar_between(spark, *days) if days else calendar_of(profile)
         tempo_job = pool.submit(write, with_unknown(tempo, "dim_tempo"), "dim_tempo")
-        dim_categoria = write(with_unknown(category_dim(profile), "dim_categoria"), "dim_categoria")
+        categories = numbered(category_rows(profile), "categoria_origem", "dim_categoria")
+        dim_categoria = write(with_unknown(categories, "dim_categoria"), "dim_categoria")
         dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
     refuse_repeated(loja_chave, "chave_loja", "sk_loja", "loja_chave")
     refuse_repeated(dim_categoria, "categoria_origem", "sk_categoria", "dim_categoria")
