@@ -526,6 +526,20 @@ def _answer_oracles() -> dict[str, str]:
     total = "(SELECT sum(cents) FROM f)"
     per_store = "f JOIN loja USING (sk_loja)"
     return {
+        "answer_cells": _sql(
+            "SELECT sk_loja, categoria_origem, canal_pedido, houve_desconto, count(*) AS n_pedidos,"
+            f" {_money('sum(cents)')} AS sum_vl_liquido, count(cents) AS n_vl_liquido,"
+            " CAST(sum(qt_itens) AS BIGINT) AS sum_qt_itens, "
+            + ", ".join(
+                f"CAST(sum({lag}) AS BIGINT) AS sum_dias_{name}, count({lag}) AS n_dias_{name}"
+                for lag, name in zip(["l1", "l2", "l3", "l4", "lt"], [*_STEPS, "total_ate_entrega"], strict=True)
+            )
+            + f", {_count('sk_loja = -1')} AS pedidos_sem_loja, {_count('lt IS NULL')} AS entregas_nao_concluidas,"
+            f" {_count('qt_itens IS NULL')} AS pedidos_com_itens_em_branco,"
+            f" {_count('cents IS NULL')} AS pedidos_com_valor_em_branco FROM f"
+            " GROUP BY sk_loja, categoria_origem, canal_pedido, houve_desconto",
+            _ORDERS,
+        ),
         "p1_lags_overall": _sql(f"SELECT {_MEANS} FROM f", _ORDERS),
         "p1_bottleneck": _sql(f"SELECT etapa, media_dias FROM ({_each_step('f', labels)})", _ORDERS),
         "p1_lags_by_size": _sql(

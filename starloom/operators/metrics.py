@@ -9,6 +9,7 @@ on those few rows. Only sums and counts are kept, so cells can be added up again
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,9 +18,27 @@ from starloom.functions.numbers import rounded_ratio
 from starloom.schema import LAGS, UNKNOWN_KEY
 
 
-def cells(fact: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Sums and counts per key; no key gives the one grand-total row."""
-    return fact.groupBy(*keys).agg(*[value.alias(name) for name, value in measures.items()])
+@dataclass(frozen=True)
+class Additive:
+    """A sum or count over rows that also stands ready in a table of finer cells, as column ``ready``."""
+
+    ready: str
+    over_rows: Column
+
+    def over(self, table: DataFrame) -> Column:
+        if self.ready not in table.columns:
+            return self.over_rows
+        # In the type of the ready sum, which a sum of sums would widen.
+        return F.sum(self.ready).cast(table.schema[self.ready].dataType)
+
+
+def cells(fact: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | Additive]) -> DataFrame:
+    """Sums and counts per key; no key gives the one grand-total row.
+
+    ``fact`` may itself be a table of finer cells: measures that are ``Additive`` are then added up from there.
+    """
+    over = lambda value: value.over(fact) if isinstance(value, Additive) else value
+    return fact.groupBy(*keys).agg(*[over(value).alias(name) for name, value in measures.items()])
 
 
 def roll_up(parts: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -37,12 +56,12 @@ def count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
 
 
-def lag_measures(lags: Sequence[str] = LAGS) -> dict[str, Column]:
+def lag_measures(lags: Sequence[str] = LAGS) -> dict[str, Additive]:
     """Sum and number of known values of every lag."""
     measures = {}
     for lag in lags:
-        measures[f"sum_{lag}"] = F.sum(lag)
-        measures[f"n_{lag}"] = F.count(lag)
+        measures[f"sum_{lag}"] = Additive(f"sum_{lag}", F.sum(lag))
+        measures[f"n_{lag}"] = Additive(f"n_{lag}", F.count(lag))
     return measures
 
 

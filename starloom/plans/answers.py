@@ -3,16 +3,22 @@
 Means and shares are rounded once, from exact decimals. Descending orders put
 missing values first. Which answers count orders of unknown stores differs from
 question to question; each says so.
+
+Every answer can be had from the fact, in one pass each, or all of them from ``answer_cells``,
+which takes one pass for all: ``on_cells`` puts these in the place of the fact.
 """
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import rounded_ratio
 from starloom.operators.bridge import allocate
 from starloom.operators.metrics import (
+    Additive,
     cells,
     champions,
     count_if,
@@ -27,6 +33,7 @@ from starloom.operators.metrics import (
 )
 from starloom.plans.load import Star
 from starloom.schema import LAGS, STEP_LAGS, TOTAL_LAG, UNKNOWN_KEY
+from starloom.sources.warehouse import settle
 
 # Labels of the process steps, in process order.
 STEP_LABELS = [
@@ -42,12 +49,39 @@ MEAN_NAMES = {lag: lag.replace("dias_", "media_", 1) for lag in LAGS}
 ALLOCATED_SCALE = 6
 
 
-def _orders() -> Column:
-    return F.count("*")
+# What every answer groups by, before it goes on to dimensions.
+CELL_KEYS = ["sk_loja", "sk_categoria", "canal_pedido", "houve_desconto"]
+
+
+def _orders() -> Additive:
+    return Additive("n_pedidos", F.count("*"))
+
+
+def _revenue() -> Additive:
+    return Additive("sum_vl_liquido", F.sum("vl_liquido"))
+
+
+def _valued() -> Additive:
+    return Additive("n_vl_liquido", F.count("vl_liquido"))
+
+
+def _items() -> Additive:
+    return Additive("sum_qt_itens", F.sum("qt_itens"))
+
+
+def answer_cells(star: Star) -> DataFrame:
+    """Orders, sums, counts of known values and counts of problems per store, category, channel and discount flag.
+
+    The one pass over the fact from which all answers follow. As many rows as there are such combinations in
+    the fact, so their number depends on the dimensions and not on the orders.
+    """
+    measures = [_orders(), _revenue(), _valued(), _items(), *lag_measures().values(), *_problems().values()]
+    return cells(star.fato_pedido, CELL_KEYS, {measure.ready: measure for measure in measures})
 
 
-def _revenue() -> Column:
-    return F.sum("vl_liquido")
+def on_cells(star: Star) -> Star:
+    """The star with the cells, written once, in the place of its fact; the answers are the same."""
+    return dataclasses.replace(star, fato_pedido=settle(answer_cells(star), "answer_cells"))
 
 
 def _money(name: str) -> Column:
@@ -173,7 +207,7 @@ def _ticket_cells(star: Star, by: str) -> DataFrame:
 
     The fact is added up by ``by`` and flag; the conditions then look at those few cells.
     """
-    measures = {"pedidos": _orders(), "receita": _revenue(), "valores": F.count("vl_liquido")}
+    measures = {"pedidos": _orders(), "receita": _revenue(), "valores": _valued()}
     flagged = cells(star.fato_pedido, [by, "houve_desconto"], measures)
 
     def where(flag: str, name: str) -> Column:
@@ -345,7 +379,7 @@ def revenue_per_household(star: Star) -> DataFrame:
 
 def items_per_thousand(star: Star) -> DataFrame:
     """P5.1: items sold, items per thousand inhabitants and mean total lag per known store."""
-    measures = {"total_itens_vendidos": F.sum("qt_itens"), **lag_measures([TOTAL_LAG])}
+    measures = {"total_itens_vendidos": _items(), **lag_measures([TOTAL_LAG])}
     per_store = cells(known(star.fato_pedido, "sk_loja"), ["sk_loja"], measures)
     return (
         per_store.join(star.dim_loja, "sk_loja")
@@ -392,19 +426,19 @@ def tier_share(star: Star, by: str = "faixa_franquia") -> DataFrame:
     )
 
 
-def _problems() -> dict[str, Column]:
-    return {
+def _problems() -> dict[str, Additive]:
+    conditions = {
         "pedidos_sem_loja": F.col("sk_loja") == UNKNOWN_KEY,
         "entregas_nao_concluidas": F.col("sk_tempo_entrega") == UNKNOWN_KEY,
         "pedidos_com_itens_em_branco": F.col("qt_itens").isNull(),
         "pedidos_com_valor_em_branco": F.col("vl_liquido").isNull(),
     }
+    return {name: Additive(name, count_if(condition)) for name, condition in conditions.items()}
 
 
 def quality_impact(star: Star) -> DataFrame:
     """P5.3: orders, and how many of them lack a store, a delivery, a quantity or a value."""
-    measures = {name: count_if(condition) for name, condition in _problems().items()}
-    return cells(star.fato_pedido, [], {"total_pedidos": _orders(), **measures})
+    return cells(star.fato_pedido, [], {"total_pedidos": _orders(), **_problems()})
 
 
 def quality_percentages(star: Star) -> DataFrame:

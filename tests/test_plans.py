@@ -1,12 +1,14 @@
 """The physical plans a large table depends on."""
 
+import dataclasses
 import re
 
 import pytest
 
 from registry import derived
-from registry.queries import registered, staging, star
+from registry.queries import cell_star, registered, staging, star
 from starloom.operators.keys import positional_keys
+from starloom.plans import answers
 from starloom.plans.load import build_fact, clean_orders
 
 
@@ -16,11 +18,19 @@ def executed(df):
 
 
 ANSWERS = [name for name in registered() if re.match(r"p\d_", name)]
-
-
-@pytest.mark.parametrize("name", ANSWERS)
-def test_answers_read_the_fact_once_and_shuffle_no_order_row(spark, sf_dir, name):
-    plan = executed(registered()[name](spark, sf_dir))
+# Each answer's own function.
+DIRECT = [
+    answers.lags_overall, answers.step_ranking, answers.lags_by_size, answers.steps_by_size, answers.bottleneck_by_size,
+    answers.revenue_by_category, answers.category_by_size, answers.champion_by_size, answers.ticket_by_channel,
+    answers.ticket_gap, answers.channel_share, answers.channel_summary, answers.store_revenue, answers.allocated_revenue,
+    answers.reconciliation, answers.revenue_per_household, answers.items_per_thousand, answers.top_items_per_thousand,
+    answers.tier_share, answers.quality_impact, answers.quality_percentages,
+]
+
+
+@pytest.mark.parametrize("answer", DIRECT, ids=lambda f: f.__name__)
+def test_answers_read_the_fact_once_and_shuffle_no_order_row(spark, sf_dir, answer):
+    plan = executed(answer(star(spark, sf_dir)))
     assert len(re.findall(r"FileScan parquet .*fato_pedido", plan)) == 1
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
@@ -30,8 +40,32 @@ def test_answers_read_the_fact_once_and_shuffle_no_order_row(spark, sf_dir, name
     assert "partial_" in plan[exchange:scan]
 
 
+@pytest.mark.parametrize("answer", DIRECT, ids=lambda f: f.__name__)
+def test_answers_from_cells_are_the_same(spark, sf_dir, answer):
+    from_fact, from_cells = answer(star(spark, sf_dir)), answer(cell_star(spark, sf_dir))
+    assert from_fact.dtypes == from_cells.dtypes
+    assert sorted(map(str, from_fact.collect())) == sorted(map(str, from_cells.collect()))
+
+
+def test_one_pass_over_the_fact_serves_all_answers(spark, sf_dir):
+    assert len(ANSWERS) == len(DIRECT)
+    for name in ANSWERS:
+        plan = executed(registered()[name](spark, sf_dir))
+        assert "fato_pedido" not in plan and len(re.findall(r"FileScan parquet .*answer_cells", plan)) == 1
+    plan = executed(answers.answer_cells(star(spark, sf_dir)))
+    assert len(re.findall(r"FileScan parquet .*fato_pedido", plan)) == 1
+    scan = plan.index("fato_pedido")
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan[plan.index("Exchange") : scan]
+
+
+def test_cells_grow_with_the_dimensions_only(spark, sf_dir):
+    loaded = star(spark, sf_dir)
+    twice = dataclasses.replace(loaded, fato_pedido=loaded.fato_pedido.union(loaded.fato_pedido))
+    assert answers.answer_cells(twice).count() == answers.answer_cells(loaded).count()
+
+
 def test_known_stores_are_filtered_in_the_scan(spark, sf_dir):
-    plan = executed(registered()["p4_store_revenue"](spark, sf_dir))
+    plan = executed(answers.store_revenue(star(spark, sf_dir)))
     fact = next(line for line in plan.splitlines() if "fato_pedido" in line)
     assert re.search(r"PushedFilters: \[.*Not\(EqualTo\(sk_loja,-1\)\)", fact)
     assert "ReadSchema: struct<sk_loja:int,vl_liquido:decimal(15,2)>" in fact
