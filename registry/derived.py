@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starloom.functions.numbers import size_band
 from starloom.plans.load import Staging
 from starloom.schema import ORDER_HEADERS
+from starloom.session import split_methods
 from starloom.sources.staging import read_orders, read_territories
 
 # Invented spellings, by position; the labels they stand for are in registry/oracles.py.
@@ -182,15 +183,8 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_staging(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Write the two text tables."""
-    # The many text expressions make one method that HotSpot would leave interpreted; past
-    # this size Spark runs the operators one by one instead.
-    limit = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, "8000")
-    try:
+    with split_methods(spark):
         orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_pedido")
-    finally:
-        spark.conf.set(limit, before)
     territories(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/stg_loja_praca")
 
 

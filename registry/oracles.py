@@ -721,7 +721,14 @@ def _check_oracles() -> dict[str, str]:
         ],
     }
     found = {name: _sql(_checks(rows), _ORDERS, _BRIDGE) for name, rows in lists.items()}
+    filled = [("dim_categoria", _ROW_COUNTS[5][1]), ("dim_praca", _ROW_COUNTS[6][1]), ("bridge_loja_praca", _ROW_COUNTS[7][1]), ("fato_pedido", _ROW_COUNTS[8][1])]
     found |= {
+        "check_targets_empty": _sql(
+            f"SELECT *, 'antes da carga' AS momento FROM ({_checks([(name, '0', '0') for name, _ in filled])})"
+            f" UNION ALL SELECT *, 'depois da carga' AS momento FROM ({_checks([(name, n, '0') for name, n in filled])})",
+            _ORDERS,
+            _BRIDGE,
+        ),
         "check_unclassified": _sql(lost, _ORDERS),
         "check_rule_order": (
             "SELECT unnest(['Ração Medicamentosa', 'RACAO MEDICAMENTOSA']) AS categoria_origem,"

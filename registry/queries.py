@@ -76,7 +76,18 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star over ``sf_dir``, loaded once and then read."""
-    return _once(spark, sf_dir, "star", lambda: load_star(spark, staging(spark, sf_dir), by_place=True))
+    return _once(spark, sf_dir, "star", lambda: read_star(spark, star_folder(spark, sf_dir)))
+
+
+def star_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where the star over ``sf_dir`` was loaded to."""
+
+    def make() -> str:
+        folder = new_folder(spark, "star")
+        load_star(spark, staging(spark, sf_dir), folder, by_place=True)
+        return folder
+
+    return _once(spark, sf_dir, "star_folder", make)
 
 
 def cell_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -399,6 +410,12 @@ def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def check_targets_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets before a load, and after it, when the check must fail."""
+    before = checks.targets_empty(spark, new_folder(spark, "vazio")).withColumn("momento", F.lit("antes da carga"))
+    return before.union(checks.targets_empty(spark, star_folder(spark, sf_dir)).withColumn("momento", F.lit("depois da carga")))
+
+
 def _on_star(function: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: function(star(spark, sf_dir), *args)
 
@@ -481,6 +498,7 @@ def registered() -> dict[str, Query]:
         "p5_quality_impact": _on_cells(answers.quality_impact),
         "p5_quality_pct": _on_cells(answers.quality_percentages),
         "check_row_counts": check_row_counts,
+        "check_targets_empty": check_targets_empty,
         "check_spellings": _on_staging(checks.spellings, EXPECTED),
         "check_blank_milestones": _on_staging(checks.blank_milestones),
         "check_date_mask": _on_staging(checks.date_mask),

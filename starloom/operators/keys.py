@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +77,42 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("linhas")).where(F.col("linhas") > 1)
 
 
+def has_places(df: DataFrame) -> bool:
+    """Whether the rows are a plain scan, and so have a file and a place in it."""
+    try:
+        return bool(df.select("_metadata.file_path", "_metadata.row_index").columns)
+    except AnalysisException:
+        return False
+
+
+#: Keys in one block of the overlap test.
+BLOCK_KEYS = 1 << 22
+
+
+def key_runs(scan: DataFrame, key: str) -> DataFrame:
+    """(primeira, ultima, linhas) of every run of rows of a file whose keys go up by one from row to row.
+
+    Rows numbered by place are one run for each piece of a file that was read; tasks add their rows up, so no key is moved.
+    """
+    place = F.col("_metadata.row_index")
+    runs = scan.groupBy(F.xxhash64("_metadata.file_path").alias("__file"), (F.col(key) - place).alias("__shift"))
+    return runs.agg(F.min(key).alias("primeira"), F.max(key).alias("ultima"), F.count("*").alias("linhas"))
+
+
+def runs_overlap(runs: DataFrame) -> bool:
+    """Whether any two runs have a key in common, or rows have no key.
+
+    Runs are cut at blocks of ``BLOCK_KEYS`` keys; in a block of sorted pieces, an overlap shows between neighbours.
+    """
+    block = lambda name: F.floor(F.col(name) / BLOCK_KEYS)
+    pieces = runs.select("*", F.explode_outer(F.sequence(block("primeira"), block("ultima"))).alias("bloco"))
+    sorted_pieces = F.sort_array(F.collect_list(F.struct("primeira", "ultima")))
+    blocks = pieces.groupBy("bloco").agg(sorted_pieces.alias("p"), F.count_if(F.col("primeira").isNull()).alias("sem_chave"))
+    neighbours = F.arrays_zip(F.col("p"), F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))).alias("q"))
+    clash = F.exists(neighbours, lambda n: F.coalesce(n["q"]["primeira"] <= n["p"]["ultima"], F.lit(False)))
+    return not blocks.where(clash | (F.col("sem_chave") > 0)).isEmpty()
+
+
 def refuse_repeated_values(rows: DataFrame, key: str, name: str) -> None:
     """Raise with some of the values (NULL apart) that stand on more than one row, if there are any."""
     found = [r[0] for r in repeated_keys(rows.where(F.col(key).isNotNull()), [key]).select(key).limit(5).collect()]

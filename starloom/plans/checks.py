@@ -7,19 +7,21 @@ back empty give the offending rows. Measures of one table are taken in one pass.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, is_us_timestamp
 from starloom.functions.numbers import money_text, parse_money_br
 from starloom.functions.text import CATEGORY_RULES, is_blank
-from starloom.operators.keys import repeated_keys
+from starloom.operators.keys import has_places, key_runs, repeated_keys, runs_overlap
 from starloom.operators.metrics import cells, count_if, roll_up
 from starloom.plans.load import Staging, Star
 from starloom.schema import LAGS, LENGTHS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
-from starloom.sources.warehouse import settle
+from starloom.sources.warehouse import read_table, settle
 
 Expected = Mapping[str, int]
 
@@ -150,11 +152,25 @@ def _blank_counts(strict: bool) -> dict[str, Column]:
     return {column: count_if(blank(column)) for column in MILESTONES}
 
 
+def spelling_cells(orders: DataFrame) -> DataFrame:
+    """Orders per column and text, for the columns whose spellings are counted and the store code.
+
+    Tasks add their rows up first, so what is moved is one row a text and task. A text stands once, so distinct
+    counts are plain counts, and the category spellings are those of the dimension.
+    """
+    columns = [*SPELLINGS.values(), "cod_loja"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).alias("texto")) for c in columns])
+    return cells(orders.select(F.inline(pairs)), ["coluna", "texto"], {"linhas": F.count("*")})
+
+
 def _spelling_counts() -> dict[str, Column]:
+    """Measures over ``spelling_cells``."""
+    of = lambda column: F.col("coluna") == column
+    blank = lambda column: F.sum(F.when(of(column) & (F.col("texto") == ""), F.col("linhas")).otherwise(0))
     return {
-        **{name: F.count_distinct(column) for name, column in SPELLINGS.items()},
-        "pedidos sem codigo de loja": count_if(F.col("cod_loja") == ""),
-        "pedidos sem nome de loja": count_if(F.col("loja_nome") == ""),
+        **{name: F.count_if(of(column) & F.col("texto").isNotNull()) for name, column in SPELLINGS.items()},
+        "pedidos sem codigo de loja": blank("cod_loja"),
+        "pedidos sem nome de loja": blank("loja_nome"),
     }
 
 
@@ -167,9 +183,28 @@ def row_counts(tables: Mapping[str, DataFrame], expected: Expected | None = None
     return expect(_union([_one(df, name) for name, df in tables.items()]), expected)
 
 
+TARGETS = ["dim_categoria", "dim_praca", "bridge_loja_praca", "fato_pedido"]
+
+
+def targets_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """Q6: rows in the four tables that a load fills, at the place it will write to; there must be none before it.
+
+    A table that is not there has no rows.
+    """
+    rows = []
+    for name in TARGETS:
+        try:
+            rows.append(_one(read_table(spark, folder, name, STAR[name]), name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows.append(spark.range(1).select(F.lit(name).alias("teste"), F.lit(0).cast("bigint").alias("valor")))
+    return expect(_union(rows), dict.fromkeys(TARGETS, 0))
+
+
 def spellings(staging: Staging, expected: Expected | None = None) -> DataFrame:
     """Q2: distinct spellings of four columns (empty text counts, NULL does not), blank store columns."""
-    return expect(_long(cells(staging.orders, [], _spelling_counts())), expected)
+    return expect(_long(cells(spelling_cells(staging.orders), [], _spelling_counts())), expected)
 
 
 def blank_milestones(staging: Staging, expected: Expected | None = None, strict: bool = True) -> DataFrame:
@@ -279,11 +314,21 @@ def text_lengths(star: Star) -> DataFrame:
 
 
 def unique_keys(star: Star) -> DataFrame:
-    """Primary-key values found more than once, per table, and repeated order numbers, names and codes."""
+    """Primary-key values found more than once, per table, and repeated order numbers, names and codes.
+
+    The fact's surrogate keys are not moved if they go up by place: their runs are looked at, one row each, and only if
+    some overlap the keys themselves are counted.
+    """
+    fact = star.fato_pedido
+    sound = has_places(fact) and not runs_overlap(settle(key_runs(fact, "sk_pedido"), "key_runs"))
     parts = [
         _one(repeated_keys(getattr(star, name), key), f"chave repetida em {name}")
         for name, key in KEYS.items()
+        if not (sound and name == "fato_pedido")
     ]
+    if sound:
+        none = fact.sparkSession.range(1).select(F.lit("chave repetida em fato_pedido").alias("teste"), F.lit(0).cast("bigint").alias("valor"))
+        parts.append(none)
     parts.append(_one(repeated_keys(star.fato_pedido, ["numero_pedido"]), "chave repetida em numero_pedido"))
     for name, (key, sk) in NATURAL_KEYS.items():
         named = getattr(star, name).where((F.col(sk) != UNKNOWN_KEY) & F.col(key).isNotNull())
@@ -306,11 +351,6 @@ def fact_grain(staging: Staging, star: Star) -> DataFrame:
 _FK_COLUMNS = [fk for fk, _, _ in FOREIGN_KEYS.values()]
 
 
-def _null_fk() -> dict[str, Column]:
-    missing = reduce(Column.__or__, [F.col(fk).isNull() for fk in _FK_COLUMNS])
-    return {"FK nula": F.count_if(missing)}
-
-
 def _unresolved() -> dict[str, Column]:
     return {
         "pedidos sem loja": F.count_if(F.col("sk_loja") == UNKNOWN_KEY),
@@ -331,23 +371,38 @@ def _key_cells(star: Star, keys: list[str]) -> DataFrame:
     return cells(star.fato_pedido, keys, {"linhas": F.count("*"), "valor": F.sum("vl_liquido")})
 
 
-def _orphans(star: Star, parts: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Orders per foreign key value first, so the anti-join meets few rows per value.
+_NULL_FK = "FK nula"
 
-    ``parts`` may hold ready-made cells by foreign key.
+
+def reference_counts(star: Star) -> DataFrame:
+    """Orders per foreign key and value, and under ``FK nula`` those that lack any, from one scan of the fact.
+
+    Tasks add their rows up first: what is moved is one row a value and task. Hash sums of values are cheaper here than
+    presence bitmaps, whose aggregate sorts its rows, and give the orders of orphans at once.
     """
-    found = []
-    for name, (fk, dim, sk) in FOREIGN_KEYS.items():
-        used = parts[fk] if parts else _key_cells(star, [fk])
-        keys = getattr(star, dim).select(F.col(sk).alias("__sk"))
-        lost = used.join(keys, F.col(fk) == F.col("__sk"), "left_anti")
-        found.append(_long(lost.agg(F.coalesce(F.sum("linhas"), F.lit(0)).alias(name))))
-    return _union(found)
+    missing = reduce(Column.__or__, [F.col(fk).isNull() for fk in _FK_COLUMNS])
+    pairs = [F.struct(F.lit(name).alias("teste"), F.col(fk).alias("sk")) for name, (fk, _, _) in FOREIGN_KEYS.items()]
+    pairs.append(F.struct(F.lit(_NULL_FK).alias("teste"), F.when(missing, F.lit(0)).alias("sk")))
+    used = star.fato_pedido.select(F.inline(F.array(*pairs))).where((F.col("teste") != _NULL_FK) | F.col("sk").isNotNull())
+    return cells(used, ["teste", "sk"], {"linhas": F.count("*")})
+
+
+def _broken_references(star: Star) -> DataFrame:
+    keys = _union(
+        [
+            getattr(star, dim).select(F.lit(name).alias("teste"), F.col(sk).alias("sk"), F.lit(True).alias("__known"))
+            for name, (_, dim, sk) in FOREIGN_KEYS.items()
+        ]
+    )
+    # Not an anti-join, which the optimiser would move below the sums, to every order.
+    lost = reference_counts(star).join(keys, ["teste", "sk"], "left").where(F.col("__known").isNull())
+    count = lambda name: F.coalesce(F.sum(F.when(F.col("teste") == name, F.col("linhas"))), F.lit(0))
+    return _long(lost.agg(*[count(name).alias(name) for name in [_NULL_FK, *FOREIGN_KEYS]]))
 
 
 def fk_integrity(star: Star) -> DataFrame:
     """Q15: orders with a missing reference, and with one that points nowhere. Order dates included."""
-    return expect(_long(cells(star.fato_pedido, [], _null_fk())).unionByName(_orphans(star)))
+    return expect(_broken_references(star))
 
 
 def unresolved(star: Star, expected: Expected | None = None) -> DataFrame:
@@ -435,16 +490,16 @@ def _small_table_measures(table: str) -> dict[str, Column]:
 def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataFrame:
     """Every check that comes down to a number, with the must-be-empty ones counted.
 
-    Staging, dimensions and bridge are read once each. The fact is read once for its profile,
-    once per settled set of cells, and once for each uniqueness check.
+    Dimensions and bridge are read once each, the staging once for its measures and once for its spellings. The
+    fact is read once for its profile, its references, its settled cells and each uniqueness check.
     """
-    places = settle(_key_cells(star, ["sk_loja", "sk_categoria"]), "place_cells")
-    days = settle(_key_cells(star, ["sk_tempo_pedido", "sk_tempo_entrega"]), "day_cells")
-    parts_by_key = {fk: days if "tempo" in fk else places for fk in _FK_COLUMNS}
+    with ThreadPoolExecutor() as pool:
+        unique_job = pool.submit(unique_keys, star)
+        places = settle(_key_cells(star, ["sk_loja", "sk_categoria"]), "place_cells")
+        unique = unique_job.result()
 
     staging_measures = {
         "stg_pedido": F.count("*"),
-        **_spelling_counts(),
         **_blank_counts(True),
         **_mask_count(),
         **_off_mask(),
@@ -452,7 +507,6 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
     }
     fact_measures = {
         "fato_pedido": F.count("*"),
-        **_null_fk(),
         **_unresolved(),
         **_negative_lags(),
         **_channel_missing(),
@@ -464,6 +518,7 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
     lost_orders = F.col("valor") - F.col("esperado")
     parts = [
         _long(cells(staging.orders, [], staging_measures)),
+        _long(cells(spelling_cells(staging.orders), [], _spelling_counts())),
         _long(cells(star.fato_pedido, [], fact_measures)),
         _one(staging.stores, "stg_loja"),
         _one(staging.territories, "stg_loja_praca"),
@@ -473,12 +528,12 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
             if table != "fato_pedido"
         ],
         _one(bridge_weights(star), "lojas com fator diferente de 1"),
-        _orphans(star, parts_by_key),
+        _broken_references(star),
         fact_grain(staging, star).select(
             F.lit("pedidos perdidos ou repetidos").alias("teste"), lost_orders.alias("valor")
         ),
         _long(total.select(lost_total.alias("total perdido na juncao de categoria"))),
         _long(allocation(star, places).select(F.col("diferenca").alias("rateio sem fechar"))),
-        unique_keys(star).select("teste", "valor"),
+        unique.select("teste", "valor"),
     ]
     return expect(_union(parts), expected)

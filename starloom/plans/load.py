@@ -35,6 +35,7 @@ from starloom.operators.keys import dense_keys, positional_keys, stable_keys
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk, refuse_repeated, store_lookup
 from starloom.schema import REJECT_LIST, REJECTS, STAR, UNKNOWN_LABEL
+from starloom.session import split_methods
 from starloom.sources.warehouse import conform, new_folder, read_table, settle, write_table
 
 
@@ -207,6 +208,7 @@ def load_star(
 
     # Small tables that do not need each other are written side by side.
     with ThreadPoolExecutor() as pool:
+        orders_job = pool.submit(positional_keys, staging.orders, "sk_pedido") if by_place else None
         profile_job = pool.submit(write, order_profile(staging.orders, strict), "perfil_pedido")
         store_job = pool.submit(write, with_unknown(staging.stores, "dim_loja"), "dim_loja")
         praca_job = pool.submit(
@@ -215,7 +217,7 @@ def load_star(
         dim_loja = store_job.result()
         key_job = pool.submit(write, store_lookup(dim_loja, staging.aliases), "loja_chave")
         dim_praca = praca_job.result()
-        refuse_repeated(dim_praca, "cod_praca", "sk_praca", "dim_praca")
+        refusals = [pool.submit(refuse_repeated, dim_praca, "cod_praca", "sk_praca", "dim_praca")]
         bridge = build_bridge(staging.territories, dim_praca, strict)
         bridge_job = pool.submit(write, bridge, "bridge_loja_praca")
         profile = profile_job.result()
@@ -223,16 +225,20 @@ def load_star(
         tempo_job = pool.submit(write, with_unknown(tempo, "dim_tempo"), "dim_tempo")
         categories = numbered(category_rows(profile), "categoria_origem", "dim_categoria")
         dim_categoria = write(with_unknown(categories, "dim_categoria"), "dim_categoria")
-        dim_tempo, bridge, loja_chave = tempo_job.result(), bridge_job.result(), key_job.result()
-    refuse_repeated(loja_chave, "chave_loja", "sk_loja", "loja_chave")
-    refuse_repeated(dim_categoria, "categoria_origem", "sk_categoria", "dim_categoria")
-    orders = positional_keys(staging.orders, "sk_pedido") if by_place else staging.orders
+        refusals.append(pool.submit(refuse_repeated, dim_categoria, "categoria_origem", "sk_categoria", "dim_categoria"))
+        loja_chave = key_job.result()
+        refusals.append(pool.submit(refuse_repeated, loja_chave, "chave_loja", "sk_loja", "loja_chave"))
+        dim_tempo, bridge = tempo_job.result(), bridge_job.result()
+        orders = orders_job.result() if orders_job else staging.orders
+        for refusal in refusals:
+            refusal.result()
     fact = build_fact(orders, dim_categoria, loja_chave, strict)
     files = STAR["fato_pedido"] if strict else T.StructType([*STAR["fato_pedido"], REJECT_LIST])
-    if "sk_pedido" not in fact.columns:
-        unnumbered = conform(fact, T.StructType([f for f in files if f.name in fact.columns]))
-        fact = positional_keys(settle(unnumbered, "fato_pedido"), "sk_pedido")
-    write_table(fact, folder, "fato_pedido", files)
+    with split_methods(spark):
+        if "sk_pedido" not in fact.columns:
+            unnumbered = conform(fact, T.StructType([f for f in files if f.name in fact.columns]))
+            fact = positional_keys(settle(unnumbered, "fato_pedido"), "sk_pedido")
+        write_table(fact, folder, "fato_pedido", files)
     fact = read_table(spark, folder, "fato_pedido", STAR["fato_pedido"])
     if not strict:
         listed = read_table(spark, folder, "fato_pedido", T.StructType([STAR["fato_pedido"]["numero_pedido"], REJECT_LIST]))

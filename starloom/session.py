@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +23,19 @@ def get_spark(master: str | None = None, app_name: str = "starloom", **conf: str
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def split_methods(spark: SparkSession) -> Iterator[None]:
+    """Inside, rows of very wide projections are computed in many small methods.
+
+    Spark joins all expressions of a stage in one method, which HotSpot leaves interpreted beyond 8000 bytes. With this limit
+    Spark runs the operators of such a stage one by one instead, each split into methods that are compiled.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, before)
