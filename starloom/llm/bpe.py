@@ -6,7 +6,7 @@ the others are merged pair by pair, lowest rank first, with a heap over a linked
 their bytes, which looks ranks of pairs up in a plain dictionary. ``decode`` joins the bytes of the ids again.
 
 Nulls and empty texts have no ids and decode to no bytes; null id lists decode to no
-bytes as well. Rows are independent, so repeated rows come out alike, an empty table
+bytes as well. ``round_trip`` does both in one pass and keeps their digests only. Rows are independent, so repeated rows come out alike, an empty table
 gives an empty table, and other columns are passed through untouched. A text is worked
 on as a whole, whatever its length. No special tokens are recognised.
 """
@@ -14,6 +14,7 @@ on as a whole, whatever its length. No special tokens are recognised.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from collections.abc import Iterator, Mapping, Sequence
@@ -212,6 +213,37 @@ def encode(
     return rows.mapInArrow(work, schema)
 
 
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The columns ``keep``, the number of ids of every text, and SHA-256 of the ids and of the bytes they decode to.
+
+    Ids are spelled in decimal, with one space between. Both digests are taken where the ids are made, so neither ids nor
+    decoded bytes leave the task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    rows = docs.select(*[F.col(c) for c in keep], whole(text).alias("__text"))
+    hexes = [T.StructField(name, T.StringType(), False) for name in ("ids_sha256", "decoded_sha256")]
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("n_tokens", T.LongType(), False), *hexes])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, compiled, tokens = _pieces_of(shared.value), regex.compile(pattern), shared.value.tokens
+        spelled = [b"%d" % i for i in range(len(tokens))]
+        digest = lambda table, ids, between: hashlib.sha256(between.join(map(table.__getitem__, ids))).hexdigest()
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                counts, of_ids, of_bytes = [], [], []
+                for t in part.column("__text").to_pylist():
+                    ids = encode_text(t, pieces, compiled).tolist()
+                    counts.append(len(ids))
+                    of_ids.append(digest(spelled, ids, b" "))
+                    of_bytes.append(digest(tokens, ids, b""))
+                columns = [*part.columns[:-1], pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+
+    return rows.mapInArrow(work, schema)
+
+
 def decode(
     encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:

@@ -104,15 +104,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     """Digests of the ids of every text and of the bytes they decode to."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    digests = encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        _hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
-        "ids",
-    )
-    decoded = bpe.decode(digests, path, keep=("doc_id", "n_tokens", "ids_sha256"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

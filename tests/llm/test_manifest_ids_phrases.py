@@ -14,6 +14,35 @@ from pyspark.sql import functions as F
 
 from starloom.llm import merkle, phrases, tokenfiles
 
+# Byte-level BPE
+
+
+def test_op10_equals_the_library(spark, edge_docs, sf_dir):
+    import base64
+
+    import tiktoken
+
+    from starloom.llm import bpe
+    from starloom.llm.queries import op10_byte_bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, lines)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def plain(doc_id, text):
+        ids = library.encode_ordinary(text or "")
+        return (str(doc_id), len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))
+
+    for docs, found in (
+        (spark.read.parquet(f"{sf_dir}/documents.parquet"), op10_byte_bpe(spark, sf_dir)),
+        (edge_docs, bpe.round_trip(edge_docs, path, public_tokenizers.PATTERN)),
+    ):
+        assert found.columns[:1] == ["doc_id"] and found.schema["n_tokens"].dataType.simpleString() == "bigint"
+        rows = found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+        assert sorted((str(r[0]), *r[1:]) for r in rows) == sorted(plain(*r) for r in docs.select("doc_id", "text").collect())
+
+
 # Merkle
 
 
