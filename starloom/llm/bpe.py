@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from starloom.llm.common import slices, whole
 
 #: Pieces whose ids a worker remembers, twice: the latest, and those before them.
-REMEMBERED = 120_000
+REMEMBERED = 600_000
 _TRIES = 64
 
 
