@@ -1,6 +1,9 @@
 """A corpus from raw documents: language ID, near duplicates, secrets, mixing, tokens.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. Documents without text, or without
+letters, have no language and are rejected by the first stage. A null id or source is kept: of near copies without ids one
+stays, chosen by the text. Repeated rows are near copies of each other. Other columns go along up to the last stage, which
+gives doc_id, source, ids and the digest of the decoded bytes only. An empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -48,9 +51,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source and the ids of every document of the mix."""
+    """doc_id, source, the ids of every document of the mix, and SHA-256 of the bytes that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"))
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"))
+    back = bpe.decode(encoded, path, keep=("doc_id", "source", "ids"))
+    return back.select("doc_id", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
