@@ -12,7 +12,7 @@ smallest alphabet that has all its characters. Three tests look at the places of
 
 A candidate is random if none of the three rejects randomness and if its neighbours are also too
 unlike ordinary text. The second is a test against ordinary text. How often a character follows
-another there is learned from the short runs of about ``ORDINARY_DOCS`` documents: changes between lower case,
+another there is counted over the short runs of all documents: changes between lower case,
 upper case, digits and marks, and letters after letters whatever their case. For each alphabet this
 gives chances within it, a share ``FREE`` of which is even, so that no neighbour alone says much.
 The p-value is the chance of the candidate in ordinary text over its chance among even characters,
@@ -23,7 +23,8 @@ a class's cut is the last bin edge at which the expected share of false finds is
 A part within a found run is not told again.
 
 Positions are code points, ends exclusive. A null text is empty and has no spans. Equal texts have equal
-spans, repeated rows come out alike, an empty table gives none. Texts are scanned whole.
+spans, repeated rows come out alike, an empty table gives none. Texts are scanned whole. Other columns are kept as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,9 +56,8 @@ ALPHABETS = (
     ("base64", "[A-Za-z0-9+/]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base66", "[A-Za-z0-9+/_-]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"),
 )
-#: Documents that ordinary text is learned from, characters taken of each, and what is left out: assignments and candidates with more than digits.
-ORDINARY_DOCS = 4096
-ORDINARY_CHARS = 1 << 16
+#: Characters of a piece in which pairs are counted, and what is no ordinary text: assignments and candidates with more than digits.
+PIECE = 64
 NOT_ORDINARY = rf"{ASSIGN}|(?<![A-Za-z0-9+/_-])(?=[0-9]*[A-Za-z+/_-]){CANDIDATE}"
 #: Even share of the chances of ordinary text; before anything is learned, the chance that a class stays, as this many neighbours.
 FREE = 1 / 16
@@ -208,15 +208,18 @@ def evidence(pairs: Mapping[str, int]) -> list[float]:
     return table
 
 
-def ordinary_pairs(docs: DataFrame, text: str = "text", rows: int = ORDINARY_DOCS) -> dict[str, int]:
-    """How often characters of the base64 family follow each other in the ordinary text of about ``rows`` documents."""
-    share = min(1 << 20, -(-rows * (1 << 20) // max(1, docs.count())))
-    picked = docs.select(whole(text).alias("text")).where(F.pmod(F.xxhash64("text", F.lit("ordinary")), F.lit(1 << 20)) < share)
-    some = picked.select(F.substring("text", 1, ORDINARY_CHARS).alias("text")).distinct()
-    chars = some.select(F.split(F.regexp_replace("text", NOT_ORDINARY, " "), "").alias("c")).where(F.size("c") > 1)
-    pairs = chars.select(F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1), lambda a, b: F.concat(a, b))).alias("pair"))
-    counted = pairs.where(F.col("pair").rlike(r"\A[A-Za-z0-9+/_-]{2}\z")).groupBy("pair").count()
-    return {r[0]: r[1] for r in counted.collect()}  # at most 66 * 66 rows
+def ordinary_pairs(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """How often characters of the base64 family follow each other in the ordinary text of all documents.
+
+    Runs are cut into pieces of ``PIECE`` characters that share one character, so every pair is counted once.
+    """
+    one = "[A-Za-z0-9+/_-]"
+    some = docs.select(F.regexp_replace(whole(text), NOT_ORDINARY, " ").alias("text"))
+    piece = F.lit(rf"(?=({one}{{2,{PIECE}}})){one}{{1,{PIECE - 1}}}")
+    pieces = some.select(F.explode(F.regexp_extract_all("text", piece, F.lit(1))).alias("piece"))
+    places = F.sequence(F.lit(1), F.char_length("piece") - 1)
+    pairs = pieces.select(F.explode(F.transform(places, lambda i: F.substring("piece", i, F.lit(2)))).alias("pair"))
+    return {r[0]: r[1] for r in pairs.groupBy("pair").count().collect()}  # at most 66 * 66 rows
 
 
 def battery(runs: Column, table: Sequence[float]) -> Column:

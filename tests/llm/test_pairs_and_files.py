@@ -323,6 +323,8 @@ def test_pipeline_stage_by_stage(spark, edge_docs, sf_dir, tmp_path):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     wanted = sorted((str(i), str(library.encode_ordinary(t))) for i, t in zip(e.doc_id, e.text, strict=True))
     assert sorted((str(i), str(list(x))) for i, x in zip(f.doc_id, f.ids, strict=True)) == wanted
+    digests = sorted((str(i), hashlib.sha256(t.encode()).hexdigest()) for i, t in zip(e.doc_id, e.text, strict=True))
+    assert sorted((str(i), x) for i, x in zip(f.doc_id, f.decoded_sha256, strict=True)) == digests
 
 
 def secrets_free(text):

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -141,6 +142,19 @@ def test_random_strings_are_found_and_words_are_not(make_docs):
     assert set(hit) <= set(keys) and len(hit) >= 50
 
 
+def test_ordinary_pairs_are_counted_over_whole_texts_of_all_documents(make_docs):
+    far = "x" + " far" * 20000 + " qZ " + "0123456789" * 30 + " token=abcdefgh end " + "Ab" * 9 + "/" + "cD" * 12
+    texts = [*SECRETS, far, far, PROSE, "a", "7" * 64, "7" * 65, "é" * 5]
+    docs = make_docs([(i % 3, t, None, None) for i, t in enumerate(texts)])
+    wanted = Counter()
+    for t in texts:
+        left = re.sub(secrets.NOT_ORDINARY, " ", t or "")
+        for run in re.findall(r"[A-Za-z0-9+/_-]+", left):
+            wanted.update(run[i : i + 2] for i in range(len(run) - 1))
+    assert secrets.ordinary_pairs(docs) == wanted and wanted["fa"] >= 40000 and wanted["qZ"] == 2
+    assert secrets.ordinary_pairs(docs.where("false")) == {}
+
+
 def ordinary_run(r, code, n):
     """A run of n characters of ordinary words and numbers, all of one alphabet."""
     hex_words = ["dead", "beef", "face", "faded", "decade", "added", "bad", "cafe", "feed", "deed"]
