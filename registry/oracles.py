@@ -99,6 +99,10 @@ praca AS (
 )"""
 
 
+# The months that are loaded again.
+_RELOADED = "(year(t) = 1995 AND month(t) <= 3)"
+
+
 def _sql(body: str, *parts: str) -> str:
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
@@ -385,6 +389,18 @@ def _cleaner_oracles() -> dict[str, str]:
 
 def _dimension_oracles() -> dict[str, str]:
     shares = "('0.' || lpad(CAST(w AS VARCHAR), 2, '0'))"
+    numbered = _sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS tabela, n AS linhas, CAST(1 AS BIGINT) AS menor, n AS maior, n AS distintas"
+            f" FROM (SELECT count({what}) AS n FROM {source})"
+            for name, what, source in [
+                ("dim_categoria", "DISTINCT k % 37", "f"),
+                ("dim_praca", "*", "region"),
+                ("fato_pedido", "*", "f"),
+            ]
+        ),
+        _ORDERS,
+    )
     return {
         "stg_orders_scan": _staging_text(),
         # CSV files have no NULL beside the blank field.
@@ -443,16 +459,17 @@ def _dimension_oracles() -> dict[str, str]:
             " CAST(w / 100.0 AS DOUBLE) AS fator_publico FROM ponte",
             _BRIDGE,
         ),
-        "surrogate_keys": _sql(
-            " UNION ALL ".join(
-                f"SELECT '{name}' AS tabela, n AS linhas, CAST(1 AS BIGINT) AS menor, n AS maior, n AS distintas"
-                f" FROM (SELECT count({what}) AS n FROM {source})"
-                for name, what, source in [
-                    ("dim_categoria", "DISTINCT k % 37", "f"),
-                    ("dim_praca", "*", "region"),
-                    ("fato_pedido", "*", "f"),
-                ]
-            ),
+        "surrogate_keys": numbered,
+        "surrogate_keys_csv": numbered,
+        "fact_days": _sql(
+            f"SELECT strftime(t, '%Y-%m') AS ano_mes, count(*) AS pedidos, {_money('sum(cents)')} AS vl_liquido FROM f"
+            " WHERE quarter(t) = 2 AND dayofweek(t) IN (0, 6) GROUP BY ALL",
+            _ORDERS,
+        ),
+        "fact_reload": _sql(
+            f"SELECT strftime(t, '%Y-%m') AS ano_mes, count(*) AS pedidos, {_count(_RELOADED)} AS novas,"
+            f" count(*) AS distintas, {_money('sum(cents)')} AS vl_liquido FROM f"
+            f" WHERE NOT {_RELOADED} OR (k % 2 = 0 AND month(t) <> 2) GROUP BY ALL",
             _ORDERS,
         ),
     }

@@ -42,6 +42,7 @@ from starloom.plans.load import (
     read_rejects,
     read_star,
 )
+from starloom.plans.months import on_days, reload_months, write_months
 from starloom.schema import LAGS, STAR, UNKNOWN_LABEL
 from starloom.sources.staging import read_orders
 from starloom.sources.warehouse import new_folder, settle
@@ -179,7 +180,20 @@ def dim_unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, smallest, largest and distinct keys of the tables numbered by the load."""
-    loaded = star(spark, sf_dir)
+    return _numbered(star(spark, sf_dir))
+
+
+def surrogate_keys_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a star loaded from CSV files, whose rows have no places to be numbered by."""
+
+    def make() -> Star:
+        texts = dataclasses.replace(staging(spark, sf_dir), orders=stg_orders_csv(spark, sf_dir))
+        return load_star(spark, texts, new_folder(spark, "star_csv"))
+
+    return _numbered(_once(spark, sf_dir, "star_csv", make))
+
+
+def _numbered(loaded: Star) -> DataFrame:
     tables = [
         ("dim_categoria", known(loaded.dim_categoria, "sk_categoria"), "sk_categoria"),
         ("dim_praca", known(loaded.dim_praca, "sk_praca"), "sk_praca"),
@@ -328,6 +342,39 @@ def stg_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staging_csv", make)
 
 
+def monthly_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Star]:
+    """The fact in month folders, and the star that it is of."""
+    loaded = star(spark, sf_dir)
+    return _once(spark, sf_dir, "months", lambda: write_months(loaded.fato_pedido, new_folder(spark, "meses"))), loaded
+
+
+def fact_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and revenue of the weekends of every second quarter, a month a row; other months are not read."""
+    monthly, loaded = monthly_star(spark, sf_dir)
+    found = on_days(monthly, loaded.dim_tempo.where("trimestre = 2 and fim_de_semana = 'Sim'"))
+    return found.groupBy("ano_mes").agg(F.count("*").alias("pedidos"), F.sum("vl_liquido").cast("decimal(20,2)").alias("vl_liquido"))
+
+
+def fact_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months of a fact of which 1995-01 to 1995-03 were loaded again after corrections.
+
+    In these months, orders of odd number were withdrawn, and all of February. ``novas`` counts rows with keys beyond those first given.
+    """
+    loaded, path = star(spark, sf_dir), new_folder(spark, "meses")
+    before = loaded.fato_pedido.count()
+    write_months(loaded.fato_pedido, path)
+    texts = staging(spark, sf_dir).orders
+    odd = F.expr("cast(substring(numero_pedido, 5) as bigint) % 2 = 1")
+    left = texts.where(~(odd | F.col("dt_hora_pedido").like("02/%")))
+    monthly = reload_months(left, loaded, path, "1995-01", "1995-03")
+    return monthly.groupBy("ano_mes").agg(
+        F.count("*").alias("pedidos"),
+        F.count_if(F.col("sk_pedido") > before).alias("novas"),
+        F.count_distinct("sk_pedido").alias("distintas"),
+        F.sum("vl_liquido").cast("decimal(20,2)").alias("vl_liquido"),
+    )
+
+
 def _lenient_folder(spark: SparkSession, sf_dir: str) -> str:
     """Where the staging with planted faults was loaded to, without ``strict``."""
 
@@ -468,11 +515,14 @@ def registered() -> dict[str, Query]:
         "dim_unknown_member": dim_unknown_member,
         "bridge_store_territory": bridge_store_territory,
         "surrogate_keys": surrogate_keys,
+        "surrogate_keys_csv": surrogate_keys_csv,
         "stable_keys": stable_keys_query,
         "lookup_category": lookup_category,
         "lookup_store": lookup_store,
         "known_members": known_members,
         "fact_orders": fact_orders,
+        "fact_days": fact_days,
+        "fact_reload": fact_reload,
         "load_rejects": load_rejects,
         "fact_lenient": fact_lenient,
         "answer_cells": answer_cells,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,21 @@ def dense_keys(df: DataFrame, natural_key: str, name: str, buckets: int = 256) -
     return numbered
 
 
+def _offsets(sizes: DataFrame, part: str, bucket: Column) -> DataFrame:
+    """(part, __offset) from (part, __rows): rows of the parts before, buckets in turn and parts in order inside them.
+
+    Only a bucket's sum, and one bucket's parts, meet in one task.
+    """
+    placed = sizes.withColumn("__bucket", bucket)
+    totals = placed.groupBy("__bucket").agg(F.sum("__rows").alias("__rows"))
+    # As many rows as there are buckets.
+    starts = F.broadcast(_running_offset(totals, "__bucket"))
+    before = Window.partitionBy("__bucket").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("__rows").over(before), F.lit(0))
+    offsets = placed.withColumn("__inside", inside).join(starts, "__bucket")
+    return offsets.select(part, (F.col("__offset") + F.col("__inside")).alias("__offset"))
+
+
 #: Files whose offsets are sent to every executor, at about 40 bytes each; of more, rows are joined by a shuffle.
 BROADCAST_FILES = 1 << 20
 
@@ -56,14 +71,7 @@ def positional_keys(scan: DataFrame, name: str, buckets: int = 256) -> DataFrame
     files = settle(sized.select(F.xxhash64("__path").alias("__file"), "__rows"), "file_sizes")
     if not repeated_keys(files, ["__file"]).isEmpty():
         raise ValueError("two files have paths of the same hash; rename one")
-    placed_files = files.withColumn("__bucket", F.pmod("__file", F.lit(buckets)))
-    totals = placed_files.groupBy("__bucket").agg(F.sum("__rows").alias("__rows"))
-    # Never more than ``buckets`` rows.
-    starts = F.broadcast(_running_offset(totals, "__bucket"))
-    before = Window.partitionBy("__bucket").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("__rows").over(before), F.lit(0))
-    offsets = placed_files.withColumn("__inside", inside).join(starts, "__bucket")
-    offsets = offsets.select("__file", (F.col("__offset") + F.col("__inside")).alias("__offset"))
+    offsets = _offsets(files, "__file", F.pmod("__file", F.lit(buckets)))
     offsets = settle(offsets, "file_offsets")
     if offsets.count() <= BROADCAST_FILES:
         offsets = F.broadcast(offsets)
@@ -72,6 +80,45 @@ def positional_keys(scan: DataFrame, name: str, buckets: int = 256) -> DataFrame
     return placed.join(offsets, "__file").withColumn(name, key).drop("__file", "__position", "__offset")
 
 
+#: Low bits of a written place that count rows; the task that wrote the row is above them (``monotonically_increasing_id``).
+ROW_BITS = 33
+#: Tasks whose offsets stand in the plan as one list of at most half a megabyte; those of more are joined.
+LISTED_TASKS = 1 << 16
+
+
+def written_place() -> Column:
+    """Task and row number of a row in the write that it is part of."""
+    return F.monotonically_increasing_id()
+
+
+def task_offsets(written: DataFrame, place: str, buckets: int = 256) -> DataFrame:
+    """(tarefa, antes): every task of a write, and the rows that the tasks before it wrote.
+
+    Reads the one column of places; one row a task is moved.
+    """
+    task = F.shiftright(place, ROW_BITS)
+    sizes = settle(written.groupBy(task.alias("tarefa")).agg(F.count("*").alias("__rows")), "task_sizes")
+    # Tasks next to each other share a bucket, so keys go up as places do while there are at most 65,536 tasks.
+    bucket = F.floor(F.col("tarefa") / buckets) % buckets
+    return _offsets(sizes, "tarefa", bucket).withColumnRenamed("__offset", "antes")
+
+
+def keys_from_places(written: DataFrame, offsets: DataFrame, place: str, name: str) -> DataFrame:
+    """The written rows, numbered 1..n as they are read; ``offsets`` is what ``task_offsets`` gave.
+
+    The key is an expression over the place, so rows are neither moved nor written again, and a reader who does not ask for
+    the key does not read the place. Places are in the files: a key is the same at every reading, also from copied files.
+    """
+    task, row = F.shiftright(place, ROW_BITS), F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    listed = offsets.limit(LISTED_TASKS + 1).collect()
+    if len(listed) <= LISTED_TASKS and max((r["tarefa"] for r in listed), default=0) <= 4 * LISTED_TASKS:
+        antes = dict(listed)
+        each = ",".join(str(antes.get(i, 0)) for i in range(max(antes, default=0) + 1))
+        before = F.get(F.split(F.lit(each), ",").cast("array<bigint>"), task.cast("int"))
+        return written.withColumn(name, before + row + 1).drop(place)
+    return written.join(offsets, task == F.col("tarefa")).withColumn(name, F.col("antes") + row + 1).drop(place, "tarefa", "antes")
+
+
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The key values found on more than one row, with their number of rows."""
     return df.groupBy(*key).agg(F.count("*").alias("linhas")).where(F.col("linhas") > 1)

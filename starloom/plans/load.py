@@ -31,12 +31,12 @@ from starloom.functions.text import (
 )
 from starloom.operators.bridge import build_bridge
 from starloom.operators.dimensions import calendar, category_rows, territory_rows, with_unknown
-from starloom.operators.keys import dense_keys, positional_keys, stable_keys
+from starloom.operators.keys import dense_keys, keys_from_places, positional_keys, stable_keys, task_offsets, written_place
 from starloom.operators.lags import milestone_lags
 from starloom.operators.lookup import lookup_fk, refuse_repeated, store_lookup
-from starloom.schema import REJECT_LIST, REJECTS, STAR, UNKNOWN_LABEL
+from starloom.schema import PLACE, REJECT_LIST, REJECTS, STAR, TASKS, UNKNOWN_LABEL
 from starloom.session import split_methods
-from starloom.sources.warehouse import conform, new_folder, read_table, settle, write_table
+from starloom.sources.warehouse import new_folder, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -188,7 +188,8 @@ def load_star(
     orders are read twice: once for the profile, once for the fact. ``strict`` is as for
     ``clean_orders``; a lenient load also writes the texts it could not read (see ``read_rejects``), those of the
     orders from lists that the fact's files hold beside its columns, so the orders are not read again for them. ``by_place`` says that the orders are a plain Parquet scan, whose rows
-    can be numbered by their place; else the fact is written, numbered and written again. ``days`` are the
+    can be numbered by their place; else (CSV, or any other query) each row of the fact is written with its task and row number,
+    from which its key is formed on reading, so that the fact is written once as well. ``days`` are the
     first and last day of a given calendar; without it, the calendar reaches as far as the orders do. ``registry`` is a
     folder, shared by loads that follow one another, in which categories and territories keep their keys (see
     ``stable_keys``); without it every load numbers them anew.
@@ -233,13 +234,17 @@ def load_star(
         for refusal in refusals:
             refusal.result()
     fact = build_fact(orders, dim_categoria, loja_chave, strict)
-    files = STAR["fato_pedido"] if strict else T.StructType([*STAR["fato_pedido"], REJECT_LIST])
+    numbered_already = "sk_pedido" in fact.columns
+    files = [*STAR["fato_pedido"]] if numbered_already else [f for f in STAR["fato_pedido"] if f.name != "sk_pedido"] + [PLACE]
+    files = T.StructType(files if strict else [*files, REJECT_LIST])
+    if not numbered_already:
+        fact = fact.withColumn(PLACE.name, written_place())
     with split_methods(spark):
-        if "sk_pedido" not in fact.columns:
-            unnumbered = conform(fact, T.StructType([f for f in files if f.name in fact.columns]))
-            fact = positional_keys(settle(unnumbered, "fato_pedido"), "sk_pedido")
-        write_table(fact, folder, "fato_pedido", files)
-    fact = read_table(spark, folder, "fato_pedido", STAR["fato_pedido"])
+        written = write_table(fact, folder, "fato_pedido", files)
+    # Without rows where the files hold the keys themselves.
+    offsets = spark.createDataFrame([], TASKS) if numbered_already else task_offsets(written, PLACE.name)
+    write_table(offsets, folder, "fato_pedido_tarefas", TASKS)
+    fact = read_fact(spark, folder)
     if not strict:
         listed = read_table(spark, folder, "fato_pedido", T.StructType([STAR["fato_pedido"]["numero_pedido"], REJECT_LIST]))
         found = listed.where(F.col(REJECT_LIST.name).isNotNull()).select("numero_pedido", F.inline(REJECT_LIST.name))
@@ -248,9 +253,20 @@ def load_star(
     return Star(dim_tempo, dim_loja, dim_categoria, dim_praca, bridge, fact, loja_chave)
 
 
+def read_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact below ``folder``, with keys from its files, or formed from the places that its files hold."""
+    schema = STAR["fato_pedido"]
+    offsets = read_table(spark, folder, "fato_pedido_tarefas", TASKS)
+    if offsets.isEmpty():
+        return read_table(spark, folder, "fato_pedido", schema)
+    files = T.StructType([PLACE, *[f for f in schema if f.name != "sk_pedido"]])
+    return keys_from_places(read_table(spark, folder, "fato_pedido", files), offsets, PLACE.name, "sk_pedido").select(*schema.names)
+
+
 def read_star(spark: SparkSession, folder: str) -> Star:
     """The star that a load wrote below ``folder``."""
-    return Star(**{name: read_table(spark, folder, name, schema) for name, schema in STAR.items()})
+    others = {name: read_table(spark, folder, name, schema) for name, schema in STAR.items() if name != "fato_pedido"}
+    return Star(**others, fato_pedido=read_fact(spark, folder))
 
 
 def read_rejects(spark: SparkSession, folder: str, name: str = "rejeito_pedido") -> DataFrame:

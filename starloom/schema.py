@@ -118,6 +118,12 @@ STAR = {
     "loja_chave": LOJA_CHAVE,
 }
 
+# A fact numbered as it is read: its files hold a row's place in the write, and a table beside them the rows before each task.
+PLACE = T.StructField("lugar", T.LongType())
+TASKS = _table(tarefa=T.LongType(), antes=T.LongType())
+# The month of a fact row, by which the monthly fact's folders are named.
+MONTH = T.StructField("ano_mes", _text)
+
 # Texts that a lenient load could not read, and the rule each breaks. A row of the fact's files also holds its own, as a list.
 REJECT = _table(coluna=_text, texto=_text, regra=_text)
 REJECTS = {
