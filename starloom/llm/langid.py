@@ -2,17 +2,19 @@
 
 Texts are lower-cased; every run of 1 to 3 code points is hashed to a bucket. Training
 adds the buckets up per language; the matrix of log probabilities goes to the executors,
-where a text's buckets, as a sparse row, are summed over it. Log probabilities are whole
+where a text's sparse row of bucket counts is multiplied with it. Log probabilities are whole
 multiples of 2^-20, so sums are exact and do not depend on order or batches.
 
 Training reads a sample: a language with more than ``per_language`` usable rows takes part
 with a share of them picked by a hash of the id, so that about that many are expected.
 Rows without text or language teach nothing. Matrix size is bounded: ``CELLS`` numbers at
-most, with fewer buckets if there are very many languages (``LANGUAGES`` at most).
+most, with fewer buckets if there are very many languages. Beyond ``LANGUAGES`` languages, those with most
+rows are learned (ties: the first in code point order); others teach nothing and are not predicted.
 
 A text that is null or has no letter, and any text if nothing could be learned, is
 ``und`` with score 0. Ties go to the language first in code point order. Long texts are
-scored whole, piece by piece. Repeated rows come out alike, an empty table gives none.
+scored whole, piece by piece, in memory of a piece beside the text. Repeated rows come out alike, an empty table gives
+none. Columns that are neither kept nor read do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ LANGUAGES = 1 << 12
 BUCKET_BITS = 17
 _UNIT = float(1 << 20)
 _PIECE = 1 << 19
+#: Numbers of the matrix that are weighted at once.
+_ENTRIES = 1 << 22
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -48,26 +52,37 @@ class Model:
     log_priors: np.ndarray
 
 
-def _pieces(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of lower-cased texts cut into pieces that overlap by a gram less one.
+def _blocks(texts: Sequence[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Lower-cased texts cut into pieces that overlap by a gram less one, in blocks of about ``_PIECE`` code points.
 
-    Returns the code points, how many follow in the piece from each place on (itself
-    included), whether a gram that begins there belongs to the piece, and each text's start.
+    A block is the numbers of the texts and a piece for each; a long text comes in several blocks.
     """
-    cut, starts, at = [], np.zeros(len(texts) + 1, np.int64), 0
+    numbers, pieces, size = [], [], 0
     for i, text in enumerate(texts):
         lower = text.lower()
         for begin in range(0, len(lower), _PIECE):
-            cut.append(lower[begin : begin + _PIECE + max(GRAMS) - 1])
-            at += len(cut[-1])
-        starts[i + 1] = at
-    points = np.frombuffer("".join(cut).encode("utf-32-le", "surrogatepass"), np.uint32)
-    lengths = np.array([len(c) for c in cut], np.int64)
+            piece = lower[begin : begin + _PIECE + max(GRAMS) - 1]
+            if size + len(piece) > _PIECE and pieces:
+                yield numbers, pieces
+                numbers, pieces, size = [], [], 0
+            numbers.append(i)
+            pieces.append(piece)
+            size += len(piece)
+    if pieces:
+        yield numbers, pieces
+
+
+def _pieces(pieces: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of pieces, how many follow in the piece from each place on (itself
+    included), whether a gram that begins there belongs to the piece, and the piece of each place.
+    """
+    points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.array([len(c) for c in pieces], np.int64)
     places = np.arange(len(points))
     ends = np.cumsum(lengths)
     left = np.repeat(ends, lengths) - places
     owned = places - np.repeat(ends - lengths, lengths) < _PIECE
-    return points, left, owned, starts
+    return points, left, owned, np.repeat(np.arange(len(lengths)), lengths)
 
 
 def _buckets(points: np.ndarray, left: np.ndarray, owned: np.ndarray, size: int, bits: int) -> np.ndarray:
@@ -83,21 +98,36 @@ def _buckets(points: np.ndarray, left: np.ndarray, owned: np.ndarray, size: int,
     return buckets
 
 
+def count_rows(texts: Sequence[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sparse rows of counts: numbers of texts (in order), buckets, and how many grams of the text fell there.
+
+    Rows come a block and gram size at a time, so a text has several, which add up.
+    """
+    for numbers, pieces in _blocks(texts):
+        points, left, owned, piece = _pieces(pieces)
+        for size in GRAMS:
+            buckets = _buckets(points, left, owned, size, bits)
+            here = np.flatnonzero(buckets < 1 << bits)
+            found, n = np.unique(piece[here] << bits | buckets[here], return_counts=True)
+            yield np.array(numbers)[found >> bits], found & ((1 << bits) - 1), n
+
+
 def train(
     docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
     per_language: int = PER_LANGUAGE, smoothing: float = 0.02,
 ) -> Model:
     """Learn from the rows for which ``usable`` holds and text and language are not null."""
     taught = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    sizes = {r[0]: r[1] for r in taught.groupBy(lang).count().limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counted_languages = taught.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
+    most = counted_languages.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES + 1).collect()
+    sizes = {r[0]: r[1] for r in most[:LANGUAGES]}
     languages = tuple(sorted(sizes, key=lambda s: s.encode()))
     bits = min(BUCKET_BITS, max(8, int(np.log2(CELLS / max(1, len(languages))))))
     # A share in 2^20ths, compared with a hash of id and text, as many rows may have no id.
     shares = {k: min(1 << 20, -(-per_language * (1 << 20) // n)) for k, n in sizes.items()}
     share = F.lit(1 << 20)
-    if any(s < 1 << 20 for s in shares.values()):
+    if len(most) > LANGUAGES or any(s < 1 << 20 for s in shares.values()):
+        # Null, and so not picked, for a language that is not learned.
         share = F.element_at(F.create_map(*[F.lit(x) for item in sorted(shares.items()) for x in item]), F.col(lang))
     picked = taught.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.xxhash64(text), F.lit("langid")), F.lit(1 << 20)) < share)
 
@@ -105,14 +135,15 @@ def train(
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                points, left, owned, starts = _pieces(part.column("text").to_pylist())
-                for size in GRAMS:
-                    buckets = _buckets(points, left, owned, size, bits)
-                    for i, name in enumerate(part.column("lang").to_pylist()):
-                        own = sums.setdefault(name, np.zeros((1 << bits) + 1, np.int64))
-                        np.add.at(own, buckets[starts[i] : starts[i + 1]], 1)
+                names = part.column("lang").to_pylist()
+                for numbers, buckets, n in count_rows(part.column("text").to_pylist(), bits):
+                    edges = [*np.flatnonzero(np.diff(numbers, prepend=-1)).tolist(), len(numbers)]
+                    for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                        own = sums.setdefault(names[numbers[begin]], np.zeros(1 << bits, np.int64))
+                        # A text's buckets in a block are distinct, but for a text of several pieces.
+                        np.add.at(own, buckets[begin:end], n[begin:end])
         for name, own in sums.items():
-            found = np.flatnonzero(own[:-1])
+            found = np.flatnonzero(own)
             for begin in range(0, len(found), 1 << 14):
                 some = found[begin : begin + (1 << 14)]
                 yield pa.RecordBatch.from_arrays(
@@ -138,13 +169,14 @@ def train(
 
 def log_likelihoods(texts: Sequence[str], model: Model) -> np.ndarray:
     """Log prior and likelihood of each text (rows) under each language, in units of 2^-20."""
-    points, left, owned, starts = _pieces(texts)
     sums = np.tile(model.log_priors, (len(texts), 1))
-    filled = np.flatnonzero(starts[1:] > starts[:-1])
-    if len(filled):
-        for size in GRAMS:
-            chosen = model.log_probabilities[_buckets(points, left, owned, size, model.bits)]
-            sums[filled] += np.add.reduceat(chosen, starts[filled], axis=0, dtype=np.int64)
+    step = max(1, _ENTRIES // max(1, len(model.languages)))
+    for numbers, buckets, n in count_rows(texts, model.bits):
+        for begin in range(0, len(n), step):
+            some = slice(begin, begin + step)
+            weighted = model.log_probabilities[buckets[some]] * n[some, None]
+            first = np.flatnonzero(np.diff(numbers[some], prepend=-1))
+            sums[numbers[some][first]] += np.add.reduceat(weighted, first, axis=0, dtype=np.int64)
     return sums
 
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -94,6 +95,35 @@ def test_language_of_edge_rows(spark, edge_docs, monkeypatch):
     assert rows(langid.predict(edge_docs.where("false"), model)) == []
 
 
+def test_trained_matrix_equals_plain_sums(make_docs, monkeypatch):
+    texts = [(i, f"{PROSE} {i}é" * (i % 3), ["en", "fr", None][i % 3 if i % 5 else 0], "a") for i in range(20)]
+    monkeypatch.setattr(langid, "_PIECE", 50)
+    model = langid.train(make_docs([*texts, (None, None, "de", "a")]), F.lit(True))
+    assert model.languages == ("en", "fr")
+    for place, lang in enumerate(model.languages):
+        counts = np.zeros(1 << model.bits)
+        for _, text, own, _ in texts:
+            for size in langid.GRAMS if own == lang else ():
+                for i in range(len(text) - size + 1):
+                    points, left, owned, _ = langid._pieces([text.lower()[i : i + size]])
+                    counts[langid._buckets(points, left, owned, size, model.bits)[0]] += 1
+        logs = np.log(counts + 0.02) - np.log((counts + 0.02).sum())
+        assert (model.log_probabilities[:-1, place] == np.rint(logs * (1 << 20))).all()
+
+
+def test_long_text_and_many_languages(make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    docs = make_docs([(i, PROSE, lang, "a") for i, lang in enumerate(["zz", "b", "a", "c", "c", "zz", "zz"])])
+    model = langid.train(docs, F.lit(True))
+    assert model.languages == ("c", "zz") and {r.lang_pred for r in langid.predict(docs, model).collect()} == {"zz"}
+    many = langid.Model(tuple(map(str, range(200))), 8, np.arange(257 * 200, dtype=np.int32).reshape(257, 200), np.zeros(200, np.int64))
+    tracemalloc.start()
+    # 3 million places; a dense row for each would be 2.4 GB.
+    langid.log_likelihoods([PROSE * (3_000_000 // len(PROSE))], many)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
 # Secrets
 
 
