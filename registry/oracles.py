@@ -737,6 +737,7 @@ def _check_oracles() -> dict[str, str]:
             *_NOTHING_LOST,
         ],
     }
+    lists["checks_from_profiles"] = lists["checks_all"]
     found = {name: _sql(_checks(rows), _ORDERS, _BRIDGE) for name, rows in lists.items()}
     filled = [("dim_categoria", _ROW_COUNTS[5][1]), ("dim_praca", _ROW_COUNTS[6][1]), ("bridge_loja_praca", _ROW_COUNTS[7][1]), ("fato_pedido", _ROW_COUNTS[8][1])]
     found |= {

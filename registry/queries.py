@@ -43,6 +43,7 @@ from starloom.plans.load import (
     read_star,
 )
 from starloom.plans.months import on_days, reload_months, write_months
+from starloom.plans.profiles import kept_profiles
 from starloom.schema import LAGS, STAR, UNKNOWN_LABEL
 from starloom.sources.staging import read_orders
 from starloom.sources.warehouse import new_folder, settle
@@ -457,6 +458,18 @@ def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def checks_from_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks from profiles, of which those of the first orders were kept before the others were there."""
+    loaded, raw, folder = star(spark, sf_dir), staging(spark, sf_dir), new_folder(spark, "perfis")
+    path = f"{new_folder(spark, 'staging')}/stg_pedido_em_partes"
+    early = F.expr("cast(substring(numero_pedido, 5) as bigint) % 3 = 0")
+    measures = checks.staging_profile()
+    raw.orders.where(early).write.parquet(path)
+    kept_profiles(spark.read.parquet(path), f"{folder}/stg_pedido", measures).count()
+    raw.orders.where(~early).write.mode("append").parquet(path)
+    return checks.run(dataclasses.replace(raw, orders=spark.read.parquet(path)), loaded, EXPECTED, profiles=folder)
+
+
 def check_targets_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The targets before a load, and after it, when the check must fail."""
     before = checks.targets_empty(spark, new_folder(spark, "vazio")).withColumn("momento", F.lit("antes da carga"))
@@ -572,6 +585,7 @@ def registered() -> dict[str, Query]:
         "check_negative_lags": _on_star(checks.negative_lags),
         "check_join_preserves_total": _on_star(checks.join_preserves_total),
         "check_allocation": _on_star(checks.allocation),
+        "checks_from_profiles": checks_from_profiles,
         "checks_all": lambda spark, sf_dir: checks.run(staging(spark, sf_dir), star(spark, sf_dir), EXPECTED),
     }
     return {name: _plain(query) for name, query in found.items()}

@@ -20,6 +20,7 @@ from starloom.functions.text import CATEGORY_RULES, is_blank
 from starloom.operators.keys import has_places, key_runs, repeated_keys, runs_overlap
 from starloom.operators.metrics import cells, count_if, roll_up
 from starloom.plans.load import Staging, Star
+from starloom.plans.profiles import Measure, kept_profiles, merged
 from starloom.schema import LAGS, LENGTHS, STAR, UNKNOWN_KEY, UNKNOWN_LABEL
 from starloom.sources.warehouse import read_table, settle
 
@@ -487,39 +488,74 @@ def _small_table_measures(table: str) -> dict[str, Column]:
     return measures
 
 
-def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataFrame:
+def _staging_measures() -> dict[str, Column]:
+    return {"stg_pedido": F.count("*"), **_blank_counts(True), **_mask_count(), **_off_mask(), **_money_counts()}
+
+
+def _fact_sums() -> dict[str, Column]:
+    return {"fato_pedido": F.count("*"), **_unresolved(), **_negative_lags(), **_too_long("fato_pedido")}
+
+
+#: Orders of the channel that must be there, as a profile holds them.
+_CHANNEL = "pedidos WhatsApp"
+
+
+def staging_profile() -> dict[str, Measure]:
+    """What is kept of a file of the order staging."""
+    return {name: Measure(value) for name, value in _staging_measures().items()}
+
+
+def fact_profile() -> dict[str, Measure]:
+    """What is kept of a file of the fact."""
+    bounds = {name: Measure(F.when(day.isNotNull(), date_key(day)), merge) for (name, day), merge in zip(_date_range().items(), ("min", "max"), strict=True)}
+    channel = {_CHANNEL: Measure(F.count_if(F.col("canal_pedido") == "WhatsApp"))}
+    return {**{name: Measure(value) for name, value in _fact_sums().items()}, **channel, **bounds}
+
+
+def _from_profiles(staging: Staging, star: Star, folder: str) -> list[DataFrame]:
+    """The measures of staging and fact that add up over files, and the fact's grain, from profiles kept below ``folder``."""
+    texts, rows = staging_profile(), fact_profile()
+    of_texts = settle(merged(kept_profiles(staging.orders, f"{folder}/stg_pedido", texts), texts), "staging_profile")
+    of_rows = settle(merged(kept_profiles(star.fato_pedido, f"{folder}/fato_pedido", rows), rows), "fact_profile")
+    missing = (F.col(f"`{_CHANNEL}`") == 0).cast("bigint").alias("canal WhatsApp ausente")
+    # A table without days has the unknown member's key, as when it is read.
+    bounds = [F.coalesce(F.col(f"`{name}`"), F.lit(UNKNOWN_KEY)).alias(name) for name in _date_range()]
+    plain = [F.col(f"`{name}`") for name in _fact_sums()]
+    wanted = of_texts.agg(F.sum("stg_pedido")).scalar()
+    grain = of_rows.select((F.col("fato_pedido") - wanted).alias("pedidos perdidos ou repetidos"))
+    return [_long(of_texts), _long(of_rows.select(*plain, missing, *bounds)), _long(grain)]
+
+
+def _from_tables(staging: Staging, star: Star) -> list[DataFrame]:
+    """The same from the tables themselves."""
+    days = {name: date_key(day) for name, day in _date_range().items()}
+    lost_orders = F.col("valor") - F.col("esperado")
+    grain = fact_grain(staging, star).select(F.lit("pedidos perdidos ou repetidos").alias("teste"), lost_orders.alias("valor"))
+    return [
+        _long(cells(staging.orders, [], _staging_measures())),
+        _long(cells(star.fato_pedido, [], {**_fact_sums(), **_channel_missing(), **days})),
+        grain,
+    ]
+
+
+def run(staging: Staging, star: Star, expected: Expected | None = None, profiles: str | None = None) -> DataFrame:
     """Every check that comes down to a number, with the must-be-empty ones counted.
 
     Dimensions and bridge are read once each, the staging once for its measures and once for its spellings. The
-    fact is read once for its profile, its references, its settled cells and each uniqueness check.
+    fact is read once for its profile, its references, its settled cells and each uniqueness check. ``profiles`` is a
+    folder in which the measures of staging and fact are kept, one row a file: there, files that an earlier
+    call has seen are not read again for them. Staging and fact must then be plain scans.
     """
     with ThreadPoolExecutor() as pool:
         unique_job = pool.submit(unique_keys, star)
         places = settle(_key_cells(star, ["sk_loja", "sk_categoria"]), "place_cells")
         unique = unique_job.result()
 
-    staging_measures = {
-        "stg_pedido": F.count("*"),
-        **_blank_counts(True),
-        **_mask_count(),
-        **_off_mask(),
-        **_money_counts(),
-    }
-    fact_measures = {
-        "fato_pedido": F.count("*"),
-        **_unresolved(),
-        **_negative_lags(),
-        **_channel_missing(),
-        **_too_long("fato_pedido"),
-        **{name: date_key(day) for name, day in _date_range().items()},
-    }
     total = join_preserves_total(star, places)
     lost_total = F.col("total_na_fato") - F.col("total_pela_p2")
-    lost_orders = F.col("valor") - F.col("esperado")
     parts = [
-        _long(cells(staging.orders, [], staging_measures)),
+        *(_from_profiles(staging, star, profiles) if profiles else _from_tables(staging, star)),
         _long(cells(spelling_cells(staging.orders), [], _spelling_counts())),
-        _long(cells(star.fato_pedido, [], fact_measures)),
         _one(staging.stores, "stg_loja"),
         _one(staging.territories, "stg_loja_praca"),
         *[
@@ -529,9 +565,6 @@ def run(staging: Staging, star: Star, expected: Expected | None = None) -> DataF
         ],
         _one(bridge_weights(star), "lojas com fator diferente de 1"),
         _broken_references(star),
-        fact_grain(staging, star).select(
-            F.lit("pedidos perdidos ou repetidos").alias("teste"), lost_orders.alias("valor")
-        ),
         _long(total.select(lost_total.alias("total perdido na juncao de categoria"))),
         _long(allocation(star, places).select(F.col("diferenca").alias("rateio sem fechar"))),
         unique.select("teste", "valor"),
