@@ -170,6 +170,42 @@ def test_vectors_against_all_pairs(spark, block):
     assert pivots.near_duplicates(df.where("false")).isEmpty()
 
 
+def test_shared_pivots_and_places():
+    r = np.random.default_rng(6)
+    near = np.array([r.permutation(12)[:6] for _ in range(40)], np.int32)
+    wanted = [[sum(p in b and abs(a.index(p) - b.index(p)) <= 2 for p in a) for b in near.tolist()] for a in near.tolist()]
+    assert pivots.shared_pivots(near, near, 2).tolist() == wanted
+    units = np.array([np.r_[1.0, 0.0]] * 40)
+    # Every pair with enough shared pivots counts in the list of the first of them, whether whole or cut in two.
+    for split in (0, 15):
+        counted = np.zeros((40, 40), int)
+        for this in range(12):
+            rows = [i for i, n in enumerate(near) if this in np.sort(n)[:4]]
+            cut = sum(i < split for i in rows)
+            if split and not 0 < cut < len(rows):
+                continue
+            counted[np.ix_(rows, rows)] += pivots._linked(units[rows], near[rows], cut, 0.98, 3, 2, this)
+        for i in range(40):
+            for j in range(40):
+                across = not split or (i < split) != (j < split)
+                assert counted[i, j] == (i != j and across and wanted[i][j] >= 3)
+
+
+def test_pivot_lists_grow_with_the_root(spark):
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(20, 64))
+    pairs = {}
+    for n in (2000, 8000):
+        vectors = centres[np.arange(n) % 20] + r.normal(size=(n, 64)) * 0.3
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+        rows_of = pivots._keyed(df).selectExpr("key", "1L AS size", "label", "dim", "unit").cache()
+        found = pivots.describe(rows_of, pivots.choose_pivots(rows_of, None, pivots.NEAREST), pivots.NEAREST, pivots.SHARED)
+        lists = found.select(F.explode("lists").alias("p")).groupBy("p").count().collect()
+        assert found.where("size(lists) <> 5 OR length(near) <> 32").isEmpty()
+        pairs[n] = sum(k * (k - 1) / 2 for _, k in lists)
+    assert pairs[8000] / pairs[2000] < 4**1.6
+
+
 def test_vectors_with_production_parameters(spark):
     r = np.random.default_rng(4)
     centres = r.normal(size=(150, 64))
