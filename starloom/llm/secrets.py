@@ -6,18 +6,20 @@ candidate, and so is every part of it between / _ and - that is as long. Base sp
 a run first; what is left on either side counts as runs of their own. A candidate's encoding is the
 smallest alphabet that has all its characters. Three tests look at the places of its characters in that alphabet:
 
-* chi-squared: counts of the characters against equal counts,
-* runs: runs of the alphabet's lower and upper half against a fair coin's,
-* serial correlation of neighbours.
-
-A candidate is random if none of the three rejects randomness and if its neighbours are also too
-unlike ordinary text. The second is a test against ordinary text. How often a character follows
-another there is counted over the short runs of all documents: changes between lower case,
-upper case, digits and marks, and letters after letters whatever their case. For each alphabet this
-gives chances within it, a share ``FREE`` of which is even, so that no neighbour alone says much.
-The p-value is the chance of the candidate in ordinary text over its chance among even characters,
-which ordinary text has below p no more often than p (Markov's inequality), at any length. These
-p-values go through false-discovery control (Benjamini and Hochberg) within each class of
+* chi-squared: counts of the characters against equal counts, by its exact tail for the alphabet and length,
+* runs: runs of the alphabet's lower and upper half against a fair coin's, by the exact binomial tails,
+* serial correlation of neighbours, by the normal approximation.
+
+The first two are tabulated up to ``TABULATED`` characters and approximated beyond. The battery's value q is three times the
+smallest of the three (Bonferroni), or 0 if that is below ``LEVEL``. A find must look random and be unlike ordinary text, so the
+p-value is taken against ordinary text and q is part of it: it is L / q, where L is the chance of the candidate's neighbours in ordinary
+text over their chance among even characters, and 1 if q is 0. How often a character follows another in ordinary text is counted
+over the short runs of all documents: changes between lower case, upper case, digits and marks, and letters after letters
+whatever their case. For each alphabet this gives chances within it, a share ``FREE`` of which is even, so that no neighbour alone
+says much. In ordinary text q / L has the mean that q has among even characters, so at most 1, and ordinary text has a p-value below p
+no more often than p (Markov's inequality), at any length.
+
+These p-values go through false-discovery control (Benjamini and Hochberg) within each class of
 length and encoding, over the candidates of all documents: p-values are counted in fixed bins, and
 a class's cut is the last bin edge at which the expected share of false finds is at most ``RATE``.
 A part within a found run is not told again.
@@ -32,7 +34,9 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Mapping, Sequence
+from functools import cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +66,9 @@ NOT_ORDINARY = rf"{ASSIGN}|(?<![A-Za-z0-9+/_-])(?=[0-9]*[A-Za-z+/_-]){CANDIDATE}
 #: Even share of the chances of ordinary text; before anything is learned, the chance that a class stays, as this many neighbours.
 FREE = 1 / 16
 STAYS, STAYS_WEIGHT = 0.9, 100
+#: Longest candidates with tabulated tails; tails are held down to ``FINE``.
+TABULATED = 95
+FINE = 1e-4
 #: Lengths at which classes begin, share of false finds allowed, level of the three tests together, bins of p-values (powers of two).
 LENGTHS = (20, 24, 32, 48, 96)
 RATE = 0.01
@@ -149,12 +156,12 @@ def _outside(run: Column, base: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Runs to be tested, as (start, end, found), and their parts; base spans are cut out."""
+    """What is to be tested, as (start, end, found): of every run the run and then its parts; base spans are cut out."""
     runs = _matches(text, CANDIDATE, text.rlike(CANDIDATE.replace("20,", "20")))
     long = lambda spans: F.filter(spans, lambda s: s["end"] - s["start"] >= LENGTHS[0])
     # The base spans are bound once, so that they are not looked for again at every run.
     runs = F.get(F.transform(F.array(base), lambda b: long(F.flatten(F.transform(runs, lambda c: _outside(c, b))))), F.lit(0))
-    return F.flatten(F.transform(runs, lambda c: F.when(c["found"].rlike("[/_-]"), F.concat(F.array(c), long(_parts(c)))).otherwise(F.array(c))))
+    return F.transform(runs, lambda c: F.when(c["found"].rlike("[/_-]"), F.concat(F.array(c), long(_parts(c)))).otherwise(F.array(c)))
 
 
 def _below(z: Column) -> Column:
@@ -222,12 +229,65 @@ def ordinary_pairs(docs: DataFrame, text: str = "text") -> dict[str, int]:
     return {r[0]: r[1] for r in pairs.groupBy("pair").count().collect()}  # at most 66 * 66 rows
 
 
+def pair_tails(k: int, longest: int) -> list[np.ndarray]:
+    """For lengths 0 to ``longest``: the chance that even characters of k make c pairs of equals or more, at place c.
+
+    The chi-squared statistic of n characters is (2 c + n) k / n - n. Letters are added one by one to the weights of
+    (characters so far, pairs so far). Chances below ``FINE`` are left out.
+    """
+    mean, most = longest * (longest - 1) / 2 / k, longest * (longest - 1) // 2
+    width = min(most, int(mean + 10 * math.sqrt(mean + 1)) + 30) + 1
+    ways = np.zeros((longest + 1, width))
+    ways[0, 0] = 1.0
+    for _ in range(k):
+        more, weight = ways.copy(), 1.0
+        for times in range(1, longest + 1):
+            pairs, weight = times * (times - 1) // 2, weight / times / k
+            if pairs >= width:
+                break
+            more[times:, pairs:] += weight * ways[: longest + 1 - times, : width - pairs]
+        ways = more
+    tails = []
+    for n in range(longest + 1):
+        fewer = np.concatenate([[0.0], np.cumsum(ways[n] * math.factorial(n))[:-1]])
+        tail = np.clip(1 - fewer, 0, 1)
+        tails.append(tail[: int((tail >= FINE).sum())])
+    return tails
+
+
+def change_tails(n: int) -> list[float]:
+    """For 0 to n - 1 changes of half among n even characters: twice the smaller tail of the binomial, at most 1."""
+    chances = [math.comb(n - 1, x) / 2 ** (n - 1) for x in range(n)]
+    return [min(1.0, 2 * min(sum(chances[: x + 1]), sum(chances[x:]))) for x in range(n)]
+
+
+def _numbers(values: Sequence[float], form: str) -> Column:
+    return F.split(F.lit(",".join(format(v, form) for v in values)), ",").cast("array<double>")
+
+
+@cache
+def _tabulated() -> tuple[list[float], list[int], list[float], list[int]]:
+    """The tails of all alphabets and lengths, and where those of an alphabet and length, or of a length, begin and end."""
+    even, even_at, turns, turns_at = [], [0], [], [0]
+    for _, _, letters in ALPHABETS:
+        for tail in pair_tails(len(letters), TABULATED)[LENGTHS[0] :]:
+            even += tail.tolist()
+            even_at.append(len(even))
+    for n in range(LENGTHS[0], TABULATED + 1):
+        turns += change_tails(n)
+        turns_at.append(len(turns))
+    return even, even_at, turns, turns_at
+
+
 def battery(runs: Column, table: Sequence[float]) -> Column:
-    """For candidates (start, end, found): start, end, stratum, p (against ordinary text) and random (no test rejects it).
+    """For candidates (start, end, found): start, end, stratum, q (of the three tests) and p (against ordinary text).
 
     ``table`` is what ``evidence`` gives.
     """
-    said = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
+    said = _numbers(table, ".17g")
+    even, even_at, turns, turns_at = _tabulated()
+    even_tail, turns_tail = _numbers(even, ".6f"), _numbers(turns, ".6f")
+    even_begin, turns_begin = (F.split(F.lit(",".join(map(str, at))), ",").cast("array<int>") for at in (even_at, turns_at))
     begins, at = [], 0
     for _, _, letters in ALPHABETS:
         begins.append(at)
@@ -276,22 +336,31 @@ def battery(runs: Column, table: Sequence[float]) -> Column:
 
     def scores(c: Column) -> Column:
         n, k = c["n"], c["k"]
-        chi = c["squares"] * k / n - n
+        pairs, changes, length = ((c["squares"] - n) / 2).cast("int"), (c["runs"] - 1).cast("int"), n.cast("int")
+        tabulated = n <= TABULATED
+        row = c["code"] * (TABULATED + 1 - LENGTHS[0]) + length - LENGTHS[0]
+        place = F.get(even_begin, row) + pairs
+        exact_even = F.when(place < F.get(even_begin, row + 1), F.get(even_tail, place)).otherwise(0.0)
+        # Beyond the table by the cube root of the statistic over its degrees of freedom (Wilson and Hilferty).
+        free = k - 1
+        cube = F.cbrt((c["squares"] * k / n - n) / free)
+        near_even = 1 - _below((cube - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free)))
+        near_turns = 2 * (1 - _below(F.abs((c["runs"] - 1 - (n - 1) / 2) / F.sqrt((n - 1) / 4))))
+        serial = F.when(c["spread"] > 0, (c["together"] / c["spread"] + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
         return F.struct(
             c["start"].alias("start"), c["end"].alias("end"), c["code"].alias("code"), n.alias("n"),
-            ((chi - (k - 1)) / F.sqrt(2 * (k - 1))).alias("even"),
-            ((c["runs"] - 1 - (n - 1) / 2) / F.sqrt((n - 1) / 4)).alias("runs"),
-            F.when(c["spread"] > 0, c["together"] / c["spread"] * F.sqrt(n)).otherwise(F.sqrt(n)).alias("serial"),
-            F.least(F.exp(-c["evidence"]), F.lit(1.0)).alias("p"),
+            F.when(tabulated, exact_even).otherwise(near_even).alias("even"),
+            F.when(tabulated, F.get(turns_tail, F.get(turns_begin, length - LENGTHS[0]) + changes)).otherwise(near_turns).alias("runs"),
+            (2 * (1 - _below(F.abs(serial)))).alias("serial"), c["evidence"].alias("evidence"),
         )
 
     def verdict(c: Column) -> Column:
         place = sum(((c["n"] >= at).cast("int") for at in LENGTHS[1:]), F.lit(0))
-        least = F.least(1 - _below(c["even"]), 2 * (1 - _below(F.abs(c["runs"]))), 2 * (1 - _below(F.abs(c["serial"]))))
+        q = F.least(3 * F.least(c["even"], c["runs"], c["serial"]), F.lit(1.0))
+        p = F.least(F.exp(-c["evidence"]) / F.greatest(q, F.lit(LEVEL)), F.lit(1.0))
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"),
-            (c["code"] * len(LENGTHS) + place).alias("stratum"), c["p"].alias("p"),
-            (3 * least >= LEVEL).alias("random"),
+            c["start"].alias("start"), c["end"].alias("end"), (c["code"] * len(LENGTHS) + place).alias("stratum"),
+            F.when(q >= LEVEL, q).otherwise(0.0).alias("q"), F.when(q >= LEVEL, p).otherwise(1.0).alias("p"),
         )
 
     return F.transform(F.transform(F.transform(numbered, sums), scores), verdict)
@@ -330,7 +399,8 @@ def learn_cuts(docs: DataFrame, text: str = "text") -> Cuts:
     table = evidence(ordinary_pairs(docs, text))
     some = docs.select(body.alias("text")).where(F.col("text").rlike(CANDIDATE.replace("20,", "20")))
     runs = some.select(candidates(F.col("text"), base_spans(F.col("text"))).alias("runs")).where(F.size("runs") > 0)
-    return Cuts(cuts(runs.select(F.explode(battery(F.col("runs"), table)).alias("c")).select("c.stratum", "c.p")), table)
+    tested = runs.select(F.explode(F.flatten(F.transform("runs", lambda run: battery(run, table)))).alias("c"))
+    return Cuts(cuts(tested.select("c.stratum", "c.p")), table)
 
 
 def scan(docs: DataFrame, found_cuts: Cuts | dict[int, int], text: str = "text") -> DataFrame:
@@ -339,14 +409,15 @@ def scan(docs: DataFrame, found_cuts: Cuts | dict[int, int], text: str = "text")
     based = packed.select("doc", "text", base_spans(F.col("text")).alias("base"))
     if not found_cuts:
         return based.select("doc", "text", "base", F.col("base").alias("spans"))
-    tested = battery(candidates(F.col("text"), F.col("base")), found_cuts.table)
+    tested = F.transform(candidates(F.col("text"), F.col("base")), lambda run: battery(run, found_cuts.table))
     lowest = F.create_map(*[F.lit(x) for item in sorted(found_cuts.items()) for x in item])
-    finds = F.filter(tested, lambda c: c["random"] & F.coalesce(_bin(c["p"]) >= F.element_at(lowest, c["stratum"]), F.lit(False)))
-    wider = lambda o, c: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"])
-    outer = F.transform(F.array(finds), lambda f: F.filter(f, lambda c: ~F.exists(f, lambda o: wider(o, c))))
-    added = F.transform(
-        F.get(outer, F.lit(0)), lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end"))
-    )
+    told = F.transform(tested, lambda run: F.transform(run, lambda c: F.struct(
+        c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end"),
+        F.coalesce(_bin(c["p"]) >= F.element_at(lowest, c["stratum"]), F.lit(False)).alias("find"),
+    )))
+    # A run stands before its parts. Parts do not overlap.
+    outer = F.flatten(F.transform(told, lambda run: F.when(run[0]["find"], F.slice(run, 1, 1)).otherwise(F.filter(run, lambda c: c["find"]))))
+    added = F.transform(outer, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     return based.select("doc", "text", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 

@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import itertools
+import math
 import re
 import tracemalloc
 from collections import Counter
@@ -216,6 +218,73 @@ def test_one_secret_of_a_hundred_is_found(make_docs, n):
         assert len(hit & planted[code]) >= (4 if code in ("hex", "HEX") else 5), code
 
 
+def plain_battery(run, table):
+    """Stratum, q and p of a run, character by character."""
+    code, letters = next((i, a) for i, (_, p, a) in enumerate(secrets.ALPHABETS) if re.fullmatch(p, run))
+    n, k, s = len(run), len(letters), [letters.index(c) + 1 for c in run]
+    counts = Counter(s)
+    normal = lambda z: math.erfc(abs(z) / math.sqrt(2))
+    changes = sum((a > k / 2) != (b > k / 2) for a, b in itertools.pairwise(s))
+    if n <= secrets.TABULATED:
+        tail, pairs = secrets.pair_tails(k, n)[n], sum(c * (c - 1) // 2 for c in counts.values())
+        even, turns = tail[pairs] if pairs < len(tail) else 0.0, secrets.change_tails(n)[changes]
+    else:
+        chi = sum((c - n / k) ** 2 * k / n for c in counts.values()) + (k - len(counts)) * n / k
+        even = 0.5 * math.erfc((math.cbrt(chi / (k - 1)) - 1 + 2 / 9 / (k - 1)) / math.sqrt(4 / 9 / (k - 1)))
+        turns = normal((changes - (n - 1) / 2) / math.sqrt((n - 1) / 4))
+    mean = sum(s) / n
+    spread = sum((x - mean) ** 2 for x in s)
+    serial = (sum((a - mean) * (b - mean) for a, b in itertools.pairwise(s)) / spread + 1 / n) * math.sqrt(n) if spread else math.sqrt(n)
+    q = min(1.0, 3 * min(even, turns, normal(serial)))
+    at = sum(len(a) ** 2 for _, _, a in secrets.ALPHABETS[:code])
+    said = sum(table[at + (a - 1) * k + b - 1] for a, b in itertools.pairwise(s))
+    stratum = code * len(secrets.LENGTHS) + sum(n >= x for x in secrets.LENGTHS[1:])
+    return stratum, *((q, min(1.0, math.exp(-said) / q)) if q >= secrets.LEVEL else (0.0, 1.0))
+
+
+def test_battery_and_cuts_equal_a_plain_version(spark):
+    r = np.random.default_rng(3)
+    table = secrets.evidence(Counter(a + b for w in PROSE.split() for a, b in itertools.pairwise(w)))
+    runs = ["a" * 20, "7" * 95, "ab" * 48, "0123456789abcdef" * 2, "/" * 30]
+    for name, _, letters in secrets.ALPHABETS:
+        runs += ["".join(r.choice(list(letters), n)) for n in (20, 21, 24, 47, 48, 95, 96, 300)]
+        runs += [ordinary_run(r, name, n) for n in (20, 40, 100) if name != "decimal"]
+    df = spark.createDataFrame([(i, run) for i, run in enumerate(runs)], "i int, run string")
+    packed = df.select("i", F.array(F.struct(F.lit(0).alias("start"), F.char_length("run").alias("end"), F.col("run").alias("found"))).alias("c"))
+    tested = packed.select("i", F.inline(secrets.battery(F.col("c"), table)))
+    wanted = [plain_battery(run, table) for run in runs]
+    for i, start, end, stratum, q, p in tested.collect():
+        assert (start, end, stratum) == (0, len(runs[i]), wanted[i][0])
+        assert abs(q - wanted[i][1]) < 1e-5 and abs(p - wanted[i][2]) < 1e-3 * wanted[i][2], runs[i]
+    assert [w[2] for w in wanted[:3]] == [1.0] * 3 and sum(w[2] < 1e-3 for w in wanted) > 30
+    expected = {}
+    for stratum in {w[0] for w in wanted}:
+        bins = [min(max(math.floor(-math.log2(max(p, 2.0**-60))), 0), 59) for at, _, p in wanted if at == stratum]
+        cut = [b for b in set(bins) if 2.0**-b * len(bins) <= secrets.RATE * sum(x >= b for x in bins)]
+        expected |= {stratum: min(cut)} if cut else {}
+    assert secrets.cuts(tested.select("stratum", "p")) == expected and expected
+
+
+def test_tails_equal_enumeration():
+    for k, n in ((2, 7), (3, 6), (4, 5)):
+        made = Counter(sum(c * (c - 1) // 2 for c in Counter(x).values()) for x in itertools.product(range(k), repeat=n))
+        tail = secrets.pair_tails(k, n)[n]
+        assert np.allclose(tail, [sum(v for c, v in made.items() if c >= i) / k**n for i in range(len(tail))])
+        assert len(tail) == max(made) + 1
+    made = Counter(sum(a != b for a, b in itertools.pairwise(x)) for x in itertools.product("ab", repeat=6))
+    tails = [min(1, 2 * min(sum(v for c, v in made.items() if c <= x), sum(v for c, v in made.items() if c >= x)) / 64) for x in range(6)]
+    assert np.allclose(secrets.change_tails(6), tails)
+
+
+def test_many_finds_in_one_text(make_docs):
+    r = np.random.default_rng(12)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+    keys = ["".join(row) for row in r.choice(letters, (8000, 28))]
+    docs = make_docs([(1, " ".join(keys), None, None), (2, PROSE * 50, None, None)])
+    found = {r[0]: r[1] for r in secrets.scan(docs, secrets.learn_cuts(docs)).select("doc.doc_id", F.size("spans")).collect()}
+    assert found[1] >= 7800 and found[2] == 0
+
+
 def test_parts_of_a_run_are_tested(make_docs):
     r = np.random.default_rng(8)
     keys = ["".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), 26)) for _ in range(12)]
