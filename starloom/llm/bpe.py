@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import slices, whole
+from starloom.llm.common import alone, kept, slices, whole
 
 #: Pieces whose ids a worker remembers, twice: the latest, and those before them.
 REMEMBERED = 600_000
@@ -177,15 +177,9 @@ class _Pieces(dict):
         return packed
 
 
-_known: dict[tuple, _Pieces] = {}
-
-
 def _pieces_of(vocabulary: Vocabulary) -> _Pieces:
     """What this worker has remembered for a vocabulary; of one vocabulary at a time."""
-    if vocabulary.tokens not in _known:
-        _known.clear()
-        _known[vocabulary.tokens] = _Pieces(vocabulary)
-    return _known[vocabulary.tokens]
+    return kept(("bpe", vocabulary.tokens), lambda: _Pieces(vocabulary))
 
 
 def encode_text(text: str, pieces: _Pieces, pattern: regex.Pattern) -> np.ndarray:
@@ -264,4 +258,4 @@ def decode(
                     [*part.columns[:-1], pa.array(texts, pa.binary())], names=[f.name for f in schema]
                 )
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(alone(work), schema)

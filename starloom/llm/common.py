@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Hashable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,50 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(remainder(doc_id) == 2, F.lit(False))
 
 
+#: What this worker keeps from task to task: of one operator only, as a worker goes on from one to the next.
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept for the worker's next tasks; another key drops it.
+
+    Tasks must come here by a function of a module: a dictionary that a nested function names travels by value, empty.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Drop what another operator's tasks kept."""
+    _kept.clear()
+
+
+def give_back() -> None:
+    """Free memory that the allocators hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
+
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def alone(work: Work) -> Work:
+    """``work`` for tasks that keep nothing: the worker drops what others kept before, and what was freed goes back at the end.
+
+    Workers live on and wait beside those of other tasks, so what each still holds adds up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``limit`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

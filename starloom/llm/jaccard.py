@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import join_keys, slices, whole
+from starloom.llm.common import alone, join_keys, slices, whole
 from starloom.llm.graph import components
 from starloom.llm.shingles import shingle_sets
 from starloom.sources.warehouse import settle
@@ -54,6 +54,8 @@ _HELD = 1 << 19
 FREQUENT = 1 << 16
 #: Nodes of a list that are compared with each other in one task.
 BLOCK = 1024
+#: Bytes of text whose words are hashed at once; its arrays of 64-bit numbers take some 60 times as much.
+_SLICE = 1 << 18
 #: Stands for a null id when rows are found again.
 _NO_ID = -(1 << 63)
 
@@ -78,7 +80,7 @@ def index(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", _SLICE):
                 sets = shingle_sets(part.column("text"))
                 np.add.at(counts, _counters(np.concatenate(sets)), np.uint32(1))
                 rows = part.num_rows
@@ -96,7 +98,7 @@ def index(docs: DataFrame) -> DataFrame:
             packed = pa.array([zlib.compress(c.tobytes(), 1) for _, c in filled], pa.binary())
             yield pa.RecordBatch.from_arrays([*blank, pa.array([i for i, _ in filled], pa.int32()), packed], names=names)
 
-    return _keyed(docs).mapInArrow(work, schema)
+    return _keyed(docs).mapInArrow(alone(work), schema)
 
 
 def _sketch(indexed: DataFrame) -> np.ndarray:
@@ -114,7 +116,7 @@ def _sketch(indexed: DataFrame) -> np.ndarray:
 
     parts = indexed.where("slice is not null").select("slice", "sketch").repartition("slice")
     total = np.zeros((_SLICES, (1 << SKETCH_BITS) // _SLICES), np.int64)
-    for row in parts.mapInArrow(work, "slice int, sketch binary").collect():
+    for row in parts.mapInArrow(alone(work), "slice int, sketch binary").collect():
         total[row[0]] += np.frombuffer(bytes(row[1]), np.int64)
     return total.reshape(-1)
 
@@ -197,7 +199,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, seen = _Packer(buckets), set()
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", _SLICE):
                 for found in shingle_sets(part.column("text")):
                     node = _digest(found)
                     if not len(found) or node in seen:
@@ -219,7 +221,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, buckets: int) -> DataFrame:
                         yield from packer.packed()
         yield from packer.packed()
 
-    return _keyed(docs).select("text").mapInArrow(work, "bucket int, part int, packed binary")
+    return _keyed(docs).select("text").mapInArrow(alone(work), "bucket int, part int, packed binary")
 
 
 def _lists(packed: DataFrame, buckets: int) -> DataFrame:
@@ -259,17 +261,18 @@ def _lists(packed: DataFrame, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, blobs = None, []
         for batch in batches:
-            for bucket, part, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            # Blobs are taken out of the batch one by one: a batch may hold tens of MB.
+            for bucket, part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if (bucket, part) != at:
                     if blobs:
                         yield from merged(*at, blobs)
                     at, blobs = (bucket, part), []
-                blobs.append(blob)
+                blobs.append(blob.as_py())
         if blobs:
             yield from merged(*at, blobs)
 
     dealt = packed.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return dealt.mapInArrow(work, schema)
+    return dealt.mapInArrow(alone(work), schema)
 
 
 def _without_twins(lists: DataFrame) -> DataFrame:
@@ -317,13 +320,15 @@ def _filtered(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            good = pa.array(_may_link(_matrix(batch.column(4).to_pylist()), _matrix(batch.column(5).to_pylist()), both))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(good) for i in (0, 1)], names=["a", "b"])
+            for start in range(0, batch.num_rows, BLOCK):
+                some = batch.slice(start, BLOCK)
+                both = some.column(2).to_numpy() + some.column(3).to_numpy()
+                good = pa.array(_may_link(_matrix(some.column(4).to_pylist()), _matrix(some.column(5).to_pylist()), both))
+                yield pa.RecordBatch.from_arrays([some.column(i).filter(good) for i in (0, 1)], names=["a", "b"])
 
     sides = {end: signatures.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")) for end in "ab"}
     sized = pairs.join(sides["b"], "b").join(sides["a"], "a").select("a", "b", "n_a", "n_b", "s_a", "s_b")
-    return sized.mapInArrow(work, "a binary, b binary")
+    return sized.mapInArrow(alone(work), "a binary, b binary")
 
 
 def _all_pairs(rest: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -379,7 +384,7 @@ def _all_pairs(rest: DataFrame, signatures: DataFrame) -> DataFrame:
         if len(held) > 1 and (out := passing(held)) is not None:
             yield out
 
-    return ordered.mapInArrow(work, "a binary, b binary").distinct()
+    return ordered.mapInArrow(alone(work), "a binary, b binary").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -387,7 +392,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_b", 1 << 20):
+            for part in slices(batch, "text_b", _SLICE):
                 left, place = part.column("a").dictionary_encode(), part.column("text_a")
                 numbers = left.indices.to_numpy()
                 _, first = np.unique(numbers, return_index=True)
@@ -401,7 +406,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     bodies = {end: texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")) for end in "ab"}
     full = pairs.join(bodies["b"], "b").join(bodies["a"], "a").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(exact, "a binary, b binary")
+    return full.mapInArrow(alone(exact), "a binary, b binary")
 
 
 def _first_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -423,14 +428,14 @@ def _signatures(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", _SLICE):
                 sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.binary())],
                     names=["node", "n", "signature"],
                 )
 
-    return _texts_of(docs, chosen).mapInArrow(work, "node binary, n long, signature binary").dropDuplicates(["node"])
+    return _texts_of(docs, chosen).mapInArrow(alone(work), "node binary, n long, signature binary").dropDuplicates(["node"])
 
 
 def _across(lists: DataFrame, joined: DataFrame | None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import slices, whole
+from starloom.llm.common import alone, slices, whole
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 4000
@@ -37,9 +37,9 @@ CELLS = 1 << 21
 LANGUAGES = 1 << 12
 BUCKET_BITS = 17
 _UNIT = float(1 << 20)
-_PIECE = 1 << 19
+_PIECE = 1 << 17
 #: Numbers of the matrix that are weighted at once.
-_ENTRIES = 1 << 22
+_ENTRIES = 1 << 19
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -152,7 +152,7 @@ def train(
                 )
 
     rows = picked.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(alone(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()  # at most CELLS rows
     counts = np.zeros((len(languages), 1 << bits))
     place = {name: i for i, name in enumerate(languages)}
@@ -208,4 +208,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[st
                     [*part.columns[:-1], pa.array(names[best], pa.string()), pa.array(score)], names=[f.name for f in schema]
                 )
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(alone(work), schema)
