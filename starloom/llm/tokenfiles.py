@@ -33,6 +33,7 @@ import re
 import string
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 from pathlib import Path
@@ -44,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices, whole
+from starloom.llm.common import kept, slices, whole
 from starloom.sources.warehouse import new_folder, settle
 
 MAGIC = b"SLIDPF1\n"
@@ -230,7 +231,8 @@ class _Words(dict):
 
         self.library, self.by_word = Tokenizer.from_str(model), by_word
         self.tokens = self.library.model.tokenize
-        self.kind = np.dtype("<u2" if max(self.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4")
+        self.code = "H" if max(self.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
         self.end = np.array([end_id], self.kind).tobytes()
         self.older: dict[bytes, bytes] = {}
         # What the library makes of each letter before its model sees it, where that is one piece.
@@ -240,16 +242,20 @@ class _Words(dict):
             if letter.isalpha() and len(pieces := cut.pre_tokenize_str(2 * normal.normalize_str(letter))) == 1:
                 self.letters[ord(letter)] = pieces[0][0][: len(pieces[0][0]) // 2]
         self.only_letters = re.compile("[" + "".join(map(chr, self.letters)) + "]+" if self.letters else "(?!)").fullmatch
+        # Words of ASCII letters are turned out as bytes, if each letter gives one ASCII character.
+        made = {i: self.letters[i] for i in string.ascii_letters.encode() if len(self.letters.get(i, "")) == 1 and self.letters[i].isascii()}
+        self.ascii = bytes(ord(made.get(i, chr(i))) for i in range(256)) if len(made) == len(string.ascii_letters) else None
 
     def __missing__(self, word: bytes) -> bytes:
         packed = self.older.get(word)
         if packed is None:
-            text = word.decode("utf-8", "replace")
-            if self.only_letters(text):
+            if self.ascii and word.isalpha():
+                ids = [t.id for t in self.tokens(word.translate(self.ascii).decode("ascii"))]
+            elif self.only_letters(text := word.decode("utf-8", "replace")):
                 ids = [t.id for t in self.tokens(text.translate(self.letters))]
             else:
                 ids = self.library.encode(text, add_special_tokens=False).ids
-            packed = np.array(ids, self.kind).tobytes()
+            packed = array(self.code, ids).tobytes()
             if len(word) > 64:
                 return packed
         if len(self) >= REMEMBERED:
@@ -263,7 +269,9 @@ class _Words(dict):
         return np.frombuffer(b"".join([*map(self.__getitem__, words), self.end]), self.kind)
 
 
-_loaded: dict[tuple, _Words] = {}
+def _words_of(model: str, end_id: int, by_word: bool) -> _Words:
+    """What this worker has remembered for a tokenizer; of one tokenizer at a time."""
+    return kept(("tokenfiles", model, end_id, by_word), lambda: _Words(model, end_id, by_word))
 
 
 def _full_uri(folder: str) -> str:
@@ -290,11 +298,7 @@ def write(
     system.create_dir(f"{path}/_temporary", recursive=True)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (hash(model.value), end_id, by_word)
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = _Words(model.value, end_id, by_word)
-        words, shard, number, file, done = _loaded[key], TaskContext.get().partitionId(), 0, None, []
+        words, shard, number, file, done = _words_of(model.value, end_id, by_word), TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
             for part in slices(batch, "text"):
                 found = map(words.ids_of, part.column("text").cast(pa.large_binary()).to_pylist())

@@ -3,10 +3,12 @@
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
-from starloom.llm import bpe, common, jaccard, langid
+from starloom.llm import bpe, common, jaccard, langid, tokenfiles
 
 
 class _Caught:
@@ -65,3 +67,24 @@ def test_a_worker_keeps_one_thing_and_drops_it_for_other_work(kept, monkeypatch)
     monkeypatch.setattr(jaccard, "_keyed", lambda docs: _Caught())
     assert list(jaccard.index(None)(iter([]))) == []
     assert not kept
+
+
+def test_words_stay_with_the_worker_when_tasks_are_sent_anew(kept):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        model = file.read()
+
+    def task(word):
+        words = tokenfiles._words_of(model, 2, True)
+        return word in words, words[word]
+
+    sent = cloudpickle.dumps(task)
+    assert [cloudpickle.loads(sent)(b"remembered")[0] for _ in range(2)] == [False, True]
+
+
+def test_words_of_ascii_letters_are_as_the_library_has_them(kept):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        words = tokenfiles._words_of(file.read(), 2, True)
+    assert words.ascii
+    for word in ["a", "Z", "the", "THE", "tHe", "Zzyzx", "thtionedwh", "endoftext", "I" * 70, "re", "LL", "été", "Straße", "naïve", "x1", "1"]:
+        ids = words.library.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(words[word.encode()], words.kind).tolist() == ids
