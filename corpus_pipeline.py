@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, jaccard, langid, mixing, secrets
-from starloom.llm.common import held_out, table
-from starloom.sources.warehouse import new_folder
+from starloom.llm.common import held_out, small_batches, table
+from starloom.sources.warehouse import new_folder, settle
 
 #: A document whose language is less likely than this, or undetermined, is rejected.
 LEAST_SCORE = 0.5
+#: Pieces that a worker of the last stage remembers, as the workers that decode stand beside it.
+REMEMBERED = 250_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +53,15 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, the ids of every document of the mix, and SHA-256 of the bytes that they decode to."""
+    """doc_id, source, the ids of every document of the mix, and SHA-256 of the bytes that they decode to.
+
+    Written here, as batches are small only while they are written: two Python steps a task run at once.
+    """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"))
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"), remembered=REMEMBERED)
     back = bpe.decode(encoded, path, keep=("doc_id", "source", "ids"))
-    return back.select("doc_id", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    with small_batches(spark):
+        return settle(back.select("doc_id", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256")), "pipeline_tokens")
 
 
 STAGES = [

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import alone, kept, slices, whole
 
-#: Pieces whose ids a worker remembers, twice: the latest, and those before them.
+#: Pieces whose ids a worker remembers unless told otherwise, twice: the latest, and those before them.
 REMEMBERED = 600_000
 _TRIES = 64
 
@@ -154,11 +154,12 @@ def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
 class _Pieces(dict):
     """Ids of pieces as packed 32-bit numbers, worked out when first asked for.
 
-    When ``REMEMBERED`` are held they become the older half, from which pieces asked for again come back.
+    When ``remembered`` are held they become the older half, from which pieces asked for again come back.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int):
         self.find = vocabulary.find
+        self.remembered = remembered
         self.ranks = {token: i for i, token in enumerate(vocabulary.tokens)}
         self.older: dict[str, bytes] = {}
 
@@ -170,16 +171,16 @@ class _Pieces(dict):
             packed = array("i", [whole_id] if whole_id >= 0 else merge(raw, self.ranks)).tobytes()
             if len(raw) > 200:
                 return packed
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.older = dict(self)
             self.clear()
         self[piece] = packed
         return packed
 
 
-def _pieces_of(vocabulary: Vocabulary) -> _Pieces:
+def _pieces_of(vocabulary: Vocabulary, remembered: int = REMEMBERED) -> _Pieces:
     """What this worker has remembered for a vocabulary; of one vocabulary at a time."""
-    return kept(("bpe", vocabulary.tokens), lambda: _Pieces(vocabulary))
+    return kept(("bpe", vocabulary.tokens, remembered), lambda: _Pieces(vocabulary, remembered))
 
 
 def encode_text(text: str, pieces: _Pieces, pattern: regex.Pattern) -> np.ndarray:
@@ -187,15 +188,16 @@ def encode_text(text: str, pieces: _Pieces, pattern: regex.Pattern) -> np.ndarra
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: Sequence[str] = ("doc_id",)
-) -> DataFrame:
-    """The columns ``keep`` and the ids of every text, in text order."""
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: Sequence[str] = ("doc_id",),
+    remembered: int = REMEMBERED,
+) -> DataFrame:
+    """The columns ``keep`` and the ids of every text, in text order. ``remembered``: see ``REMEMBERED``; it takes about 200 bytes a piece."""
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
     rows = docs.select(*[F.col(c) for c in keep], whole(text).alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, compiled = _pieces_of(shared.value), regex.compile(pattern)
+        pieces, compiled = _pieces_of(shared.value, remembered), regex.compile(pattern)
         for batch in batches:
             for part in slices(batch, "__text"):
                 found = [encode_text(t, pieces, compiled) for t in part.column("__text").to_pylist()]

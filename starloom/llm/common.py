@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Hashable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Keys of at most this many bytes in all are broadcast; larger sides are joined by a shuffle.
@@ -79,6 +80,29 @@ def alone(work: Work) -> Work:
     return run
 
 
+#: Bytes of rows that a worker is handed at once within ``small_batches``; a longer row comes alone.
+BATCH_BYTES = 1 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run within hand rows to workers in batches of about ``BATCH_BYTES``; then the session is as before.
+
+    Every running Python step of an executor holds its batch, and a copy to be sent, beside the heap, in buffers that
+    double as they grow; its worker holds the batch again.
+    """
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``limit`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -7,7 +7,9 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starloom.llm import bpe, common, jaccard, langid, tokenfiles
 
 
@@ -88,3 +90,29 @@ def test_words_of_ascii_letters_are_as_the_library_has_them(kept):
     for word in ["a", "Z", "the", "THE", "tHe", "Zzyzx", "thtionedwh", "endoftext", "I" * 70, "re", "LL", "été", "Straße", "naïve", "x1", "1"]:
         ids = words.library.encode(word, add_special_tokens=False).ids
         assert np.frombuffer(words[word.encode()], words.kind).tolist() == ids
+
+
+def test_the_last_stage_hands_workers_small_batches(spark, monkeypatch):
+    def sizes(encoded, path, keep):
+        def work(batches):
+            for batch in batches:
+                n = batch.num_rows
+                parts = [batch.column("doc_id"), pa.array([str(batch.nbytes)] * n), batch.column("ids"), pa.array([b""] * n)]
+                yield pa.RecordBatch.from_arrays(parts, names=["doc_id", "source", "ids", "decoded"])
+
+        return encoded.mapInArrow(work, "doc_id long, source string, ids array<int>, decoded binary")
+
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda i: (F.col("id") + i).cast("string")))
+    docs = spark.range(0, 1200, 1, 1).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), text.alias("text"))
+    before = spark.conf.get(common._BATCH)
+    monkeypatch.setattr(bpe, "decode", sizes)
+    found = corpus_pipeline.byte_bpe(spark, docs, "").select("source").collect()
+    assert len(found) == 1200 and max(int(row.source) for row in found) <= 2 * common.BATCH_BYTES
+    assert spark.conf.get(common._BATCH) == before
+
+
+def test_pieces_remembered_are_bound():
+    pieces = bpe._Pieces(bpe.perfect_hash([bytes([i]) for i in range(256)]), 100)
+    given = [f"p{i}" for i in range(1000)] * 2
+    assert [np.frombuffer(pieces[p], np.int32).tolist() for p in given] == [list(p.encode()) for p in given]
+    assert len(pieces) <= 100 and len(pieces.older) <= 100
