@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, jaccard, langid, mixing, secrets
-from starloom.llm.common import held_out, small_batches, table
+from starloom.llm.common import held_out, short_shuffles, small_batches, table
 from starloom.sources.warehouse import new_folder, settle
 
 #: A document whose language is less likely than this, or undetermined, is rejected.
 LEAST_SCORE = 0.5
-#: Pieces that a worker of the last stage remembers, as the workers that decode stand beside it.
-REMEMBERED = 250_000
+#: Pieces that a worker of the last stage remembers, as an executor that has run the stages before has little memory left.
+REMEMBERED = 100_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id."""
-    return jaccard.keep_one(docs)
+    with small_batches(spark), short_shuffles(spark):
+        return jaccard.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the ids of every document of the mix, and SHA-256 of the bytes that they decode to.
 
-    Written here, as batches are small only while they are written: two Python steps a task run at once.
+    Written here, as batches are small only while they are written.
     """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"), remembered=REMEMBERED)

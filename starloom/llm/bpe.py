@@ -3,7 +3,8 @@
 ``encode`` splits a text by the vocabulary's pattern and turns each piece into ids in two
 tiers: a minimal perfect hash over the vocabulary finds pieces that are tokens already;
 the others are merged pair by pair, lowest rank first, with a heap over a linked list of
-their bytes, which looks ranks of pairs up in a plain dictionary. ``decode`` joins the bytes of the ids again.
+their bytes, which looks ranks of pairs up in a plain dictionary. ``decode`` joins the bytes of the ids again,
+by built-in expressions.
 
 Nulls and empty texts have no ids and decode to no bytes; null id lists decode to no
 bytes as well. ``round_trip`` does both in one pass and keeps their digests only. Rows are independent, so repeated rows come out alike, an empty table
@@ -23,14 +24,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import alone, kept, slices, whole
+from starloom.llm.common import kept, slices, whole
 
 #: Pieces whose ids a worker remembers unless told otherwise, twice: the latest, and those before them.
 REMEMBERED = 600_000
@@ -243,21 +243,9 @@ def round_trip(
 def decode(
     encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """The columns ``keep`` and the bytes that the ids stand for."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load(path))
-    rows = encoded.select(*[F.col(c) for c in keep], F.coalesce(ids, F.array().cast("array<int>")).alias("__ids"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(decoded, T.BinaryType(), False)])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value.tokens
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                lists = part.column("__ids")
-                ids, edges = lists.flatten().to_numpy().tolist(), np.cumsum([0, *pc.list_value_length(lists).to_pylist()]).tolist()
-                texts = [b"".join([tokens[i] for i in ids[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(texts, pa.binary())], names=[f.name for f in schema]
-                )
-
-    return rows.mapInArrow(alone(work), schema)
+    """The columns ``keep`` and the bytes that the ids stand for. An id beyond the vocabulary, or a null among the ids, is an error."""
+    # In hex, as tokens need not be UTF-8 by themselves; built-in expressions, so that no second worker stands beside that which encodes.
+    spelled = F.split(F.lit(",".join(token.hex() for token in load(path).tokens)), ",")
+    strange = F.raise_error(F.lit(f"an id that is not in {path}")).cast("string")
+    parts = F.transform(F.coalesce(ids, F.array().cast("array<int>")), lambda i: F.coalesce(F.get(spelled, i), strange))
+    return encoded.select(*[F.col(c) for c in keep], F.unhex(F.array_join(parts, "")).alias(decoded))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Hashable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from typing import Any
 
 import numpy as np
@@ -85,22 +85,36 @@ BATCH_BYTES = 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs run within hand rows to workers in batches of about ``BATCH_BYTES``; then the session is as before.
+#: Shuffle files of a job go when it ends, not when the driver's collector finds that nobody asks for them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    Every running Python step of an executor holds its batch, and a copy to be sent, beside the heap, in buffers that
-    double as they grow; its worker holds the batch again.
-    """
-    before = spark.conf.get(_BATCH, None)
-    spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Jobs run within have the setting; then the session is as before."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_BATCH)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_BATCH, before)
+            spark.conf.set(key, before)
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs run within hand rows to workers in batches of about ``BATCH_BYTES``; then the session is as before.
+
+    Every running Python step of an executor holds its batch, and a copy to be sent, beside the heap, in buffers that
+    double as they grow; its worker holds the batch again.
+    """
+    return _setting(spark, _BATCH, str(BATCH_BYTES))
+
+
+def short_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of jobs run within are removed as each job ends; a table that is asked for again is made again."""
+    return _setting(spark, _CLEANUP, "true")
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

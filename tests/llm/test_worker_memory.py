@@ -1,5 +1,6 @@
 """What tasks hold at once, and what workers keep from task to task."""
 
+import time
 import tracemalloc
 
 import numpy as np
@@ -111,6 +112,43 @@ def test_the_last_stage_hands_workers_small_batches(spark, monkeypatch):
     assert spark.conf.get(common._BATCH) == before
 
 
+def test_ids_are_decoded_without_a_second_worker(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = spark.createDataFrame([(1, [0, 300, 49_000]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    found = bpe.decode(ids, path)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    tokens = bpe.load(path).tokens
+    assert {row.doc_id: bytes(row.decoded) for row in found.collect()} == {1: tokens[0] + tokens[300] + tokens[49_000], 2: b"", 3: b""}
+    for strange in (len(tokens), -1, None):
+        with pytest.raises(Exception, match="an id that is not in"):
+            bpe.decode(spark.createDataFrame([(1, [strange])], "doc_id long, ids array<int>"), path).collect()
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_near_duplicates_keep_batches_small_and_drop_shuffles(spark, monkeypatch, tmp_path):
+    before = [spark.conf.get(k, None) for k in (common._BATCH, common._CLEANUP)]
+    seen, old = [], _shuffle_files(spark)
+
+    def keep_one(docs):
+        docs.repartition(3, "doc_id").write.parquet(f"{tmp_path}/out")
+        for _ in range(50):
+            if not (left := _shuffle_files(spark) - old):
+                break
+            time.sleep(0.2)
+        seen.extend([spark.conf.get(common._BATCH), left])
+        return docs
+
+    monkeypatch.setattr(jaccard, "keep_one", keep_one)
+    held = spark.range(100).withColumnRenamed("id", "doc_id")
+    corpus_pipeline.near_duplicates(spark, held, "")
+    assert seen == [str(common.BATCH_BYTES), set()]
+    assert [spark.conf.get(k, None) for k in (common._BATCH, common._CLEANUP)] == before
+
+
 def test_pieces_remembered_are_bound():
     pieces = bpe._Pieces(bpe.perfect_hash([bytes([i]) for i in range(256)]), 100)
     given = [f"p{i}" for i in range(1000)] * 2
