@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import kept, slices, whole
+from starloom.llm.common import alone, give_back, kept, slices, small_batches, whole
 from starloom.sources.warehouse import new_folder, settle
 
 MAGIC = b"SLIDPF1\n"
@@ -53,11 +53,12 @@ BLOCK = 512
 #: This part of a block's values fits its width; the others are exceptions.
 PERCENTILE = 0.98
 #: Ids held before they are packed, and ids after which a file is closed.
-PIECE = 1 << 20
+PIECE = 1 << 18
 FILE_IDS = 1 << 24
 #: Bytes of text that a task gets.
 RANGE_BYTES = 24 << 20
-REMEMBERED = 400_000
+#: Words remembered, and once more as many older ones; some 190 bytes each in every worker of an executor.
+REMEMBERED = 150_000
 #: Words: letters (of ASCII and Latin-1) and digits that punctuation follows, or all up to white space.
 WORD = re.compile(rb"[A-Za-z0-9\xc3\x80-\x96\x98-\xb6\xb8-\xbf]++(?=[!-&(-/:-@\[-`{-~])|\S+")
 #: Letters below this code point may go straight to the model.
@@ -313,8 +314,10 @@ def write(
             done.append(file.close())
         if done:
             yield _rows(done, _MANIFEST)
+        give_back()
 
-    reported = settle(ordered.mapInArrow(work, _MANIFEST), "ids_report")
+    with small_batches(spark):
+        reported = settle(ordered.mapInArrow(work, _MANIFEST), "ids_report")
 
     def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = fs.FileSystem.from_uri(folder)
@@ -324,7 +327,7 @@ def write(
                     system.move(f"{path}/{temporary}", f"{path}/{name}")
             yield batch
 
-    reported.mapInArrow(commit, _MANIFEST).write.parquet(f"{folder}/manifest")
+    reported.mapInArrow(alone(commit), _MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
 
 
@@ -389,4 +392,4 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     listed = files(spark, folder).select("file", "start", "sha256")
     # A file a task, or as many files a task as there are tasks.
-    return listed.repartition(max(1, min(listed.count(), 1 << 16)), "file").mapInArrow(work, schema)
+    return listed.repartition(max(1, min(listed.count(), 1 << 16)), "file").mapInArrow(alone(work), schema)

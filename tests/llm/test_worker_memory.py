@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starloom.llm import bpe, common, jaccard, langid, tokenfiles
+from starloom.sources import warehouse
 
 
 class _Caught:
@@ -154,3 +155,45 @@ def test_pieces_remembered_are_bound():
     given = [f"p{i}" for i in range(1000)] * 2
     assert [np.frombuffer(pieces[p], np.int32).tolist() for p in given] == [list(p.encode()) for p in given]
     assert len(pieces) <= 100 and len(pieces.older) <= 100
+
+
+def test_token_files_keep_batches_small(spark, tmp_path, monkeypatch):
+    before, seen = spark.conf.get(common._BATCH), {}
+
+    def settle(rows, label):
+        seen[label] = spark.conf.get(common._BATCH)
+        return warehouse.settle(rows, label)
+
+    monkeypatch.setattr(tokenfiles, "settle", settle)
+    docs = spark.createDataFrame([(2, "two words"), (1, None)], "doc_id long, text string")
+    folder = tokenfiles.write(docs, public_tokenizers.path("word_bpe_49k.json"), 2, str(tmp_path / "ids"))
+    assert seen == {"ids_report": str(common.BATCH_BYTES)}
+    assert spark.conf.get(common._BATCH) == before
+    assert [(r.doc_id, r.start) for r in tokenfiles.read(spark, folder).orderBy("start").collect()] == [(1, 0), (2, 1)]
+
+
+def test_workers_that_read_token_files_drop_words(kept, monkeypatch):
+    class Listed(_Caught):
+        def count(self):
+            return 1
+
+        def repartition(self, *columns):
+            return self
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenfiles._words_of(file.read(), 2, True)
+    monkeypatch.setattr(tokenfiles, "files", lambda spark, folder: Listed())
+    assert kept and list(tokenfiles.read(None, "/tmp/none")(iter([]))) == []
+    assert not kept
+
+
+def test_ids_are_packed_in_little_memory(tmp_path):
+    (tmp_path / "_temporary").mkdir()
+    ids = np.random.default_rng(1).integers(0, 49_000, 3 << 20).astype(np.uint16)
+
+    def job():
+        file = tokenfiles._File(f"file://{tmp_path}", 0, 0)
+        file.add(1, ids)
+        assert file.close()[5] == len(ids)
+
+    assert _peak(job) < 24
