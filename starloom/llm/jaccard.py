@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import alone, join_keys, slices, whole
+from starloom.llm.common import alone, join_keys, short_shuffles, slices, small_batches, whole
 from starloom.llm.graph import components
 from starloom.llm.shingles import shingle_sets
 from starloom.sources.warehouse import settle
@@ -484,10 +484,12 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _marked(docs: DataFrame) -> DataFrame:
     """doc_id, tkey (hash of the text), n and component of every row; texts without words have none."""
-    rows, joined = linked_components(docs.select("doc_id", "text"))
-    return settle(
-        rows.join(joined, "node", "left").select("doc_id", "tkey", "n", F.coalesce("component", "node").alias("component")), "jaccard_rows"
-    )
+    # Every table asked for more than once is written, so its shuffle files can go at once.
+    with small_batches(docs.sparkSession), short_shuffles(docs.sparkSession):
+        rows, joined = linked_components(docs.select("doc_id", "text"))
+        return settle(
+            rows.join(joined, "node", "left").select("doc_id", "tkey", "n", F.coalesce("component", "node").alias("component")), "jaccard_rows"
+        )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -197,3 +197,29 @@ def test_ids_are_packed_in_little_memory(tmp_path):
         assert file.close()[5] == len(ids)
 
     assert _peak(job) < 24
+
+
+def test_jaccard_join_keeps_batches_small_and_drops_shuffles(spark, monkeypatch):
+    keys = (common._BATCH, common._CLEANUP)
+    before, seen = [spark.conf.get(k, None) for k in keys], {}
+    texts = ["a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o p q", "A b c d e f g h i j k l m n o p", "x y z", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    docs.count()
+    old = _shuffle_files(spark)
+
+    def settle(rows, label):
+        seen.setdefault(label, [spark.conf.get(k, None) for k in keys])
+        return warehouse.settle(rows, label)
+
+    monkeypatch.setattr(jaccard, "settle", settle)
+    found = jaccard.near_duplicates(docs)
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - old):
+            break
+        time.sleep(0.2)
+    assert not left and {"jaccard_index", "jaccard_prefixes", "jaccard_links", "jaccard_rows"} <= set(seen)
+    assert all(v == [str(common.BATCH_BYTES), "true"] for v in seen.values())
+    assert [spark.conf.get(k, None) for k in keys] == before
+    rows = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
+    docs.unpersist()
+    assert rows == {0: (12, 0), 1: (13, 0), 2: (12, 0), 3: (1, 3), 4: (0, 4)}
